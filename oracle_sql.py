@@ -148,6 +148,192 @@ def with_stats(sql: str) -> str:
     return with_views(", " + stats_sql() + "\n" + sql)
 
 
+MASK_SQL = ("case when {c} is null or length({c}) <= 8 then '***' "
+            "else substr({c}, 1, 4) || '***' || right({c}, 4) end")
+
+
+def mask_sql(c: str) -> str:
+    return MASK_SQL.format(c=c)
+
+
+def record_json_sql(table: str, uid: str = "user_unique_id") -> str:
+    """Source record as JSON with nulls written (registry field order)."""
+    _, _, fields, has_et, _ = SPEC[table]
+    parts = [f"'\"user_unique_id\":' || coalesce(to_json({uid})::varchar, 'null')"]
+    if has_et:
+        parts.append("'\"et\":' || coalesce(cast(et as varchar), 'null')")
+    for f, k in fields:
+        parts.append(f"'\"{f}\":' || coalesce({_jv(f, k)}, 'null')")
+    return "'{' || " + " || ',' || ".join(parts) + " || '}'"
+
+
+def run_sql(gran: str = "day", size: int = 20, reject: bool = False,
+            single: tuple[str, ...] = SINGLE_TABLES, page: int = 1000) -> str:
+    """CTEs of a whole report run: assigned rows, outbox, attempts,
+    classified attempts, outcomes, record outcomes."""
+    err = "case when not starts_with(user_unique_id, 'user_') then 'Transform failed' end" if reject \
+        else "cast(null as varchar)"
+    per_page = -(-page // size)
+    modes = "case when table_name in (" + ", ".join(f"'{t}'" for t in single) + ") then 'SINGLE' else 'BATCH' end"
+    recs = " union all ".join(f"select '{t}' as table_name, event_id, {record_json_sql(t)} as record_json from {t}"
+                              for t in SPEC)
+    masked_recs = " union all ".join(
+        f"select '{t}' as table_name, event_id, {record_json_sql(t, 'm_uid')} as record_json_masked "
+        f"from (select *, {mask_sql('coalesce(user_unique_id, \'unknown\')')} as m_uid from {t})"
+        for t in SPEC)
+    return f""", records as ({recs}),
+masked_records as ({masked_recs}),
+a0 as (select p.*, {err} as error, {modes} as mode,
+         row_number() over (partition by table_name, dt order by event_id) - 1 as ord
+       from payloads p),
+a1 as (select *, ord // {page} as page_no from a0),
+a2 as (select *, row_number() over (partition by table_name, dt, page_no, error is null order by ord) - 1 as in_page
+       from a1),
+assigned as (select *,
+   case when error is not null then null when mode = 'SINGLE' then ord
+        else page_no * {per_page} + in_page // {size} end as request_no,
+   case when mode = 'SINGLE' then '/v2/event/json' else '/v2/event/list' end as endpoint
+  from a2),
+outbox as (
+  select 'run' as run_id, table_name, dt, request_no, endpoint, 1 as n_records, body
+  from assigned where mode = 'SINGLE' and request_no is not null
+  union all
+  select 'run', table_name, dt, request_no, endpoint, cast(count(*) as int),
+         '[' || string_agg(body, ',' order by ord) || ']'
+  from assigned where mode = 'BATCH' and request_no is not null
+  group by table_name, dt, request_no, endpoint),
+att0 as (select table_name, dt, request_no, n_records,
+           unnest(case when request_no % 23 = 0 then [1, 2] else [1, 2, 3] end) as attempt from outbox),
+att1 as (select *, case (request_no * 7 + attempt * 3) % 5 when 0 then 503 when 1 then 0 when 2 then 429
+                    when 3 then 500 else 200 end as http_status from att0),
+attempts as (select 'run' as run_id, table_name, dt, request_no, attempt, http_status,
+   case when http_status = 200 then
+          case when request_no % 17 = 0 then 'not json'
+               when request_no % 7 = 0 then '{{"e":0,"message":"partial","sc":' || cast(n_records - 1 as varchar) || ',"ec":1}}'
+               else '{{"e":0,"message":"success","sc":' || cast(n_records as varchar) || ',"ec":0}}' end
+        when http_status = 0 then null
+        else '{{"e":' || cast(http_status as varchar) || ',"message":"server busy"}}' end as body,
+   case when http_status = 0 then 'Read timed out' end as transport_error,
+   1706745600 + request_no * 3 + attempt as started_s,
+   10 + (request_no * 13 + attempt) % 90 as duration_ms
+  from att1),
+classified as (select *, http_status = 200 as ok,
+   case when http_status = 200 then null
+        when http_status = 0 then 'Connection error: ' || coalesce(transport_error, '')
+        else 'HTTP ' || cast(http_status as varchar) || ': ' || coalesce(body, '') end as error
+  from attempts),
+oc0 as (select *, min(attempt) filter (where ok) over r as ok_at, max(attempt) over r as max_at
+        from classified where attempt <= 3
+        window r as (partition by table_name, dt, request_no)),
+outcome as (select o.table_name, o.dt, o.request_no, o.ok_attempt is not null as success, o.ok_attempt,
+     o.attempts_used, o.duration_ms,
+     case when table_name in ({", ".join(f"'{t}'" for t in single)}) then 'SINGLE' else 'BATCH' end as mode,
+     case when o.ok_attempt is not null then null
+          when o.attempts_used < 3 then 'Retry interrupted'
+          when table_name in ({", ".join(f"'{t}'" for t in single)}) then 'Max retries exceeded'
+          else 'Batch report failed: ' || coalesce(o.last_error, '') end as reason
+  from (select table_name, dt, request_no, min(ok_at) as ok_attempt,
+          cast(coalesce(min(ok_at), max(max_at)) as int) as attempts_used,
+          arg_max(error, attempt) filter (where not ok) as last_error,
+          cast(sum(duration_ms) filter (where attempt <= coalesce(ok_at, max_at)) as bigint) as duration_ms
+        from oc0 group by table_name, dt, request_no) o),
+record_outcomes as (
+  select a.table_name, a.dt, a.event_id, a.request_no, a.user_unique_id, a.error,
+    case when a.error is not null then 'failed' when o.success is null then 'unsent'
+         when o.success then 'success' else 'failed' end as status,
+    case when a.error is not null then a.error else o.reason end as reason,
+    o.attempts_used
+  from assigned a left join outcome o
+    on a.table_name = o.table_name and a.dt = o.dt and a.request_no = o.request_no),
+dead_letters as (
+  select 'run' as run_id, r.table_name, r.dt,
+    {mask_sql("coalesce(r.user_unique_id, 'unknown')")} as user_masked, r.reason,
+    m.record_json_masked as record_json, x.record_json as record_json_raw
+  from record_outcomes r
+  join records x on x.table_name = r.table_name and x.event_id = r.event_id
+  join masked_records m on m.table_name = r.table_name and m.event_id = r.event_id
+  where r.status = 'failed'),
+counts as (select table_name, dt, count(*) as n from payloads group by table_name, dt),
+table_results as (
+  select c.table_name, c.dt, cast(c.n as bigint) as total,
+    cast(count(*) filter (where r.status = 'success') as bigint) as success,
+    cast(count(*) filter (where r.status = 'failed') as bigint) as fail,
+    cast(count(*) filter (where r.status = 'unsent') as bigint) as unsent
+  from counts c join record_outcomes r on r.table_name = c.table_name and r.dt = c.dt
+  group by c.table_name, c.dt, c.n),
+frs as (select table_name, dt, request_no, attempt, ok,
+          row_number() over (partition by table_name, dt order by started_s, request_no, attempt) - 1 as seq
+        from classified),
+frw as (select *, count(*) over w as n_calls, sum(case when ok then 0 else 1 end) over w as n_fail
+        from frs window w as (partition by table_name, dt order by seq rows between 9 preceding and current row)),
+frb as (select *, case when n_calls >= 5 then round(n_fail / n_calls, 6) end as failure_rate,
+          coalesce(n_calls >= 5 and n_fail / n_calls >= 0.5, false) as breaker_open from frw),
+breaker as (select table_name, dt, request_no, attempt, seq, n_calls, failure_rate, breaker_open,
+   breaker_open and not coalesce(lag(breaker_open) over (partition by table_name, dt order by seq), false) as opened
+  from frb)
+"""
+
+
+def with_run(sql: str, **kw) -> str:
+    gran = kw.pop("gran", "day")
+    return with_views(run_sql(gran, **kw) + sql, gran)
+
+
+TRACKED = """tracked as (select
+  case substr(o_orderpriority, 1, 1) when '1' then 'page_vidw' when '2' then 'element_click'
+    when '3' then 'pay' when '4' then 'pay_result' when '5' then 'user_info' end as table_name,
+  o_orderkey as id,
+  concat('user_', lpad(cast(o_custkey as varchar), 8, '0')) as user_unique_id,
+  cast(case when o_orderkey % 10 < 5 then 0 when o_orderkey % 10 = 5 then 1
+       when o_orderkey % 10 < 8 then 2 else 3 end as int) as report_status,
+  cast(case when o_orderkey % 10 >= 8 then o_orderkey % 5 else 0 end as int) as retry_count,
+  o_orderdate as updated_at
+from orders),
+g1_page as (select table_name, id from (
+  select *, row_number() over (partition by table_name order by id) as rn
+  from tracked where id > 0 and report_status = 0) where rn <= 1000),
+g1_log as (
+  select table_name, id, 1 as seq, 1 as status, cast(null as varchar) as error_msg, false as bump,
+         timestamp '2024-02-01 00:00:00' as updated_at from g1_page
+  union all
+  select table_name, id, 2, 2, null, false, timestamp '2024-02-01 00:01:00' from g1_page where id % 7 <> 0
+  union all
+  select table_name, id, 2, 3, substr('HTTP 503: ' || repeat('server busy ', 50), 1, 500), true,
+         timestamp '2024-02-01 00:01:00' from g1_page where id % 7 = 0),
+g1_latest as (select table_name, id, max(seq) as seq, arg_max(status, seq) as status,
+    arg_max(error_msg, seq) as error_msg, arg_max(updated_at, seq) as updated_at,
+    cast(count(*) filter (where bump) as int) as bumps
+  from g1_log group by table_name, id),
+g1_applied as (select t.table_name, t.id, cast(coalesce(l.status, t.report_status) as int) as report_status,
+    cast(t.retry_count + coalesce(l.bumps, 0) as int) as retry_count, l.error_msg
+  from tracked t left join g1_latest l on t.table_name = l.table_name and t.id = l.id),
+g1_progress as (select table_name, 'report' as task_type, max(id) as last_processed_id,
+    count(*) as processed_count, cast(count(*) filter (where status = 2) as bigint) as success_count,
+    cast(count(*) filter (where status = 3) as bigint) as fail_count,
+    strftime(min(updated_at), '%Y-%m-%d %H:%M:%S') as start_time,
+    strftime(max(updated_at), '%Y-%m-%d %H:%M:%S') as end_time
+  from g1_latest where status in (2, 3) group by table_name),
+pending_batches as (select table_name, ord // 20 as batch_no, id from (
+  select table_name, id, row_number() over (partition by table_name order by id) - 1 as ord
+  from tracked where report_status = 0 and id is not null))
+"""
+
+TABLE_NAMES = [s[0] for s in SPECS]
+
+
+def with_tracked(sql: str) -> str:
+    return "with " + TRACKED + sql
+
+
+SECRET_DOC = """'{"doc_id":' || cast(doc_id as varchar) || ',"password"' || sp || '"pw' || cast(doc_id as varchar)
+  || '","lang":"' || lang || '","appKey":"ak-' || cast(n_chars as varchar) || '","token"' || sp || '"tok'
+  || cast(doc_id as varchar) || '","secret":"' || lang || '-s","apiKey":"k' || cast(doc_id as varchar)
+  || '","api_key":"x","n_chars":' || cast(n_chars as varchar) || ',"secretCount":3}'"""
+SECRET_RE = '("(?:password|appKey|token|secret|apiKey|api_key)"\\s*:\\s*")[^"]*'
+
+OUTCOME_COLS = "table_name, dt, request_no, mode, success, ok_attempt, attempts_used, duration_ms, reason"
+
+
 def build() -> dict[str, str]:
     out: dict[str, str] = {}
     for t in SPEC:
@@ -168,4 +354,173 @@ def build() -> dict[str, str]:
     out["stats_by_date"] = with_stats("select dt, table_name, n, ordinal from stats")
     out["stats_report_lines"] = with_stats(
         "select dt, ordinal, '  ' || case when length(table_name) >= 20 then table_name else rpad(table_name, 20, ' ') end || ' : ' || cast(n as varchar) as line from stats")
+    out["batch_assignment"] = with_run(
+        "select table_name, dt, event_id, ord, request_no as batch_no from assigned where mode = 'BATCH'")
+    out["page_batch_assignment"] = with_run(
+        "select table_name, dt, event_id, ord, page_no, request_no as batch_no from assigned "
+        "where mode = 'BATCH'", gran="month", size=30)
+    out["batch_after_errors"] = with_run(
+        "select table_name, dt, event_id, ord, page_no, mode, request_no, error from assigned",
+        gran="month", size=30, reject=True)
+    plan = """select table_name, dt, mode, cast(n as bigint) as n_records,
+      cast(case when mode = 'SINGLE' then n else (n // {page}) * {per} + ceil((n % {page}) / {size}) end as bigint) as best_calls,
+      cast(3 * case when mode = 'SINGLE' then n else (n // {page}) * {per} + ceil((n % {page}) / {size}) end as bigint) as worst_calls
+    from (select table_name, dt, count(*) as n,
+            case when table_name in ({single}) then 'SINGLE' else 'BATCH' end as mode
+          from payloads group by table_name, dt)"""
+    out["request_plan"] = with_views(plan.format(page=1000, per=34, size=30, single="'pay', 'pay_result'"),
+                                     "month")
+    out["mode_resolution"] = with_views(
+        "select table_name, dt, mode, best_calls from (" +
+        plan.format(page=1000, per=50, size=20, single="'pay_result', 'element_click'") + ")")
+    out["page_slice"] = with_run("select table_name, dt, event_id, ord from assigned where page_no = 1",
+                                 gran="month")
+    ob = "select run_id, table_name, dt, request_no, endpoint, n_records, body from outbox"
+    out["outbox_single"] = with_run(ob + " where endpoint = '/v2/event/json'")
+    out["outbox_batch"] = with_run(ob + " where endpoint = '/v2/event/list'")
+    out["outbox_all"] = with_run(ob)
+    out["transform_errors"] = with_run(
+        "select table_name, dt, event_id, error from assigned where error is not null", reject=True)
+    out["attempt_classify"] = with_run(
+        "select table_name, dt, request_no, attempt, http_status, ok, error from classified")
+    out["response_parse"] = with_run("""select table_name, dt, request_no, attempt,
+        case when json_valid(body) then cast(json_extract(body, '$.e') as int) end as e,
+        case when json_valid(body) then json_extract_string(body, '$.message') end as message,
+        case when json_valid(body) then cast(json_extract(body, '$.sc') as int) end as sc,
+        case when json_valid(body) then cast(json_extract(body, '$.ec') as int) end as ec
+      from classified where length(body) > 0""")
+    out["single_outcome"] = with_run(f"select {OUTCOME_COLS} from outcome where mode = 'SINGLE'")
+    out["batch_outcome"] = with_run(f"select {OUTCOME_COLS} from outcome where mode = 'BATCH'")
+    out["interrupted_requests"] = with_run(f"select {OUTCOME_COLS} from outcome where reason = 'Retry interrupted'")
+    out["recovered_requests"] = with_run(f"select {OUTCOME_COLS} from outcome where ok_attempt > 1")
+    out["record_outcomes"] = with_run(
+        "select table_name, dt, event_id, request_no, status, reason, attempts_used from record_outcomes",
+        reject=True)
+    out["failure_rate_window"] = with_run("select * from breaker")
+    out["partial_errors"] = with_run("""select table_name, dt, count(*) as n_responses,
+        cast(sum(cast(json_extract(body, '$.sc') as int)) as bigint) as sum_sc,
+        cast(sum(cast(json_extract(body, '$.ec') as int)) as bigint) as sum_ec
+      from classified where http_status = 200 and json_valid(body)
+        and cast(json_extract(body, '$.ec') as int) > 0
+      group by table_name, dt""")
+    out["dead_letters"] = with_run(
+        "select run_id, table_name, dt, user_masked, reason, record_json from dead_letters", reject=True)
+    out["dead_letter_counts"] = with_run(
+        "select dt, table_name, reason, count(*) as n from dead_letters group by dt, table_name, reason",
+        reject=True)
+    out["table_result"] = with_run("select * from table_results", reject=True)
+    out["run_summary"] = with_run("""select dt, table_name,
+        case when dt is null then 'all' when table_name is null then 'date' else 'table' end as level,
+        cast(sum(total) as bigint) as total, cast(sum(success) as bigint) as success,
+        cast(sum(fail) as bigint) as fail,
+        'Summary: total=' || cast(sum(total) as varchar) || ', success=' || cast(sum(success) as varchar)
+          || ', fail=' || cast(sum(fail) as varchar) as line
+      from table_results group by rollup (dt, table_name)""", reject=True)
+    out["metrics_summary"] = with_run("""select metric, value from (
+        select 'records_processed' as metric, cast(count(*) as double) as value from record_outcomes
+        union all select 'records_success', cast(count(*) filter (where status = 'success') as double) from record_outcomes
+        union all select 'records_failed', cast(count(*) filter (where status = 'failed') as double) from record_outcomes
+        union all select 'requests_sent', cast(count(*) as double) from outcome
+        union all select 'requests_success', cast(count(*) filter (where success) as double) from outcome
+        union all select 'requests_failed', cast(count(*) filter (where not success) as double) from outcome
+        union all select 'avg_request_ms', round(avg(duration_ms), 3) from outcome
+        union all select 'breaker_opens', cast(sum(cast(opened as int)) as double) from breaker
+      ) where value is not null""")
+    out["processing_rate"] = with_run("""select
+        strftime(make_timestamp(cast((started_s // 60) * 60 * 1000000 as bigint)), '%Y-%m-%d %H:%M:%S') as window_start,
+        table_name, count(*) as attempts, cast(count(*) filter (where ok) as bigint) as ok,
+        cast(count(*) filter (where not ok) as bigint) as failed
+      from classified group by 1, table_name""")
+    out["attempt_success_rate"] = with_run("""select table_name, count(*) as attempts,
+        cast(count(*) filter (where ok) as bigint) as ok,
+        cast(count(*) filter (where http_status = 0) as bigint) as io_errors,
+        cast(count(*) filter (where http_status <> 0 and not ok) as bigint) as http_errors,
+        round(avg(case when ok then 1.0 else 0.0 end), 6) as success_rate
+      from classified group by table_name""")
+    out["retry_histogram"] = with_run(
+        "select table_name, attempts_used, success, count(*) as n from outcome group by table_name, attempts_used, success")
+    # status-tracked path
+    out["status_decode"] = with_tracked("""select table_name, id, report_status,
+        case report_status when 0 then 'Pending' when 1 then 'Processing' when 2 then 'Success'
+          when 3 then 'Failed' end as description, report_status between 0 and 3 as is_valid from tracked""")
+    out["status_invalid"] = with_tracked("""select table_name, id, cast(id % 7 - 1 as int) as code
+        from tracked where not (id % 7 - 1 between 0 and 3)""")
+    out["pending_keyset_scan"] = with_tracked("""select table_name, id, user_unique_id from (
+        select *, row_number() over (partition by table_name order by id) as rn
+        from tracked where id > 1000 and report_status = 0) where rn <= 500""")
+    out["retryable_scan"] = with_tracked("""select table_name, id, retry_count from (
+        select *, row_number() over (partition by table_name order by id) as rn
+        from tracked where report_status = 3 and retry_count < 4) where rn <= 500""")
+    out["pending_count"] = with_tracked(
+        "select table_name, count(*) as n from tracked where report_status = 0 group by table_name")
+    names_values = ", ".join(f"({i}, '{t}')" for i, t in enumerate(TABLE_NAMES))
+    out["pending_counts_all"] = with_tracked(f"""reg(ordinal, table_name) as (values {names_values}),
+      per as (select cast(r.ordinal as int) as ordinal, r.table_name,
+          cast(count(t.id) as bigint) as n
+        from reg r left join tracked t on t.table_name = r.table_name and t.report_status = 0
+        group by r.ordinal, r.table_name)
+      select * from per union all select {len(TABLE_NAMES)}, 'TOTAL', cast(sum(n) as bigint) from per""".replace(
+        "reg(ordinal", ", reg(ordinal", 1))
+    out["pending_nonzero"] = with_tracked("""select table_name, n from (select table_name, count(*) as n
+        from tracked where report_status = 0 group by table_name) where n > 0""")
+    out["status_histogram"] = with_tracked(
+        "select table_name, report_status, count(*) as n from tracked group by table_name, report_status")
+    out["batch_record_ids"] = with_tracked("""select table_name, batch_no,
+        string_agg(cast(id as varchar), ',' order by id) as record_ids from pending_batches
+        group by table_name, batch_no""")
+    out["max_record_id"] = with_tracked("""select table_name, batch_no,
+        cast(greatest(coalesce(max(id), 0), 0) as bigint) as max_record_id from pending_batches
+        group by table_name, batch_no""")
+    out["status_apply"] = with_tracked("select table_name, id, report_status, retry_count from g1_applied")
+    out["status_with_error"] = with_tracked("""select table_name, id, report_status, retry_count, error_msg,
+        cast(length(error_msg) as int) as error_len from g1_applied where error_msg is not null""")
+    out["latest_status"] = with_tracked(
+        "select table_name, id, cast(seq as bigint) as seq, cast(status as int) as status, error_msg from g1_latest")
+    out["retry_exhausted"] = with_tracked(
+        "select table_name, id, retry_count from g1_applied where report_status = 3 and retry_count >= 3")
+    out["task_progress"] = with_tracked("select * from g1_progress")
+    out["incremental_pending"] = with_tracked("""select t.table_name, t.id from tracked t
+        left join g1_progress p on p.table_name = t.table_name
+        where t.report_status = 0 and t.id > coalesce(p.last_processed_id, 0)""")
+    out["stale_processing"] = with_tracked("""select table_name, id from tracked
+        where report_status = 1 and updated_at < timestamp '2000-01-01 00:00:00' - interval 1 hour""")
+    # masking, JSON, coercion
+    out["mask_user_id"] = with_views(f"select event_id, user_unique_id, {mask_sql('user_unique_id')} as masked from base")
+    out["mask_json"] = f"""select doc_id, regexp_replace(doc, '{SECRET_RE}', '\\1***', 'g') as masked
+      from (select doc_id, {SECRET_DOC} as doc
+            from (select *, case when doc_id % 2 = 0 then ' : ' else ':' end as sp from documents))"""
+    out["mask_url"] = """select page_id, url,
+        case when contains(url, '?') and (contains(url, 'key=') or contains(url, 'token=')
+               or contains(url, 'password=') or contains(url, 'secret='))
+             then split_part(url, '?', 1) || '?***' else url end as masked_url
+      from (select page_id, case when page_id % 3 = 0 and contains(url, '?') then url || '&token=abc'
+                                 else url end as url from pages)"""
+    out["record_json"] = with_views(f"select event_id, {record_json_sql('pay_result')} as record_json from pay_result")
+    out["json_typed_parse"] = with_views(
+        "select event_id, user_unique_id, et, pay_amount, cast(is_ai as int) as is_ai, package_type from pay")
+    out["json_map_parse"] = with_views("""select event_id,
+        unnest(['user_unique_id', 'et', 'click_type', 'click_position', 'click_name', 'click_area']) as key,
+        unnest([user_unique_id, cast(et as varchar), click_type, click_position, click_name, click_area]) as value
+      from element_click""")
+    out["map_to_json"] = with_views("""select event_id,
+        '{"click_type":' || coalesce(to_json(click_type)::varchar, 'null') || ',"click_area":'
+          || coalesce(to_json(click_area)::varchar, 'null') || '}' as json from element_click""")
+    out["long_coercion"] = with_views("""select event_id, text,
+        case when regexp_full_match(text, '[+-]?[0-9]+') then try_cast(text as bigint) end as as_long,
+        cast(trunc(amount) as bigint) as amount_long
+      from (select event_id, amount, case event_id % 7 when 0 then cast(k as varchar)
+          when 1 then '+' || cast(k as varchar) when 2 then ' ' || cast(k as varchar) || ' '
+          when 3 then cast(k as varchar) || '.9' when 4 then 'x' || cast(k as varchar)
+          when 5 then '99999999999999999999' else '-' || cast(k as varchar) end as text from base)""")
+    out["mode_parse"] = """select event_id, mode_text,
+        case when upper(trim(mode_text)) = 'SINGLE' then 'SINGLE' else 'BATCH' end as mode
+      from (select event_id, case event_id % 6 when 0 then 'single' when 1 then ' SINGLE ' when 2 then 'BATCH'
+              when 3 then '' when 4 then null else 'x' end as mode_text from events)"""
+    mapping = " ".join(f"when '{e}' then '{t}'" for t, e in
+                       [("page_vidw", "view"), ("element_click", "click"), ("pay", "purchase"),
+                        ("pay_result", "error"), ("user_info", "signup")])
+    out["table_validation"] = f"""select table_name,
+        coalesce(table_name in ({", ".join(f"'{t}'" for t in TABLE_NAMES)}), false) as is_valid
+      from (select event_type as table_name from events
+            union select case event_type {mapping} end from events)"""
     return out

@@ -41,14 +41,20 @@ def with_ordinal(df: DataFrame, group_cols: Sequence[str], key: str,
     ``key`` must be integral; rows with equal keys are ordered by ``tiebreak``
     (give columns that make the order total for a reproducible result).
     """
-    checkpoint_dir(df.sparkSession)  # small bucket counts are checkpointed
     g = list(group_cols)
-    stats = df.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"),
-                               F.min(key).alias("_lo"), F.max(key).alias("_hi"))
-    nb = F.greatest(F.ceil(F.col("_n") / F.lit(bucket_rows)), F.lit(1))
-    plan = stats.select(*g, "_lo", (F.floor((F.col("_hi") - F.col("_lo")) / nb) + 1)
-                        .cast("long").alias("_w"))
-    # plan has one row per group (tables x dates of a run): broadcast is bounded
+    nb = F.greatest(F.ceil(F.col("_n") / F.lit(bucket_rows)), F.lit(1)).cast("long")
+    stats = (df.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.min(key).alias("_lo"),
+                                F.max(key).alias("_hi"))
+             .select(*g, "_n", "_lo", "_hi", nb.alias("_nb"))
+             .withColumn("_w", (F.floor((F.col("_hi") - F.col("_lo")) / F.col("_nb")) + 1).cast("long"))
+             .drop("_hi")
+             .persist())
+    # one row per group (tables x dates of a run): small, bounded by the run
+    top = stats.agg(F.max("_n").alias("max_n"), F.sum("_nb").alias("buckets")).first()
+    if top is None or top["max_n"] is None:
+        stats.unpersist()
+        return df.withColumn(ord_col, F.lit(None).cast("long"))
+    plan = stats.select(*g, "_lo", "_w")
     b0 = F.floor((F.col(key) - F.col("_lo")) / F.col("_w")).cast("long")
     keyed = (df.join(F.broadcast(plan), g)
              .withColumn("_b0", b0)
@@ -56,28 +62,35 @@ def with_ordinal(df: DataFrame, group_cols: Sequence[str], key: str,
              .withColumnRenamed("_w", "_bw")
              .drop("_lo"))
     buckets = ["_b0"]
-    counts = keyed.groupBy(*g, *buckets).agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True)
-    for level in range(1, max_refine + 1):
-        hot = counts.where(F.col("_c") > HOT_FACTOR * bucket_rows)
-        if hot.isEmpty():
-            break
-        # at most rows / (HOT_FACTOR * bucket_rows) hot buckets: small
-        fan = F.ceil(F.col("_c") / F.lit(bucket_rows)).cast("long")
-        hot_plan = hot.select(*g, *buckets, fan.alias("_fan"))
-        sub = f"_b{level}"
-        step = F.ceil(F.col("_bw") / F.col("_fan")).cast("long")
-        keyed = (keyed.join(F.broadcast(hot_plan), [*g, *buckets], "left")
-                 .withColumn("_step", F.when(F.col("_fan").isNull(), F.col("_bw")).otherwise(step))
-                 .withColumn(sub, F.floor((F.col(key) - F.col("_blo")) / F.col("_step")).cast("long"))
-                 .withColumn("_blo", F.col("_blo") + F.col(sub) * F.col("_step"))
-                 .withColumn("_bw", F.col("_step"))
-                 .drop("_fan", "_step"))
-        buckets.append(sub)
-        counts = keyed.groupBy(*g, *buckets).agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True)
+    counts = keyed.groupBy(*g, *buckets).agg(F.count(F.lit(1)).alias("_c"))
+    n_buckets = int(top["buckets"])
+    if top["max_n"] > HOT_FACTOR * bucket_rows:
+        # some group is large enough to hold an oversized bucket: materialise
+        # the (small) bucket counts and split hot buckets into finer ranges
+        checkpoint_dir(df.sparkSession)
+        counts = counts.checkpoint(eager=True)
+        for level in range(1, max_refine + 1):
+            hot = counts.where(F.col("_c") > HOT_FACTOR * bucket_rows)
+            if hot.isEmpty():
+                break
+            # at most rows / (HOT_FACTOR * bucket_rows) hot buckets: small
+            fan = F.ceil(F.col("_c") / F.lit(bucket_rows)).cast("long")
+            hot_plan = hot.select(*g, *buckets, fan.alias("_fan"))
+            sub = f"_b{level}"
+            step = F.ceil(F.col("_bw") / F.col("_fan")).cast("long")
+            keyed = (keyed.join(F.broadcast(hot_plan), [*g, *buckets], "left")
+                     .withColumn("_step", F.when(F.col("_fan").isNull(), F.col("_bw")).otherwise(step))
+                     .withColumn(sub, F.floor((F.col(key) - F.col("_blo")) / F.col("_step")).cast("long"))
+                     .withColumn("_blo", F.col("_blo") + F.col(sub) * F.col("_step"))
+                     .withColumn("_bw", F.col("_step"))
+                     .drop("_fan", "_step"))
+            buckets.append(sub)
+            counts = keyed.groupBy(*g, *buckets).agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True)
+        n_buckets = counts.count()
     # Prefix sum over the bucket table; bucket tuples sort in key order.
     w = Window.partitionBy(*g).orderBy(*buckets).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*g, *buckets, F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
-    side = F.broadcast(offsets) if counts.count() <= BROADCAST_MAX_ROWS else offsets
+    side = F.broadcast(offsets) if n_buckets <= BROADCAST_MAX_ROWS else offsets
     local = Window.partitionBy(*g, *buckets).orderBy(key, *tiebreak)
     out = (keyed.join(side, [*g, *buckets])
            .withColumn(ord_col, (F.col("_off") + F.row_number().over(local) - 1).cast("long")))

@@ -86,6 +86,147 @@ def stats_report_lines(spark, sf_dir):
     return audit.stats_by_date(_tables(spark, sf_dir), TABLES).select("dt", "ordinal", "line")
 
 
+# -- batching and the outbox -------------------------------------------------
+
+def _short_id(spark):
+    """Rows treated as failed transforms in the error-path queries."""
+    return {t: ~F.col("user_unique_id").startswith("user_") for t in TABLES}
+
+
+def batch_assignment(spark, sf_dir):
+    a = _run(spark, sf_dir).assigned
+    return a.where(F.col("mode") == "BATCH").select("table_name", "dt", "event_id", "ord",
+                                                    F.col("request_no").alias("batch_no"))
+
+
+def page_batch_assignment(spark, sf_dir):
+    a = _run(spark, sf_dir, "month", batch_size=30).assigned
+    return a.where(F.col("mode") == "BATCH").select("table_name", "dt", "event_id", "ord", "page_no",
+                                                    F.col("request_no").alias("batch_no"))
+
+
+def batch_after_errors(spark, sf_dir):
+    a = _run(spark, sf_dir, "month", batch_size=30, reject_if=_short_id(spark)).assigned
+    return a.select("table_name", "dt", "event_id", "ord", "page_no", "mode", "request_no", "error")
+
+
+def request_plan(spark, sf_dir):
+    return _run(spark, sf_dir, "month", batch_size=30).plan
+
+
+def mode_resolution(spark, sf_dir):
+    overrides = {"pay": " batch ", "element_click": "Single", "no_such_table": "SINGLE", "user_info": "x"}
+    return _run(spark, sf_dir, mode_overrides=overrides).plan.select("table_name", "dt", "mode", "best_calls")
+
+
+def page_slice(spark, sf_dir):
+    """The second 1000-row page of every (table, month) partition."""
+    a = _run(spark, sf_dir, "month").assigned
+    return a.where(F.col("page_no") == 1).select("table_name", "dt", "event_id", "ord")
+
+
+def outbox_single(spark, sf_dir):
+    return _run(spark, sf_dir).outbox.where(F.col("endpoint") == "/v2/event/json")
+
+
+def outbox_batch(spark, sf_dir):
+    return _run(spark, sf_dir).outbox.where(F.col("endpoint") == "/v2/event/list")
+
+
+def outbox_all(spark, sf_dir):
+    return _run(spark, sf_dir).outbox
+
+
+def transform_errors(spark, sf_dir):
+    p = _run(spark, sf_dir, reject_if=_short_id(spark)).payloads
+    return p.where(F.col("error").isNotNull()).select("table_name", "dt", "event_id", "error")
+
+
+# -- delivery and outcomes -----------------------------------------------------
+
+def attempt_classify(spark, sf_dir):
+    c = _run(spark, sf_dir).classified
+    return c.select("table_name", "dt", "request_no", "attempt", "http_status", "ok", "error")
+
+
+def response_parse(spark, sf_dir):
+    c = _run(spark, sf_dir).classified.where(F.length("body") > 0)
+    r = F.col("response")
+    return c.select("table_name", "dt", "request_no", "attempt", r["e"].alias("e"),
+                    r["message"].alias("message"), r["sc"].alias("sc"), r["ec"].alias("ec"))
+
+
+def _outcome_cols(df):
+    return df.select("table_name", "dt", "request_no", "mode", "success", "ok_attempt",
+                     "attempts_used", "duration_ms", "reason")
+
+
+def single_outcome(spark, sf_dir):
+    return _outcome_cols(_run(spark, sf_dir).outcome.where(F.col("mode") == "SINGLE"))
+
+
+def batch_outcome(spark, sf_dir):
+    return _outcome_cols(_run(spark, sf_dir).outcome.where(F.col("mode") == "BATCH"))
+
+
+def interrupted_requests(spark, sf_dir):
+    return _outcome_cols(_run(spark, sf_dir).outcome.where(F.col("reason") == "Retry interrupted"))
+
+
+def recovered_requests(spark, sf_dir):
+    return _outcome_cols(_run(spark, sf_dir).outcome.where(F.col("ok_attempt") > 1))
+
+
+def record_outcomes(spark, sf_dir):
+    r = _run(spark, sf_dir, reject_if=_short_id(spark)).record_outcomes
+    return r.select("table_name", "dt", "event_id", "request_no", "status", "reason", "attempts_used")
+
+
+def failure_rate_window(spark, sf_dir):
+    from ..operators.delivery import failure_rate_window as frw
+    return frw(_run(spark, sf_dir).classified)
+
+
+def partial_errors(spark, sf_dir):
+    from ..operators.delivery import partial_errors as pe
+    return pe(_run(spark, sf_dir).classified)
+
+
+def dead_letters(spark, sf_dir):
+    d = _run(spark, sf_dir, reject_if=_short_id(spark)).dead_letters
+    return d.select("run_id", "table_name", "dt", "user_masked", "reason", "record_json")
+
+
+def dead_letter_counts(spark, sf_dir):
+    return audit.dead_letter_counts(_run(spark, sf_dir, reject_if=_short_id(spark)).dead_letters)
+
+
+def table_result(spark, sf_dir):
+    return _run(spark, sf_dir, reject_if=_short_id(spark)).table_results
+
+
+def run_summary(spark, sf_dir):
+    return _run(spark, sf_dir, reject_if=_short_id(spark)).summary
+
+
+def metrics_summary(spark, sf_dir):
+    from ..operators.delivery import failure_rate_window as frw
+    run = _run(spark, sf_dir)
+    return audit.metrics_summary(run.record_outcomes, run.outcome, frw(run.classified))
+
+
+def processing_rate(spark, sf_dir):
+    return audit.processing_rate(_run(spark, sf_dir).classified)
+
+
+def attempt_success_rate(spark, sf_dir):
+    return audit.attempt_success_rate(_run(spark, sf_dir).classified)
+
+
+def retry_histogram(spark, sf_dir):
+    return audit.retry_histogram(_run(spark, sf_dir).outcome)
+
+
 QUERIES: dict[str, Query] = {}
 for _t in TABLES:
     QUERIES[f"payload_json_{_t}"] = payload_json_q(_t)
@@ -97,4 +238,283 @@ QUERIES.update({
     "partition_count": partition_count,
     "stats_by_date": stats_by_date,
     "stats_report_lines": stats_report_lines,
+    "batch_assignment": batch_assignment,
+    "page_batch_assignment": page_batch_assignment,
+    "batch_after_errors": batch_after_errors,
+    "request_plan": request_plan,
+    "mode_resolution": mode_resolution,
+    "page_slice": page_slice,
+    "outbox_single": outbox_single,
+    "outbox_batch": outbox_batch,
+    "outbox_all": outbox_all,
+    "transform_errors": transform_errors,
+    "attempt_classify": attempt_classify,
+    "response_parse": response_parse,
+    "single_outcome": single_outcome,
+    "batch_outcome": batch_outcome,
+    "interrupted_requests": interrupted_requests,
+    "recovered_requests": recovered_requests,
+    "record_outcomes": record_outcomes,
+    "failure_rate_window": failure_rate_window,
+    "partial_errors": partial_errors,
+    "dead_letters": dead_letters,
+    "dead_letter_counts": dead_letter_counts,
+    "table_result": table_result,
+    "run_summary": run_summary,
+    "metrics_summary": metrics_summary,
+    "processing_rate": processing_rate,
+    "attempt_success_rate": attempt_success_rate,
+    "retry_histogram": retry_histogram,
+})
+
+
+# -- status-tracked tables (orders viewed as tracked rows) ----------------------
+
+from ..operators import status_log as sl  # noqa: E402
+from ..sources.tables import tracked_rows  # noqa: E402
+
+RUN_TIME = "2024-02-01 00:00:00"
+KEYSET_PAGE = 1000
+
+
+def _tracked(spark, sf_dir):
+    ensure_conf(spark)
+    return tracked_rows(spark, sf_dir)
+
+
+def _g1_log(spark, sf_dir):
+    """One incremental pass: the first keyset page of pending rows per table
+    is marked Processing, then Success, or Failed with an error (every 7th)."""
+    page = sl.pending_scan(_tracked(spark, sf_dir), 0, KEYSET_PAGE).select("table_name", "id")
+    t0 = F.to_timestamp(F.lit(RUN_TIME))
+    started = sl.status_changes(page, sl.PROCESSING, 1, t0)
+    ok = sl.status_changes(page.where(F.col("id") % 7 != 0), sl.SUCCESS, 2, t0 + F.expr("interval 1 minute"))
+    bad = sl.status_changes(page.where(F.col("id") % 7 == 0), sl.FAILED, 2, t0 + F.expr("interval 1 minute"),
+                            error=F.concat(F.lit("HTTP 503: "), F.repeat(F.lit("server busy "), 50)),
+                            bump_retry=True)
+    return started.unionByName(ok).unionByName(bad)
+
+
+def status_decode(spark, sf_dir):
+    d = sl.decode_status(_tracked(spark, sf_dir), "report_status", sl.status_dim(spark))
+    return d.select("table_name", "id", "report_status", "description", "is_valid")
+
+
+def status_invalid(spark, sf_dir):
+    o = _tracked(spark, sf_dir).withColumn("code", ((F.col("id") % 7) - 1).cast("int"))
+    d = sl.decode_status(o, "code", sl.status_dim(spark))
+    return d.where(~F.col("is_valid")).select("table_name", "id", "code")
+
+
+def pending_keyset_scan(spark, sf_dir):
+    return sl.pending_scan(_tracked(spark, sf_dir), 1000, 500).select("table_name", "id", "user_unique_id")
+
+
+def retryable_scan(spark, sf_dir):
+    return sl.retryable_scan(_tracked(spark, sf_dir), 4, 500).select("table_name", "id", "retry_count")
+
+
+def pending_count(spark, sf_dir):
+    return sl.count_by_status(_tracked(spark, sf_dir), sl.PENDING)
+
+
+def pending_counts_all(spark, sf_dir):
+    return sl.counts_with_total(_tracked(spark, sf_dir), TABLES, sl.PENDING)
+
+
+def pending_nonzero(spark, sf_dir):
+    return sl.count_by_status(_tracked(spark, sf_dir), sl.PENDING).where(F.col("n") > 0)
+
+
+def status_histogram(spark, sf_dir):
+    return sl.status_histogram(_tracked(spark, sf_dir))
+
+
+def batch_record_ids(spark, sf_dir):
+    b = sl.batches_of_ids(_tracked(spark, sf_dir).where(F.col("report_status") == sl.PENDING))
+    return b.select("table_name", "batch_no", F.array_join(F.transform("record_ids", lambda x: x.cast("string")),
+                                                           ",").alias("record_ids"))
+
+
+def max_record_id(spark, sf_dir):
+    b = sl.batches_of_ids(_tracked(spark, sf_dir).where(F.col("report_status") == sl.PENDING))
+    return b.select("table_name", "batch_no", "max_record_id")
+
+
+def _applied(spark, sf_dir):
+    return sl.apply_status(_tracked(spark, sf_dir), _g1_log(spark, sf_dir))
+
+
+def status_apply(spark, sf_dir):
+    return _applied(spark, sf_dir).select("table_name", "id", "report_status", "retry_count")
+
+
+def status_with_error(spark, sf_dir):
+    a = _applied(spark, sf_dir).where(F.col("error_msg").isNotNull())
+    return a.select("table_name", "id", "report_status", "retry_count", "error_msg",
+                    F.length("error_msg").alias("error_len"))
+
+
+def latest_status(spark, sf_dir):
+    return sl.latest_status(_g1_log(spark, sf_dir)).select("table_name", "id", "seq", "status", "error_msg")
+
+
+def retry_exhausted(spark, sf_dir):
+    a = _applied(spark, sf_dir)
+    return a.where((F.col("report_status") == sl.FAILED) & (F.col("retry_count") >= 3)) \
+            .select("table_name", "id", "retry_count")
+
+
+def task_progress(spark, sf_dir):
+    p = sl.task_progress(_g1_log(spark, sf_dir))
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    return p.select("table_name", "task_type", "last_processed_id", "processed_count", "success_count",
+                    "fail_count", F.date_format("start_time", fmt).alias("start_time"),
+                    F.date_format("end_time", fmt).alias("end_time"))
+
+
+def incremental_pending(spark, sf_dir):
+    t = _tracked(spark, sf_dir)
+    p = sl.task_progress(_g1_log(spark, sf_dir))
+    return sl.incremental_pending(t, p).select("table_name", "id")
+
+
+def stale_processing(spark, sf_dir):
+    now = F.to_timestamp(F.lit("2000-01-01 00:00:00"))
+    return sl.stale_processing(_tracked(spark, sf_dir), now).select("table_name", "id")
+
+
+# -- masking, JSON, coercion, parsing -----------------------------------------
+
+from ..functions import jsonfn, masking  # noqa: E402
+from ..functions.coercion import to_long  # noqa: E402
+from ..registry import parse_mode, validate_tables  # noqa: E402
+from ..sources.tables import EVENT_TYPE_OF, events_base, load  # noqa: E402
+
+
+def mask_user_id(spark, sf_dir):
+    b = events_base(spark, sf_dir)
+    return b.select("event_id", "user_unique_id", masking.mask_user_id(F.col("user_unique_id")).alias("masked"))
+
+
+def _secret_docs(spark, sf_dir):
+    d = load(spark, sf_dir, "documents")
+    sp = F.when(F.col("doc_id") % 2 == 0, F.lit(" : ")).otherwise(F.lit(":"))
+    s = F.col("doc_id").cast("string")
+    doc = F.concat(F.lit('{"doc_id":'), s, F.lit(',"password"'), sp, F.lit('"pw'), s,
+                   F.lit('","lang":"'), F.col("lang"), F.lit('","appKey":"ak-'), F.col("n_chars").cast("string"),
+                   F.lit('","token"'), sp, F.lit('"tok'), s, F.lit('","secret":"'), F.col("lang"),
+                   F.lit('-s","apiKey":"k'), s, F.lit('","api_key":"x","n_chars":'),
+                   F.col("n_chars").cast("string"), F.lit(',"secretCount":3}'))
+    return d.select("doc_id", doc.alias("doc"))
+
+
+def mask_json(spark, sf_dir):
+    d = _secret_docs(spark, sf_dir)
+    return d.select("doc_id", masking.mask_json(F.col("doc")).alias("masked"))
+
+
+def mask_url(spark, sf_dir):
+    p = load(spark, sf_dir, "pages")
+    url = F.when((F.col("page_id") % 3 == 0) & F.col("url").contains("?"),
+                 F.concat(F.col("url"), F.lit("&token=abc"))).otherwise(F.col("url"))
+    return p.select("page_id", url.alias("url")).select(
+        "page_id", "url", masking.mask_url(F.col("url")).alias("masked_url"))
+
+
+def _records(spark, sf_dir, name):
+    spec = REGISTRY.get(name)
+    df = driver_table(spark, sf_dir, name)
+    return df.select("event_id", jsonfn.record_json(*spec.select_fields()).alias("record_json"))
+
+
+def record_json(spark, sf_dir):
+    return _records(spark, sf_dir, "pay_result")
+
+
+def pretty_json(spark, sf_dir):
+    spec = REGISTRY.get("pay")
+    df = driver_table(spark, sf_dir, "pay")
+    return df.select("event_id", jsonfn.pretty_json(F.struct(*spec.select_fields())).alias("pretty"))
+
+
+def json_typed_parse(spark, sf_dir):
+    r = _records(spark, sf_dir, "pay")
+    schema = "user_unique_id string, et bigint, pay_amount decimal(10,2), is_ai int, package_type string"
+    p = r.select("event_id", jsonfn.parse_typed(F.col("record_json"), schema).alias("p"))
+    return p.select("event_id", "p.user_unique_id", "p.et", "p.pay_amount", "p.is_ai", "p.package_type")
+
+
+def json_map_parse(spark, sf_dir):
+    r = _records(spark, sf_dir, "element_click")
+    m = r.select("event_id", jsonfn.parse_map(F.col("record_json")).alias("m"))
+    return m.select("event_id", F.explode("m").alias("key", "value"))
+
+
+def map_to_json(spark, sf_dir):
+    df = driver_table(spark, sf_dir, "element_click")
+    m = F.create_map(F.lit("click_type"), F.col("click_type"), F.lit("click_area"), F.col("click_area"))
+    return df.select("event_id", jsonfn.map_json(m).alias("json"))
+
+
+def _coercion_text():
+    k = F.col("k").cast("string")
+    r = F.col("event_id") % 7
+    return (F.when(r == 0, k).when(r == 1, F.concat(F.lit("+"), k))
+            .when(r == 2, F.concat(F.lit(" "), k, F.lit(" "))).when(r == 3, F.concat(k, F.lit(".9")))
+            .when(r == 4, F.concat(F.lit("x"), k)).when(r == 5, F.lit("99999999999999999999"))
+            .otherwise(F.concat(F.lit("-"), k)))
+
+
+def long_coercion(spark, sf_dir):
+    b = events_base(spark, sf_dir).select("event_id", _coercion_text().alias("text"), "amount")
+    return b.select("event_id", "text", to_long(F.col("text")).alias("as_long"),
+                    to_long(F.col("amount"), b.schema["amount"].dataType).alias("amount_long"))
+
+
+def mode_parse(spark, sf_dir):
+    r = F.col("event_id") % 6
+    text = (F.when(r == 0, F.lit("single")).when(r == 1, F.lit(" SINGLE ")).when(r == 2, F.lit("BATCH"))
+            .when(r == 3, F.lit("")).when(r == 4, F.lit(None).cast("string")).otherwise(F.lit("x")))
+    b = load(spark, sf_dir, "events").select("event_id", text.alias("mode_text"))
+    return b.select("event_id", "mode_text", parse_mode(F.col("mode_text")).alias("mode"))
+
+
+def table_validation(spark, sf_dir):
+    ev = load(spark, sf_dir, "events").select(F.col("event_type").alias("table_name"))
+    mapping = F.create_map(*[x for t, e in EVENT_TYPE_OF.items() for x in (F.lit(e), F.lit(t))])
+    mapped = load(spark, sf_dir, "events").select(F.element_at(mapping, F.col("event_type")).alias("table_name"))
+    names = ev.unionByName(mapped).distinct()
+    return validate_tables(names, REGISTRY.to_df(spark))
+
+
+QUERIES.update({
+    "status_decode": status_decode,
+    "status_invalid": status_invalid,
+    "pending_keyset_scan": pending_keyset_scan,
+    "retryable_scan": retryable_scan,
+    "pending_count": pending_count,
+    "pending_counts_all": pending_counts_all,
+    "pending_nonzero": pending_nonzero,
+    "status_histogram": status_histogram,
+    "batch_record_ids": batch_record_ids,
+    "max_record_id": max_record_id,
+    "status_apply": status_apply,
+    "status_with_error": status_with_error,
+    "latest_status": latest_status,
+    "retry_exhausted": retry_exhausted,
+    "task_progress": task_progress,
+    "incremental_pending": incremental_pending,
+    "stale_processing": stale_processing,
+    "mask_user_id": mask_user_id,
+    "mask_json": mask_json,
+    "mask_url": mask_url,
+    "record_json": record_json,
+    "pretty_json": pretty_json,
+    "json_typed_parse": json_typed_parse,
+    "json_map_parse": json_map_parse,
+    "map_to_json": map_to_json,
+    "long_coercion": long_coercion,
+    "mode_parse": mode_parse,
+    "table_validation": table_validation,
 })

@@ -179,14 +179,20 @@ def driver_tables(spark: SparkSession, sf_dir: str, dt_granularity: str = "day",
     return {n: driver_table(spark, sf_dir, n, dt_granularity, registry) for n in names}
 
 
-def tracked_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Status-tracked rows (id, user, report_status, retry_count) from ``orders``.
+def tracked_rows(spark: SparkSession, sf_dir: str, registry: Registry = REGISTRY) -> DataFrame:
+    """Status-tracked rows (table_name, id, user, report_status, retry_count,
+    updated_at) from ``orders``.
 
-    Half pending, a tenth in flight, a fifth done, a fifth failed.
+    The order priority's leading digit picks the table (1 → first registry
+    table, ...). Half pending, a tenth in flight, a fifth done, a fifth failed.
     """
     o = load(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
+    names = registry.names()
+    digit = F.substring("o_orderpriority", 1, 1).cast("int")
+    table = F.element_at(F.array(*[F.lit(n) for n in names]), digit)
     return o.select(
+        table.alias("table_name"),
         key.alias("id"),
         F.concat(F.lit("user_"), F.lpad(F.col("o_custkey").cast("string"), 8, "0")).alias("user_unique_id"),
         F.when(key % 10 < 5, 0).when(key % 10 == 5, 1).when(key % 10 < 8, 2).otherwise(3).alias("report_status"),
