@@ -523,4 +523,23 @@ def build() -> dict[str, str]:
         coalesce(table_name in ({", ".join(f"'{t}'" for t in TABLE_NAMES)}), false) as is_valid
       from (select event_type as table_name from events
             union select case event_type {mapping} end from events)"""
+    # logs, backfill, duplicates
+    failed_msg = ("'FAILED: table=' || table_name || ', dt=' || dt || ', user=' || user_masked || "
+                  "', reason=' || reason || ', record=' || record_json_raw")
+    out["failed_log_parse"] = with_run(
+        "select table_name, dt, user_masked, reason, record_json_raw as record_json from dead_letters", reject=True)
+    out["summary_log_parse"] = with_run("""select cast(sum(total) as bigint) as total,
+        cast(sum(success) as bigint) as success, cast(sum(fail) as bigint) as fail
+      from table_results group by dt""", reject=True)
+    out["log_error_filter"] = with_run(
+        f"select 'ERROR' as level, 'FAILED_RECORDS' as logger, {failed_msg} as msg from dead_letters", reject=True)
+    out["backfill_range"] = with_run("""select dt, cast(sum(total) as bigint) as total,
+        cast(sum(success) as bigint) as success, cast(sum(fail) as bigint) as fail
+      from table_results where dt between '2024-01-05' and '2024-01-20' group by dt""", reject=True)
+    out["failed_dates"] = with_run("""select dt, cast(sum(fail) as bigint) as fail
+      from table_results group by dt having sum(fail) > 0""")
+    out["duplicate_report"] = with_views("""select table_name, dt, delivery_key, count(*) as n from (
+        select table_name, dt, sha256(concat_ws(chr(1), table_name, dt, user_unique_id,
+          cast(local_time_ms as varchar), params)) as delivery_key from payloads)
+      group by table_name, dt, delivery_key having count(*) > 1""")
     return out

@@ -518,3 +518,54 @@ QUERIES.update({
     "mode_parse": mode_parse,
     "table_validation": table_validation,
 })
+
+
+# -- logs, backfill, duplicates ---------------------------------------------------
+
+from ..operators import dedupe  # noqa: E402
+from ..sources import logs  # noqa: E402
+from ..sources.tables import date_range  # noqa: E402
+from .report_run import failed_records_file, run_log  # noqa: E402
+
+BACKFILL = ("2024-01-05", "2024-01-20")
+
+
+def failed_log_parse(spark, sf_dir):
+    lines = failed_records_file(_run(spark, sf_dir, reject_if=_short_id(spark)))
+    return logs.parse_failed(lines).select("table_name", "dt", "user_masked", "reason", "record_json")
+
+
+def summary_log_parse(spark, sf_dir):
+    lines = run_log(_run(spark, sf_dir, reject_if=_short_id(spark)))
+    return logs.parse_summary(logs.parse_main(lines)).select("total", "success", "fail")
+
+
+def log_error_filter(spark, sf_dir):
+    lines = run_log(_run(spark, sf_dir, reject_if=_short_id(spark)))
+    return logs.errors_only(logs.parse_main(lines)).select("level", "logger", "msg")
+
+
+def backfill_range(spark, sf_dir):
+    """All dates of an inclusive range in one job; per-date totals."""
+    tables = {n: df.where(date_range(*BACKFILL)) for n, df in _tables(spark, sf_dir).items()}
+    run = ReportRun(spark, tables, RunConfig(), reject_if=_short_id(spark))
+    return run.summary.where(F.col("level") == "date").select("dt", "total", "success", "fail")
+
+
+def failed_dates(spark, sf_dir):
+    s = _run(spark, sf_dir).summary
+    return s.where((F.col("level") == "date") & (F.col("fail") > 0)).select("dt", "fail")
+
+
+def duplicate_report(spark, sf_dir):
+    return dedupe.duplicate_groups(_run(spark, sf_dir).payloads)
+
+
+QUERIES.update({
+    "failed_log_parse": failed_log_parse,
+    "summary_log_parse": summary_log_parse,
+    "log_error_filter": log_error_filter,
+    "backfill_range": backfill_range,
+    "failed_dates": failed_dates,
+    "duplicate_report": duplicate_report,
+})

@@ -162,3 +162,31 @@ def parse_overrides(pairs: Mapping[str, str]) -> dict[str, str]:
 
 
 __all__ = ["ReportRun", "RunConfig", "parse_overrides", "parse_mode"]
+
+
+LOG_TS = "2024-02-01 00:00:00.000"
+
+
+def run_log(run: ReportRun, ts: str = LOG_TS) -> DataFrame:
+    """The run's main log as text lines: per-table results and per-date
+    summaries (INFO), failed attempts (WARN), failed records (ERROR)."""
+    from ..sources.logs import main_line
+
+    t = F.lit(ts)
+    tr = run.table_results.select(main_line(t, "INFO", "ReportService", F.format_string(
+        "Table %s completed: total=%d, success=%d, fail=%d", "table_name", "total", "success", "fail"))
+        .alias("value"))
+    sm = run.summary.where(F.col("level") == "date").select(
+        main_line(t, "INFO", "ReportService", F.col("line")).alias("value"))
+    warn = run.classified.where(~F.col("ok")).select(main_line(t, "WARN", "ReportService", F.format_string(
+        "Report attempt %d failed for table %s: %s", "attempt", "table_name", "error")).alias("value"))
+    err = audit.failed_line(run.dead_letters).select(
+        main_line(t, "ERROR", "FAILED_RECORDS", F.col("value")).alias("value"))
+    return tr.unionByName(sm).unionByName(warn).unionByName(err)
+
+
+def failed_records_file(run: ReportRun, ts: str = LOG_TS) -> DataFrame:
+    """The failed-records file: ``<ts> - FAILED: ...`` per dead letter."""
+    from ..sources.logs import failed_file_line
+    return audit.failed_line(run.dead_letters).select(
+        failed_file_line(F.lit(ts), F.col("value")).alias("value"))
