@@ -50,23 +50,23 @@ def assign_requests(payloads: DataFrame, modes: DataFrame, batch_size: int = 20,
     """
     check_batch_size(batch_size)
     df = with_ordinal(payloads, GROUP, key, "ord", bucket_rows=bucket_rows)
-    df = df.join(F.broadcast(modes.select("table_name", "mode")), "table_name", "left") \
-           .withColumn("mode", F.coalesce("mode", F.lit(BATCH)))
-    df = df.withColumn("page_no", F.floor(F.col("ord") / F.lit(page_size)).cast("long"))
+    df = df.join(F.broadcast(modes.select("table_name", F.col("mode").alias("_mode"))), "table_name", "left")
+    mode = F.coalesce("_mode", F.lit(BATCH))
+    page = F.floor(F.col("ord") / F.lit(page_size)).cast("long")
     good = F.col("error").isNull()
     if may_have_errors:
         # position among the good rows of the page; a page holds at most
         # page_size rows, so this window is bounded per task
-        w = Window.partitionBy("table_name", "dt", "page_no", good).orderBy("ord")
+        w = Window.partitionBy("table_name", "dt", page, good).orderBy("ord")
         in_page = F.row_number().over(w) - 1
-        df = df.withColumn("_in_page", in_page)
     else:
-        df = df.withColumn("_in_page", F.pmod(F.col("ord"), F.lit(page_size)))
-    bno = batch_number(F.col("ord"), page_size, batch_size, F.col("_in_page"))
-    req = F.when(~good, F.lit(None).cast("long")) \
-           .when(F.col("mode") == SINGLE, F.col("ord")).otherwise(bno)
-    endpoint = F.when(F.col("mode") == SINGLE, F.lit(SINGLE_ENDPOINT)).otherwise(F.lit(BATCH_ENDPOINT))
-    return df.withColumn("request_no", req).withColumn("endpoint", endpoint).drop("_in_page")
+        in_page = F.pmod(F.col("ord"), F.lit(page_size))
+    bno = batch_number(F.col("ord"), page_size, batch_size, in_page)
+    req = F.when(~good, F.lit(None).cast("long")).when(mode == SINGLE, F.col("ord")).otherwise(bno)
+    endpoint = F.when(mode == SINGLE, F.lit(SINGLE_ENDPOINT)).otherwise(F.lit(BATCH_ENDPOINT))
+    base = [c for c in df.columns if c != "_mode"]
+    return df.select(*base, mode.alias("mode"), page.alias("page_no"), req.alias("request_no"),
+                     endpoint.alias("endpoint"))
 
 
 def outbox(assigned: DataFrame, run_id: str = "run") -> DataFrame:

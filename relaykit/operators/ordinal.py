@@ -43,24 +43,25 @@ def with_ordinal(df: DataFrame, group_cols: Sequence[str], key: str,
     """
     g = list(group_cols)
     nb = F.greatest(F.ceil(F.col("_n") / F.lit(bucket_rows)), F.lit(1)).cast("long")
+    width = (F.floor((F.col("_hi") - F.col("_lo")) / nb) + 1).cast("long")
     stats = (df.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.min(key).alias("_lo"),
                                 F.max(key).alias("_hi"))
-             .select(*g, "_n", "_lo", "_hi", nb.alias("_nb"))
-             .withColumn("_w", (F.floor((F.col("_hi") - F.col("_lo")) / F.col("_nb")) + 1).cast("long"))
-             .drop("_hi")
+             .select(*g, "_n", "_lo", nb.alias("_nb"), width.alias("_w"))
              .persist())
     # one row per group (tables x dates of a run): small, bounded by the run
     top = stats.agg(F.max("_n").alias("max_n"), F.sum("_nb").alias("buckets")).first()
     if top is None or top["max_n"] is None:
         stats.unpersist()
         return df.withColumn(ord_col, F.lit(None).cast("long"))
+    if top["max_n"] <= bucket_rows:
+        # every group fits one bucket: a window per group is already bounded
+        stats.unpersist()
+        w1 = Window.partitionBy(*g).orderBy(key, *tiebreak)
+        return df.withColumn(ord_col, (F.row_number().over(w1) - 1).cast("long"))
     plan = stats.select(*g, "_lo", "_w")
     b0 = F.floor((F.col(key) - F.col("_lo")) / F.col("_w")).cast("long")
-    keyed = (df.join(F.broadcast(plan), g)
-             .withColumn("_b0", b0)
-             .withColumn("_blo", F.col("_lo") + F.col("_b0") * F.col("_w"))
-             .withColumnRenamed("_w", "_bw")
-             .drop("_lo"))
+    keyed = df.join(F.broadcast(plan), g).select(
+        *df.columns, b0.alias("_b0"), (F.col("_lo") + b0 * F.col("_w")).alias("_blo"), F.col("_w").alias("_bw"))
     buckets = ["_b0"]
     counts = keyed.groupBy(*g, *buckets).agg(F.count(F.lit(1)).alias("_c"))
     n_buckets = int(top["buckets"])
@@ -78,12 +79,11 @@ def with_ordinal(df: DataFrame, group_cols: Sequence[str], key: str,
             hot_plan = hot.select(*g, *buckets, fan.alias("_fan"))
             sub = f"_b{level}"
             step = F.ceil(F.col("_bw") / F.col("_fan")).cast("long")
-            keyed = (keyed.join(F.broadcast(hot_plan), [*g, *buckets], "left")
-                     .withColumn("_step", F.when(F.col("_fan").isNull(), F.col("_bw")).otherwise(step))
-                     .withColumn(sub, F.floor((F.col(key) - F.col("_blo")) / F.col("_step")).cast("long"))
-                     .withColumn("_blo", F.col("_blo") + F.col(sub) * F.col("_step"))
-                     .withColumn("_bw", F.col("_step"))
-                     .drop("_fan", "_step"))
+            st = F.when(F.col("_fan").isNull(), F.col("_bw")).otherwise(step)
+            sb = F.floor((F.col(key) - F.col("_blo")) / st).cast("long")
+            keep = [c for c in keyed.columns if c not in ("_blo", "_bw")]
+            keyed = keyed.join(F.broadcast(hot_plan), [*g, *buckets], "left").select(
+                *keep, sb.alias(sub), (F.col("_blo") + sb * st).alias("_blo"), st.alias("_bw"))
             buckets.append(sub)
             counts = keyed.groupBy(*g, *buckets).agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True)
         n_buckets = counts.count()
@@ -92,6 +92,5 @@ def with_ordinal(df: DataFrame, group_cols: Sequence[str], key: str,
     offsets = counts.select(*g, *buckets, F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
     side = F.broadcast(offsets) if n_buckets <= BROADCAST_MAX_ROWS else offsets
     local = Window.partitionBy(*g, *buckets).orderBy(key, *tiebreak)
-    out = (keyed.join(side, [*g, *buckets])
-           .withColumn(ord_col, (F.col("_off") + F.row_number().over(local) - 1).cast("long")))
-    return out.drop("_blo", "_bw", "_off", *buckets)
+    ordinal = (F.col("_off") + F.row_number().over(local) - 1).cast("long")
+    return keyed.join(side, [*g, *buckets]).select(*df.columns, ordinal.alias(ord_col))

@@ -27,9 +27,20 @@ def _tables(spark: SparkSession, sf_dir: str, gran: str = "day") -> dict[str, Da
     return driver_tables(spark, sf_dir, gran)
 
 
+_RUNS: dict[tuple, ReportRun] = {}
+
+
 def _run(spark: SparkSession, sf_dir: str, gran: str = "day", **cfg) -> ReportRun:
+    """The report run over the driver tables; one planned (and, once
+    executed, cached) run per session, data dir and configuration, shared
+    by every query that looks at a part of it."""
     reject = cfg.pop("reject_if", None)
-    return ReportRun(spark, _tables(spark, sf_dir, gran), RunConfig(**cfg), reject_if=reject)
+    key = (id(spark), sf_dir, gran, reject is not None,
+           tuple(sorted((k, str(v)) for k, v in cfg.items())))
+    if key not in _RUNS:
+        _RUNS[key] = ReportRun(spark, _tables(spark, sf_dir, gran), RunConfig(**cfg),
+                               reject_if=reject, cache=True)
+    return _RUNS[key]
 
 
 # -- payloads ---------------------------------------------------------------

@@ -17,6 +17,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,7 +49,8 @@ class RunConfig:
 class ReportRun:
     def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame],
                  config: RunConfig | None = None, registry: Registry = REGISTRY,
-                 reject_if: Mapping[str, Column] | None = None):
+                 reject_if: Mapping[str, Column] | None = None, cache: bool = False):
+        self.cache = cache
         self.spark = spark
         self.tables = dict(tables)
         self.cfg = config or RunConfig()
@@ -77,9 +79,16 @@ class ReportRun:
 
     @cached_property
     def assigned(self) -> DataFrame:
-        return batching.assign_requests(self.payloads, self.modes, self.cfg.batch_size, self.cfg.page_size,
-                                        self.cfg.key, may_have_errors=self.reject_if is not None,
-                                        bucket_rows=self.cfg.bucket_rows)
+        """Every source row with its ordinal, page, mode and request number.
+
+        With ``cache`` the rows are persisted (memory, spilling to disk): the
+        outbox, the members and the dead letters all read them. A lost
+        executor's blocks are recomputed from lineage, which is exact since
+        the ordinal is deterministic."""
+        a = batching.assign_requests(self.payloads, self.modes, self.cfg.batch_size, self.cfg.page_size,
+                                     self.cfg.key, may_have_errors=self.reject_if is not None,
+                                     bucket_rows=self.cfg.bucket_rows)
+        return a.persist(StorageLevel.MEMORY_AND_DISK) if self.cache else a
 
     @cached_property
     def outbox(self) -> DataFrame:

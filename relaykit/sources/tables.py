@@ -78,8 +78,16 @@ def date_range(start: str, end: str) -> Column:
     return (F.col("dt") >= F.lit(start)) & (F.col("dt") <= F.lit(end))
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Read one driver table; the DataFrame (plan only, no data) is reused
+    within a session so footers are listed once."""
+    k = (id(spark), f"{sf_dir}/{name}.parquet")
+    if k not in _READS:
+        _READS[k] = spark.read.parquet(k[1])
+    return _READS[k]
 
 
 # ---------------------------------------------------------------------------
@@ -164,11 +172,17 @@ def _view_columns(name: str) -> list[Column]:
     raise KeyError(name)
 
 
+_BASES: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def driver_table(spark: SparkSession, sf_dir: str, name: str,
                  dt_granularity: str = "day", registry: Registry = REGISTRY) -> DataFrame:
     """One reported table as a view over ``events`` (key ``event_id``)."""
     spec = registry.get(name)
-    base = events_base(spark, sf_dir, dt_granularity).where(F.col("event_type") == EVENT_TYPE_OF[name])
+    k = (id(spark), sf_dir, dt_granularity)
+    if k not in _BASES:
+        _BASES[k] = events_base(spark, sf_dir, dt_granularity)
+    base = _BASES[k].where(F.col("event_type") == EVENT_TYPE_OF[name])
     keep = ["event_id", "dt", "user_unique_id"] + (["et"] if spec.has_et else [])
     return base.select(*keep, *_view_columns(name))
 
