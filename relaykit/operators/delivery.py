@@ -101,7 +101,7 @@ def deliver(outbox: DataFrame, transport: Callable[[str, str], tuple[int, str]],
                     except Exception as e:  # noqa: BLE001 — wrapper failure
                         err = BREAKER_PREFIX + str(e)
                     rows.append((run_id, rec.table_name, rec.dt, rec.request_no, attempt, int(status),
-                                 resp, err, pd.Timestamp(t0, unit="s"), int((time.time() - t0) * 1000)))
+                                 resp, err, pd.Timestamp(int(t0 * 1e6), unit="us"), int((time.time() - t0) * 1000)))
                     if status == 200:
                         break
             yield pd.DataFrame(rows, columns=ATTEMPT_SCHEMA.fieldNames())
