@@ -542,4 +542,5 @@ def build() -> dict[str, str]:
         select table_name, dt, sha256(concat_ws(chr(1), table_name, dt, user_unique_id,
           cast(local_time_ms as varchar), params)) as delivery_key from payloads)
       group by table_name, dt, delivery_key having count(*) > 1""")
+    out["stream_outbox"] = out["outbox_all"]
     return out

@@ -580,3 +580,48 @@ QUERIES.update({
     "failed_dates": failed_dates,
     "duplicate_report": duplicate_report,
 })
+
+
+# -- streaming -----------------------------------------------------------------
+
+from ..streaming import runner  # noqa: E402
+from ..sources.tables import events_view, tables_from_events  # noqa: E402
+
+
+def _events_stream(spark, sf_dir):
+    schema = load(spark, sf_dir, "events").schema
+    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+            .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+
+
+def stream_outbox(spark, sf_dir):
+    """The outbox built incrementally: availableNow over the events files,
+    each micro-batch through the batch plan, outputs keyed by epoch."""
+    out = runner.scratch_path(spark, "stream-out")
+    q = runner.start_report_stream(_events_stream(spark, sf_dir),
+                                   lambda b: tables_from_events(events_view(b)), out,
+                                   runner.scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    return spark.read.parquet(f"{out}/outbox").drop("epoch")
+
+
+def stream_rate_metrics(spark, sf_dir):
+    """Minute rates on a streamed attempt log (closed windows only)."""
+    log_dir = runner.scratch_path(spark, "attempt-log")
+    # four time-ordered files arriving one per trigger: the watermark moves
+    _run(spark, sf_dir).attempts.repartitionByRange(4, "started_at").write.mode("overwrite").parquet(log_dir)
+    schema = spark.read.parquet(log_dir).schema
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(log_dir)
+    out = runner.scratch_path(spark, "rates")
+    q = (runner.minute_rates(src, "30 seconds").writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", runner.scratch_path(spark, "rates-ckpt"))
+         .trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    return spark.read.schema("window_start string, table_name string, attempts long, ok long, failed long") \
+                .parquet(out)
+
+
+QUERIES.update({
+    "stream_outbox": stream_outbox,
+    "stream_rate_metrics": stream_rate_metrics,
+})

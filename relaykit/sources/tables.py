@@ -109,7 +109,11 @@ def events_base(spark: SparkSession, sf_dir: str, dt_granularity: str = "day") -
     ``dt_granularity='month'`` uses ``yyyy-MM`` as the partition so a single
     partition has enough rows for paging to matter.
     """
-    ev = load(spark, sf_dir, "events")
+    return events_view(load(spark, sf_dir, "events"), dt_granularity)
+
+
+def events_view(ev: DataFrame, dt_granularity: str = "day") -> DataFrame:
+    """:func:`events_base` over an events DataFrame (batch or micro-batch)."""
     day = F.col("ts").cast("date").cast("string")
     dt = day if dt_granularity == "day" else F.substring(day, 1, 7)
     uid = F.col("user_id").cast("string")
@@ -187,6 +191,16 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str,
     return base.select(*keep, *_view_columns(name))
 
 
+def tables_from_events(base: DataFrame, registry: Registry = REGISTRY) -> dict[str, DataFrame]:
+    """The five views from an :func:`events_view` DataFrame."""
+    out = {}
+    for name, etype in EVENT_TYPE_OF.items():
+        spec = registry.get(name)
+        keep = ["event_id", "dt", "user_unique_id"] + (["et"] if spec.has_et else [])
+        out[name] = base.where(F.col("event_type") == etype).select(*keep, *_view_columns(name))
+    return out
+
+
 def driver_tables(spark: SparkSession, sf_dir: str, dt_granularity: str = "day",
                   registry: Registry = REGISTRY, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
     names = list(names) if names is not None else [n for n in registry.names() if n in EVENT_TYPE_OF]
