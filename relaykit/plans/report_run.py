@@ -85,7 +85,11 @@ class ReportRun:
         outbox, the members and the dead letters all read them. A lost
         executor's blocks are recomputed from lineage, which is exact since
         the ordinal is deterministic."""
-        a = batching.assign_requests(self.payloads, self.modes, self.cfg.batch_size, self.cfg.page_size,
+        # only what the outbox, members and dead letters read crosses the
+        # shuffle (the payload struct is already serialised in ``body``)
+        needed = ["table_name", "dt", self.cfg.key, "user_unique_id", "body", "error", "record_json"]
+        a = batching.assign_requests(self.payloads.select(*needed), self.modes, self.cfg.batch_size,
+                                     self.cfg.page_size,
                                      self.cfg.key, may_have_errors=self.reject_if is not None,
                                      bucket_rows=self.cfg.bucket_rows)
         return a.persist(StorageLevel.MEMORY_AND_DISK) if self.cache else a
@@ -125,7 +129,10 @@ class ReportRun:
 
     @cached_property
     def classified(self) -> DataFrame:
-        return delivery.classify(self.attempts)
+        """Attempts with ok flag, error text and parsed response. Cached runs
+        keep it (a stored table in production: the transport's log)."""
+        c = delivery.classify(self.attempts)
+        return c.persist(StorageLevel.MEMORY_AND_DISK) if self.cache else c
 
     @cached_property
     def outcome(self) -> DataFrame:
