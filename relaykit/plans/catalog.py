@@ -39,7 +39,7 @@ def _run(spark: SparkSession, sf_dir: str, gran: str = "day", **cfg) -> ReportRu
            tuple(sorted((k, str(v)) for k, v in cfg.items())))
     if key not in _RUNS:
         _RUNS[key] = ReportRun(spark, _tables(spark, sf_dir, gran), RunConfig(**cfg),
-                               reject_if=reject, cache=True)
+                               reject_if=reject, cache=True, scripted_attempts=True)
     return _RUNS[key]
 
 
@@ -559,7 +559,7 @@ def log_error_filter(spark, sf_dir):
 def backfill_range(spark, sf_dir):
     """All dates of an inclusive range in one job; per-date totals."""
     tables = {n: df.where(date_range(*BACKFILL)) for n, df in _tables(spark, sf_dir).items()}
-    run = ReportRun(spark, tables, RunConfig(), reject_if=_short_id(spark))
+    run = ReportRun(spark, tables, RunConfig(), reject_if=_short_id(spark), scripted_attempts=True)
     return run.summary.where(F.col("level") == "date").select("dt", "total", "success", "fail")
 
 

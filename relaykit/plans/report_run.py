@@ -49,8 +49,10 @@ class RunConfig:
 class ReportRun:
     def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame],
                  config: RunConfig | None = None, registry: Registry = REGISTRY,
-                 reject_if: Mapping[str, Column] | None = None, cache: bool = False):
+                 reject_if: Mapping[str, Column] | None = None, cache: bool = False,
+                 scripted_attempts: bool = False):
         self.cache = cache
+        self.scripted_attempts = scripted_attempts
         self.spark = spark
         self.tables = dict(tables)
         self.cfg = config or RunConfig()
@@ -123,9 +125,13 @@ class ReportRun:
 
     @cached_property
     def attempts(self) -> DataFrame:
+        """The attempt log: given (``use_attempts`` / ``send``), the scripted
+        test log when asked for, else empty (every request still unsent)."""
         if self.attempts_override is not None:
             return self.attempts_override
-        return delivery.scripted_attempts(self.outbox, self.cfg.run_id)
+        if self.scripted_attempts:
+            return delivery.scripted_attempts(self.outbox, self.cfg.run_id)
+        return self.spark.createDataFrame([], delivery.ATTEMPT_SCHEMA)
 
     @cached_property
     def classified(self) -> DataFrame:
