@@ -33,6 +33,23 @@ HEADLINE = [
 ]
 
 
+def request_checks(spark, sf_dir: str) -> dict:
+    """Request counts must equal the plan: outbox rows = Σ best-case calls
+    at this scale, and 1000 rows give 1000 SINGLE calls or 50 BATCH of 20."""
+    from pyspark.sql import functions as F
+
+    from relaykit.operators.batching import request_plan
+    run = catalog._run(spark, sf_dir)
+    outbox_n = run.outbox.count()
+    planned = run.plan.agg(F.sum("best_calls")).first()[0]
+    thousand = spark.createDataFrame([("s", "d", 1000), ("b", "d", 1000)], "table_name string, dt string, n long")
+    modes = spark.createDataFrame([("s", "SINGLE"), ("b", "BATCH")], "table_name string, mode string")
+    calls = {r.table_name: r.best_calls for r in request_plan(thousand, modes, 20).collect()}
+    return {"outbox_requests": outbox_n, "planned_requests": int(planned),
+            "requests_match_plan": outbox_n == planned,
+            "thousand_rows_single_calls": calls["s"], "thousand_rows_batch_calls": calls["b"]}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -50,6 +67,7 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
     n_events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    checks = request_checks(spark, sf_dir)
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     out = {
@@ -60,6 +78,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "records": n_events,
         "outbox_records_per_sec": round(n_events / times["outbox_all"], 1) if times["outbox_all"] else None,
+        "checks": checks,
     }
     print(json.dumps(out))
     spark.stop()

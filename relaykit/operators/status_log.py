@@ -51,6 +51,12 @@ def decode_status_strict(c: Column) -> Column:
     return out.otherwise(F.raise_error(F.concat(F.lit("Unknown status code: "), c.cast("string"))))
 
 
+def rows_with_ids(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """``WHERE id IN (...)`` as a left-semi join on (table_name, id); an
+    empty id set selects nothing (the reference's no-op update)."""
+    return df.join(ids.select("table_name", "id").distinct(), ["table_name", "id"], "left_semi")
+
+
 def truncate_error(c: Column) -> Column:
     return F.substring(c, 1, ERROR_MAX_CHARS)
 
