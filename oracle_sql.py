@@ -489,6 +489,13 @@ def build() -> dict[str, str]:
     out["mask_json"] = f"""select doc_id, regexp_replace(doc, '{SECRET_RE}', '\\1***', 'g') as masked
       from (select doc_id, {SECRET_DOC} as doc
             from (select *, case when doc_id % 2 = 0 then ' : ' else ':' end as sp from documents))"""
+    out["mask_json_documents"] = f"""select doc_id, masked, masked <> body as redacted from (
+        select doc_id, body, regexp_replace(body, '{SECRET_RE}', '\\1***', 'g') as masked from (
+          select doc_id, '{{"doc_id":' || cast(doc_id as varchar)
+            || case when lang is null then '' else ',"lang":' || to_json(lang)::varchar end
+            || case when tok = '' then '' else ',"token":' || to_json(tok)::varchar end
+            || case when text is null then '' else ',"text":' || to_json(text)::varchar end || '}}' as body
+          from (select *, regexp_extract(text, 'token = "([0-9a-f]+)"', 1) as tok from documents)))"""
     out["mask_url"] = """select page_id, url,
         case when contains(url, '?') and (contains(url, 'key=') or contains(url, 'token=')
                or contains(url, 'password=') or contains(url, 'secret='))

@@ -77,6 +77,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--batch-size", type=int, default=20)
     p.add_argument("--mode-override", action="append", default=[], help="table=SINGLE|BATCH")
     p.add_argument("--attempt-log", default=None, help="parquet attempt log of a delivery")
+    p.add_argument("--properties", default=None, help="key=value settings file (event.tables, ...)")
     p.add_argument("--master", default=None)
     a = p.parse_args(argv)
     spark = build_session(master=a.master) if a.master else SparkSession.builder.getOrCreate()
@@ -94,7 +95,13 @@ def main(argv: list[str] | None = None) -> int:
     if not a.out:
         p.error("--out is required")
     modes = dict(x.split("=", 1) for x in a.mode_override)
-    summary = run_report(spark, a.root, a.out, dates, a.tables, a.batch_size, modes,
+    tables, batch_size = a.tables, a.batch_size
+    if a.properties:
+        from .config import load_settings
+        st = load_settings(a.properties)
+        tables, batch_size = ",".join(st.tables), st.run.batch_size
+        modes = {**st.run.mode_overrides, **modes}
+    summary = run_report(spark, a.root, a.out, dates, tables, batch_size, modes,
                          attempt_log=a.attempt_log)
     for r in summary.where(F.col("level") == "date").orderBy("dt").collect():
         print(f"{r.dt} {r.line}")

@@ -11,11 +11,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import audit, transform
-from ..registry import REGISTRY
+from ..functions import jsonfn, masking
+from ..functions.coercion import to_long
+from ..operators import audit, dedupe, transform
+from ..operators import status_log as sl
+from ..operators.delivery import failure_rate_window as _failure_rate_window
+from ..operators.delivery import partial_errors as _partial_errors
+from ..registry import REGISTRY, parse_mode, validate_tables
 from ..session import ensure_conf
-from ..sources.tables import driver_table, driver_tables
-from .report_run import DEFAULT_INGEST_MS, ReportRun, RunConfig
+from ..sources import logs
+from ..sources.tables import (EVENT_TYPE_OF, date_range, driver_table, driver_tables, events_base,
+                              events_view, load, tables_from_events, tracked_rows)
+from ..streaming import runner
+from .report_run import (DEFAULT_INGEST_MS, ReportRun, RunConfig, failed_records_file,
+                         run_log)
 
 Query = Callable[[SparkSession, str], DataFrame]
 TABLES = REGISTRY.names()
@@ -194,13 +203,11 @@ def record_outcomes(spark, sf_dir):
 
 
 def failure_rate_window(spark, sf_dir):
-    from ..operators.delivery import failure_rate_window as frw
-    return frw(_run(spark, sf_dir).classified)
+    return _failure_rate_window(_run(spark, sf_dir).classified)
 
 
 def partial_errors(spark, sf_dir):
-    from ..operators.delivery import partial_errors as pe
-    return pe(_run(spark, sf_dir).classified)
+    return _partial_errors(_run(spark, sf_dir).classified)
 
 
 def dead_letters(spark, sf_dir):
@@ -221,9 +228,8 @@ def run_summary(spark, sf_dir):
 
 
 def metrics_summary(spark, sf_dir):
-    from ..operators.delivery import failure_rate_window as frw
     run = _run(spark, sf_dir)
-    return audit.metrics_summary(run.record_outcomes, run.outcome, frw(run.classified))
+    return audit.metrics_summary(run.record_outcomes, run.outcome, _failure_rate_window(run.classified))
 
 
 def processing_rate(spark, sf_dir):
@@ -281,8 +287,6 @@ QUERIES.update({
 
 # -- status-tracked tables (orders viewed as tracked rows) ----------------------
 
-from ..operators import status_log as sl  # noqa: E402
-from ..sources.tables import tracked_rows  # noqa: E402
 
 RUN_TIME = "2024-02-01 00:00:00"
 KEYSET_PAGE = 1000
@@ -397,11 +401,6 @@ def stale_processing(spark, sf_dir):
 
 # -- masking, JSON, coercion, parsing -----------------------------------------
 
-from ..functions import jsonfn, masking  # noqa: E402
-from ..functions.coercion import to_long  # noqa: E402
-from ..registry import parse_mode, validate_tables  # noqa: E402
-from ..sources.tables import EVENT_TYPE_OF, events_base, load  # noqa: E402
-
 
 def mask_user_id(spark, sf_dir):
     b = events_base(spark, sf_dir)
@@ -425,6 +424,18 @@ def mask_json(spark, sf_dir):
     return d.select("doc_id", masking.mask_json(F.col("doc")).alias("masked"))
 
 
+def mask_json_documents(spark, sf_dir):
+    """Redaction over whole documents: each becomes a JSON body carrying its
+    full text and, when the text holds a ``token = "..."`` line, that token
+    as a field; the body is then masked."""
+    d = load(spark, sf_dir, "documents")
+    tok = F.nullif(F.regexp_extract("text", r'token = "([0-9a-f]+)"', 1), F.lit(""))
+    body = F.to_json(F.struct("doc_id", "lang", tok.alias("token"), "text"))
+    b = d.select("doc_id", body.alias("body"))
+    m = masking.mask_json(F.col("body"))
+    return b.select("doc_id", m.alias("masked"), (m != F.col("body")).alias("redacted"))
+
+
 def mask_url(spark, sf_dir):
     p = load(spark, sf_dir, "pages")
     url = F.when((F.col("page_id") % 3 == 0) & F.col("url").contains("?"),
@@ -520,6 +531,7 @@ QUERIES.update({
     "mask_user_id": mask_user_id,
     "mask_json": mask_json,
     "mask_url": mask_url,
+    "mask_json_documents": mask_json_documents,
     "record_json": record_json,
     "pretty_json": pretty_json,
     "json_typed_parse": json_typed_parse,
@@ -533,10 +545,6 @@ QUERIES.update({
 
 # -- logs, backfill, duplicates ---------------------------------------------------
 
-from ..operators import dedupe  # noqa: E402
-from ..sources import logs  # noqa: E402
-from ..sources.tables import date_range  # noqa: E402
-from .report_run import failed_records_file, run_log  # noqa: E402
 
 BACKFILL = ("2024-01-05", "2024-01-20")
 
@@ -584,9 +592,6 @@ QUERIES.update({
 
 # -- streaming -----------------------------------------------------------------
 
-from ..streaming import runner  # noqa: E402
-from ..sources.tables import events_view, tables_from_events  # noqa: E402
-
 
 def _events_stream(spark, sf_dir):
     schema = load(spark, sf_dir, "events").schema

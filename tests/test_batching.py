@@ -96,3 +96,15 @@ def test_batch_size_range():
         batching.check_batch_size(51)
     with pytest.raises(ValueError):
         batching.check_batch_size(0)
+
+
+def test_bucket_path_equals_window_path_on_driver_data(spark):
+    from relaykit.plans.report_run import ReportRun, RunConfig
+    from relaykit.sources.tables import driver_tables
+    tables = driver_tables(spark, "/root/testdata/sf0.01", "month")
+    cols = ["table_name", "dt", "event_id", "ord", "page_no", "request_no"]
+    small = ReportRun(spark, tables, RunConfig(batch_size=30)).assigned.select(*cols)
+    bucketed = ReportRun(spark, tables, RunConfig(batch_size=30, bucket_rows=97)).assigned.select(*cols)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, bucketed.collect()))
+    plan = bucketed._jdf.queryExecution().executedPlan().toString()
+    assert "_b0" in plan  # the bucketed plan was used
