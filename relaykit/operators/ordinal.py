@@ -48,8 +48,9 @@ def with_ordinal(df: DataFrame, group_cols: Sequence[str], key: str,
                                 F.max(key).alias("_hi"))
              .select(*g, "_n", "_lo", nb.alias("_nb"), width.alias("_w"))
              .persist())
-    # one row per group (tables x dates of a run): small, bounded by the run
-    top = stats.agg(F.max("_n").alias("max_n"), F.sum("_nb").alias("buckets")).first()
+    # one row per group (tables x dates of a run); its size is checked below
+    top = stats.agg(F.max("_n").alias("max_n"), F.sum("_nb").alias("buckets"),
+                    F.count(F.lit(1)).alias("groups")).first()
     if top is None or top["max_n"] is None:
         stats.unpersist()
         return df.withColumn(ord_col, F.lit(None).cast("long"))
@@ -60,7 +61,9 @@ def with_ordinal(df: DataFrame, group_cols: Sequence[str], key: str,
         return df.withColumn(ord_col, (F.row_number().over(w1) - 1).cast("long"))
     plan = stats.select(*g, "_lo", "_w")
     b0 = F.floor((F.col(key) - F.col("_lo")) / F.col("_w")).cast("long")
-    keyed = df.join(F.broadcast(plan), g).select(
+    # broadcast the per-group plan only when the group count is within bounds
+    plan_side = F.broadcast(plan) if top["groups"] <= BROADCAST_MAX_ROWS else plan
+    keyed = df.join(plan_side, g).select(
         *df.columns, b0.alias("_b0"), (F.col("_lo") + b0 * F.col("_w")).alias("_blo"), F.col("_w").alias("_bw"))
     buckets = ["_b0"]
     counts = keyed.groupBy(*g, *buckets).agg(F.count(F.lit(1)).alias("_c"))
