@@ -31,18 +31,47 @@ def project(df: DataFrame, spec: TableSpec, key_cols: tuple[str, ...] = ("event_
     return df.select(*keep, *spec.select_fields())
 
 
-def params_json(df: DataFrame, spec: TableSpec) -> Column:
-    """Ordered params object: report_type first when the table needs it, then
-    the non-null fields in registry order. Numbers stay numbers; all-null
-    gives ``{}`` (or only report_type)."""
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def params_sql(spec: TableSpec, columns: list[str]) -> str:
+    """SQL text of the params object (see :func:`params_json`)."""
     parts = []
     if spec.needs_report_type:
-        parts.append(F.lit(REPORT_TYPE_VALUE).alias("report_type"))
+        parts.append(f"'report_type', {_text(REPORT_TYPE_VALUE)}")
     for f in spec.param_fields:
-        parts.append(F.col(f) if f in df.columns else F.lit(None).cast("string").alias(f))
-    if not parts:
-        return F.lit("{}")
-    return F.to_json(F.struct(*parts))  # default ignoreNullFields drops nulls
+        parts.append(f"{_text(f)}, " + (_ident(f) if f in columns else "CAST(NULL AS STRING)"))
+    return f"to_json(named_struct({', '.join(parts)}))" if parts else "'{}'"
+
+
+def record_sql(spec: TableSpec, columns: list[str]) -> str:
+    """SQL text of the source record as JSON with nulls written."""
+    fields = [c for c in spec.select_fields() if c in columns]
+    inner = ", ".join(f"{_text(c)}, {_ident(c)}" for c in fields)
+    return f"to_json(named_struct({inner}), map('ignoreNullFields', 'false'))"
+
+
+def payload_sql(event_name: str, user: str = "user_unique_id", params: str = "params",
+                time_ms: str = "local_time_ms") -> str:
+    """SQL text of the payload struct over already computed columns."""
+    return ("named_struct("
+            f"'user', named_struct('user_unique_id', CAST({_ident(user)} AS STRING), "
+            "'device_id', CAST(NULL AS STRING), 'web_id', CAST(NULL AS STRING)), "
+            "'header', CAST(map() AS MAP<STRING, STRING>), "
+            f"'events', array(named_struct('event', {_text(event_name)}, 'params', {_ident(params)}, "
+            f"'local_time_ms', CAST({_ident(time_ms)} AS BIGINT))))")
+
+
+def params_json(df: DataFrame, spec: TableSpec) -> Column:
+    """Ordered params object: report_type first when the table needs it, then
+    the non-null fields in registry order. Numbers stay numbers; all-null
+    gives ``{}`` (or only report_type). ``to_json`` drops null fields."""
+    return F.expr(params_sql(spec, df.columns))
 
 
 def local_time_ms(df: DataFrame, spec: TableSpec, ingest_ms: int) -> Column:
@@ -78,21 +107,23 @@ def to_payloads(df: DataFrame, spec: TableSpec, ingest_ms: int,
     reason in ``error``, so the caller splits good and bad from one plan).
     """
     keys = [c for c in key_cols if c in df.columns]
-    params = params_json(df, spec)
-    tms = local_time_ms(df, spec, ingest_ms)
-    payload = payload_struct(F.col("user_unique_id"), F.lit(spec.event_name), params, tms)
     error = F.lit(None).cast("string")
     if reject_if is not None:
         error = F.when(reject_if, F.lit(reject_reason))
-    cols = [F.lit(spec.table_name).alias("table_name"), F.col("dt").cast("string").alias("dt"),
-            *[F.col(k) for k in keys],
-            to_string(F.col("user_unique_id")).alias("user_unique_id"),
-            params.alias("params"), tms.alias("local_time_ms"),
-            payload.alias("payload"), payload_json(payload).alias("body"), error.alias("error")]
+    # expressions as SQL text: parsed once on the JVM side, same plan
+    first = [F.lit(spec.table_name).alias("table_name"), F.col("dt").cast("string").alias("dt"),
+             *[F.col(k) for k in keys],
+             to_string(F.col("user_unique_id")).alias("user_unique_id"),
+             F.expr(params_sql(spec, df.columns)).alias("params"),
+             local_time_ms(df, spec, ingest_ms).alias("local_time_ms"), error.alias("error")]
     if with_record:
-        rec = [c for c in spec.select_fields() if c in df.columns]
-        cols.append(F.to_json(F.struct(*rec), WITH_NULLS).alias("record_json"))
-    return df.select(*cols)
+        first.append(F.expr(record_sql(spec, df.columns)).alias("record_json"))
+    staged = df.select(*first)
+    payload = F.expr(payload_sql(spec.event_name))
+    rest = [c for c in staged.columns if c != "error"]
+    return staged.select(*rest, payload.alias("payload"),
+                         F.expr(f"to_json({payload_sql(spec.event_name)}, map('ignoreNullFields', 'false'))")
+                         .alias("body"), "error")
 
 
 def payloads_all(tables: Mapping[str, DataFrame], ingest_ms: int, registry: Registry = REGISTRY,
