@@ -550,4 +550,13 @@ def build() -> dict[str, str]:
           cast(local_time_ms as varchar), params)) as delivery_key from payloads)
       group by table_name, dt, delivery_key having count(*) > 1""")
     out["stream_outbox"] = out["outbox_all"]
+    # append mode emits the windows closed by the final watermark (max - 30 s)
+    out["stream_rate_metrics"] = with_run("""select
+        strftime(make_timestamp(cast((started_s // 60) * 60 * 1000000 as bigint)), '%Y-%m-%d %H:%M:%S') as window_start,
+        table_name, count(*) as attempts, cast(count(*) filter (where ok) as bigint) as ok,
+        cast(count(*) filter (where not ok) as bigint) as failed
+      from classified group by started_s // 60, table_name
+      having (started_s // 60 + 1) * 60 <= (select max(started_s) from classified) - 30""")
+    out["pretty_json"] = with_views(f"select event_id, {len(SPEC['pay'][2]) + 4} as n_lines, "
+                                    f"{record_json_sql('pay')} as compact from pay")
     return out

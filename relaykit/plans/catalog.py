@@ -455,9 +455,13 @@ def record_json(spark, sf_dir):
 
 
 def pretty_json(spark, sf_dir):
+    """Indented JSON of each pay record, checked through its line count and
+    its compacted form (newline + indent and the `` : `` separator removed)."""
     spec = REGISTRY.get("pay")
     df = driver_table(spark, sf_dir, "pay")
-    return df.select("event_id", jsonfn.pretty_json(F.struct(*spec.select_fields())).alias("pretty"))
+    pretty = jsonfn.pretty_json(F.struct(*spec.select_fields()))
+    compact = F.regexp_replace(F.regexp_replace(pretty, r"\n\s*", ""), '" : ', '":')
+    return df.select("event_id", F.size(F.split(pretty, "\n")).alias("n_lines"), compact.alias("compact"))
 
 
 def json_typed_parse(spark, sf_dir):
