@@ -46,6 +46,15 @@ class RunConfig:
             raise ValueError("max attempts must be within 0..10")
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    """Persist and fill the cache with one job. Filling it lazily would let
+    every branch that reads it (both halves of the outbox, members, attempts)
+    start its own computation of the same shuffle."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df.write.format("noop").mode("overwrite").save()
+    return df
+
+
 class ReportRun:
     def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame],
                  config: RunConfig | None = None, registry: Registry = REGISTRY,
@@ -94,7 +103,7 @@ class ReportRun:
                                      self.cfg.page_size,
                                      self.cfg.key, may_have_errors=self.reject_if is not None,
                                      bucket_rows=self.cfg.bucket_rows)
-        return a.persist(StorageLevel.MEMORY_AND_DISK) if self.cache else a
+        return _materialize(a) if self.cache else a
 
     @cached_property
     def outbox(self) -> DataFrame:
@@ -138,7 +147,7 @@ class ReportRun:
         """Attempts with ok flag, error text and parsed response. Cached runs
         keep it (a stored table in production: the transport's log)."""
         c = delivery.classify(self.attempts)
-        return c.persist(StorageLevel.MEMORY_AND_DISK) if self.cache else c
+        return _materialize(c) if self.cache else c
 
     @cached_property
     def outcome(self) -> DataFrame:
