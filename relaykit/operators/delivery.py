@@ -75,13 +75,15 @@ def scripted_attempts(outbox: DataFrame, run_id: str = "run") -> DataFrame:
 
 
 def deliver(outbox: DataFrame, transport: Callable[[str, str], tuple[int, str]],
-            max_attempts: int = MAX_ATTEMPTS, run_id: str = "run") -> DataFrame:
+            max_attempts: int = MAX_ATTEMPTS, run_id: str = "run",
+            retry_delay_ms: int = 0) -> DataFrame:
     """Send every outbox request with up to ``max_attempts`` tries.
 
     ``transport(endpoint, body) -> (http_status, response_body)``; raising
     ``OSError`` records an I/O failure (status 0). Runs per partition with
     ``mapInPandas``: the request rate equals the number of outbox partitions
-    (``repartition(n)`` is the limiter). Returns the attempt log.
+    (``repartition(n)`` is the limiter). ``retry_delay_ms`` waits between a
+    failed try and the next one. Returns the attempt log.
     """
     import time
 
@@ -104,6 +106,8 @@ def deliver(outbox: DataFrame, transport: Callable[[str, str], tuple[int, str]],
                                  resp, err, pd.Timestamp(int(t0 * 1e6), unit="us"), int((time.time() - t0) * 1000)))
                     if status == 200:
                         break
+                    if retry_delay_ms and attempt < max_attempts:
+                        time.sleep(retry_delay_ms / 1000.0)
             yield pd.DataFrame(rows, columns=ATTEMPT_SCHEMA.fieldNames())
 
     return outbox.select("table_name", "dt", "request_no", "endpoint", "body").mapInPandas(run, ATTEMPT_SCHEMA)
