@@ -77,7 +77,7 @@ def with_ordinal(df: DataFrame, group_cols: Sequence[str], key: str,
             hot = counts.where(F.col("_c") > HOT_FACTOR * bucket_rows)
             if hot.isEmpty():
                 break
-            # at most rows / (HOT_FACTOR * bucket_rows) hot buckets: small
+            # at most rows / (HOT_FACTOR * bucket_rows) hot buckets; counted below
             fan = F.ceil(F.col("_c") / F.lit(bucket_rows)).cast("long")
             hot_plan = hot.select(*g, *buckets, fan.alias("_fan"))
             sub = f"_b{level}"
@@ -85,7 +85,9 @@ def with_ordinal(df: DataFrame, group_cols: Sequence[str], key: str,
             st = F.when(F.col("_fan").isNull(), F.col("_bw")).otherwise(step)
             sb = F.floor((F.col(key) - F.col("_blo")) / st).cast("long")
             keep = [c for c in keyed.columns if c not in ("_blo", "_bw")]
-            keyed = keyed.join(F.broadcast(hot_plan), [*g, *buckets], "left").select(
+            n_hot = hot.count()  # over the checkpointed (small) counts
+            hot_side = F.broadcast(hot_plan) if n_hot <= BROADCAST_MAX_ROWS else hot_plan
+            keyed = keyed.join(hot_side, [*g, *buckets], "left").select(
                 *keep, sb.alias(sub), (F.col("_blo") + sb * st).alias("_blo"), st.alias("_bw"))
             buckets.append(sub)
             counts = keyed.groupBy(*g, *buckets).agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True)

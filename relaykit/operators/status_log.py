@@ -76,8 +76,10 @@ def pending_scan(df: DataFrame, last_id: int | DataFrame = 0, limit: int = 1000)
     """Next keyset page of pending rows per table after ``last_id``
     (a number, or a (table_name, last_id) DataFrame such as progress)."""
     if isinstance(last_id, DataFrame):
-        lo = last_id.select("table_name", F.col("last_id").alias("_last"))
-        d = df.join(F.broadcast(lo), "table_name", "left") \
+        # one row per table; the join is left to AQE, which broadcasts it
+        # when its measured size is small
+        lo = last_id.groupBy("table_name").agg(F.max("last_id").alias("_last"))
+        d = df.join(lo, "table_name", "left") \
               .withColumn("_last", F.coalesce("_last", F.lit(0)))
         return top_per_table(d, (F.col("id") > F.col("_last")) & (F.col("report_status") == PENDING),
                              limit).drop("_last")

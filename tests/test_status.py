@@ -56,3 +56,9 @@ def test_stale_processing_reset(spark):
     assert [r.id for r in sl.stale_processing(base, now).collect()] == [2]
     reset = sl.reset_stale(base, now)
     assert sl.apply_status(base, reset).where(F.col("id") == 2).first().report_status == 0
+
+
+def test_pending_scan_from_checkpoint_table(spark):
+    base = seed(spark)
+    last = spark.createDataFrame([("page_vidw", 1), ("page_vidw", 0), ("pay", 9)], "table_name string, last_id long")
+    assert [r.id for r in sl.pending_scan(base, last, 10).orderBy("id").collect()] == [2, 3]
