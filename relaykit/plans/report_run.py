@@ -127,10 +127,26 @@ class ReportRun:
             self.__dict__.pop(k, None)
         return self
 
-    def send(self, transport: Callable[[str, str], tuple[int, str]]) -> DataFrame:
-        log = delivery.deliver(self.outbox, transport, self.cfg.max_attempts, self.cfg.run_id)
-        self.use_attempts(log)
-        return log
+    def send(self, transport: Callable[[str, str], tuple[int, str]], log_path: str | None = None,
+             retry_delay_ms: int = 0) -> DataFrame:
+        """Deliver the outbox and keep the attempt log.
+
+        The log is written once (to ``log_path``, else a fresh folder under
+        the session's ``spark.checkpoint.dir``) and read back, so later uses
+        of outcomes or dead letters never call the transport again. A task
+        retried after a lost executor may resend its own requests
+        (at-least-once); the delivery key lets the receiver drop repeats.
+        """
+        if log_path is None:
+            import uuid
+
+            from ..session import checkpoint_dir
+            log_path = f"{checkpoint_dir(self.spark).rstrip('/')}/attempts-{self.cfg.run_id}-{uuid.uuid4().hex[:12]}"
+        log = delivery.deliver(self.outbox, transport, self.cfg.max_attempts, self.cfg.run_id, retry_delay_ms)
+        log.write.mode("overwrite").parquet(log_path)
+        stored = self.spark.read.schema(delivery.ATTEMPT_SCHEMA).parquet(log_path)
+        self.use_attempts(stored)
+        return stored
 
     @cached_property
     def attempts(self) -> DataFrame:

@@ -43,3 +43,22 @@ def test_transport_driven_run(spark):
     assert all(r.success == (r.ok_attempt is not None) for r in o)
     tr = run.table_results.collect()
     assert all(r.unsent == 0 and r.success + r.fail == r.total for r in tr)
+
+
+def test_send_calls_transport_once_per_try(spark, tmp_path):
+    run = _run(spark)
+    marker = tmp_path / "calls"
+    marker.mkdir()
+
+    def transport(endpoint, body):
+        import os
+        import uuid
+        open(os.path.join(str(marker), uuid.uuid4().hex), "w").close()
+        return 200, '{"e":0,"sc":1,"ec":0}'
+
+    log = run.send(transport, log_path=str(tmp_path / "log"))
+    n_requests = run.outbox.count()
+    # use the accounting several times: no further calls
+    run.outcome.count(); run.table_results.count(); run.dead_letters.count(); log.count()
+    import os
+    assert len(os.listdir(marker)) == n_requests
