@@ -220,12 +220,12 @@ def run_log(run: ReportRun, ts: str = LOG_TS) -> DataFrame:
     from ..sources.logs import main_line
 
     t = F.lit(ts)
-    tr = run.table_results.select(main_line(t, "INFO", "ReportService", F.format_string(
+    tr = run.table_results.select(main_line(t, "INFO", "relaykit.run", F.format_string(
         "Table %s completed: total=%d, success=%d, fail=%d", "table_name", "total", "success", "fail"))
         .alias("value"))
     sm = run.summary.where(F.col("level") == "date").select(
-        main_line(t, "INFO", "ReportService", F.col("line")).alias("value"))
-    warn = run.classified.where(~F.col("ok")).select(main_line(t, "WARN", "ReportService", F.format_string(
+        main_line(t, "INFO", "relaykit.run", F.col("line")).alias("value"))
+    warn = run.classified.where(~F.col("ok")).select(main_line(t, "WARN", "relaykit.run", F.format_string(
         "Report attempt %d failed for table %s: %s", "attempt", "table_name", "error")).alias("value"))
     err = audit.failed_line(run.dead_letters).select(
         main_line(t, "ERROR", "FAILED_RECORDS", F.col("value")).alias("value"))
