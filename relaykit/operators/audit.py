@@ -13,8 +13,12 @@ from pyspark.sql import functions as F
 
 from ..functions.masking import mask_user_id
 
+# The total row label and the layouts of the stats line, the
+# run summary line and the failed-record line.
 TOTAL = "TOTAL"
 STATS_LINE = "  %-20s : %d"
+SUMMARY_LINE = "Summary: total=%d, success=%d, fail=%d"
+FAILED_LINE = "FAILED: table=%s, dt=%s, user=%s, reason=%s, record=%s"
 
 
 def tag_tables(tables: Mapping[str, DataFrame], cols: Sequence[str] = ("dt",)) -> DataFrame:
@@ -71,7 +75,7 @@ def run_summary(table_results_df: DataFrame) -> DataFrame:
         F.sum("fail").cast("long").alias("fail"))
     level = (F.when(F.col("dt").isNull(), F.lit("all"))
              .when(F.col("table_name").isNull(), F.lit("date")).otherwise(F.lit("table")))
-    line = F.format_string("Summary: total=%d, success=%d, fail=%d", "total", "success", "fail")
+    line = F.format_string(SUMMARY_LINE, "total", "success", "fail")
     return r.select("dt", "table_name", level.alias("level"), "total", "success", "fail", line.alias("line"))
 
 
@@ -91,7 +95,7 @@ def dead_letters(record_outcomes_df: DataFrame, run_id: str = "run") -> DataFram
 def failed_line(dl: DataFrame) -> DataFrame:
     """The failed-records log line of each dead letter (raw record, as the
     reference log writes it)."""
-    return dl.select(F.format_string("FAILED: table=%s, dt=%s, user=%s, reason=%s, record=%s",
+    return dl.select(F.format_string(FAILED_LINE,
                                      "table_name", "dt", "user_masked", "reason",
                                      "record_json_raw").alias("value"))
 
