@@ -183,14 +183,15 @@ def run_sql(gran: str = "day", size: int = 20, reject: bool = False,
         for t in SPEC)
     return f""", records as ({recs}),
 masked_records as ({masked_recs}),
-a0 as (select p.*, {err} as error, {modes} as mode,
-         row_number() over (partition by table_name, dt order by event_id) - 1 as ord
-       from payloads p),
+a00 as (select p.*, {err} as error, {modes} as mode from payloads p),
+a0 as (select *, case when mode = 'BATCH'
+         then row_number() over (partition by table_name, dt order by event_id) - 1 end as ord
+       from a00),
 a1 as (select *, ord // {page} as page_no from a0),
 a2 as (select *, row_number() over (partition by table_name, dt, page_no, error is null order by ord) - 1 as in_page
        from a1),
 assigned as (select *,
-   case when error is not null then null when mode = 'SINGLE' then ord
+   case when error is not null then null when mode = 'SINGLE' then event_id
         else page_no * {per_page} + in_page // {size} end as request_no,
    case when mode = 'SINGLE' then '/v2/event/json' else '/v2/event/list' end as endpoint
   from a2),
@@ -373,8 +374,10 @@ def build() -> dict[str, str]:
     out["mode_resolution"] = with_views(
         "select table_name, dt, mode, best_calls from (" +
         plan.format(page=1000, per=50, size=20, single="'pay_result', 'element_click'") + ")")
-    out["page_slice"] = with_run("select table_name, dt, event_id, ord from assigned where page_no = 1",
-                                 gran="month")
+    out["page_slice"] = with_views("""select table_name, dt, event_id, ord from (
+        select table_name, dt, event_id,
+          row_number() over (partition by table_name, dt order by event_id) - 1 as ord from payloads)
+      where ord // 1000 = 1""", "month")
     ob = "select run_id, table_name, dt, request_no, endpoint, n_records, body from outbox"
     out["outbox_single"] = with_run(ob + " where endpoint = '/v2/event/json'")
     out["outbox_batch"] = with_run(ob + " where endpoint = '/v2/event/list'")

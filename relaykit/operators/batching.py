@@ -8,6 +8,8 @@ no batch slot. SINGLE tables send one request per row.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,22 +40,41 @@ def batch_number(ord_col: Column, page_size: int, batch_size: int,
             + F.floor(in_page / F.lit(batch_size))).cast("long")
 
 
-def assign_requests(payloads: DataFrame, modes: DataFrame, batch_size: int = 20,
+def assign_requests(payloads: DataFrame, modes: DataFrame | Mapping[str, str], batch_size: int = 20,
                     page_size: int = 1000, key: str = "event_id",
                     may_have_errors: bool = True, bucket_rows: int = 1 << 20) -> DataFrame:
-    """Give every payload row its ordinal, page, mode and request number.
-
-    ``payloads`` is :func:`transform.payloads_all` output; ``modes`` is
-    (table_name, mode) from :func:`registry.resolve_modes` (registry-sized,
-    broadcast). Adds: ord, page_no, mode, endpoint, request_no (null for rows
-    with an error).
+    """Give every payload row its mode, endpoint and request number, and BATCH
+    rows their ordinal and page.
+
+    ``payloads`` is :func:`transform.payloads_all` output; ``modes`` is a
+    table → mode mapping (:func:`registry.mode_map`) or a (table_name, mode)
+    DataFrame (:func:`registry.resolve_modes`, registry-sized, broadcast). SINGLE rows are one request each, numbered by their unique
+    source key, so they skip the ordinal and its shuffle entirely; only BATCH
+    rows are ranked, paged and chunked. Adds: ord, page_no (null for SINGLE),
+    mode, endpoint, request_no (null for rows with an error).
     """
     check_batch_size(batch_size)
-    df = with_ordinal(payloads, GROUP, key, "ord", bucket_rows=bucket_rows)
-    df = df.join(F.broadcast(modes.select("table_name", F.col("mode").alias("_mode"))), "table_name", "left")
-    mode = F.coalesce("_mode", F.lit(BATCH))
-    page = F.floor(F.col("ord") / F.lit(page_size)).cast("long")
+    if isinstance(modes, Mapping):
+        # modes known from configuration: a literal test on table_name, which
+        # Catalyst folds per union branch, so each table is read by one branch
+        singles = sorted(t for t, m in modes.items() if m == SINGLE)
+        mode = F.when(F.col("table_name").isin(singles), F.lit(SINGLE)).otherwise(F.lit(BATCH))
+        tagged = payloads.select(*payloads.columns, mode.alias("mode"))
+    else:
+        tagged = payloads.join(F.broadcast(modes.select("table_name", F.col("mode").alias("_mode"))),
+                               "table_name", "left")
+        mode = F.coalesce("_mode", F.lit(BATCH))
+        tagged = tagged.select(*payloads.columns, mode.alias("mode"))
     good = F.col("error").isNull()
+
+    single = tagged.where(F.col("mode") == SINGLE).select(
+        *payloads.columns, "mode", F.lit(None).cast("long").alias("ord"),
+        F.lit(None).cast("long").alias("page_no"),
+        F.when(good, F.col(key).cast("long")).alias("request_no"),
+        F.lit(SINGLE_ENDPOINT).alias("endpoint"))
+
+    batch = with_ordinal(tagged.where(F.col("mode") == BATCH), GROUP, key, "ord", bucket_rows=bucket_rows)
+    page = F.floor(F.col("ord") / F.lit(page_size)).cast("long")
     if may_have_errors:
         # position among the good rows of the page; a page holds at most
         # page_size rows, so this window is bounded per task
@@ -62,11 +83,9 @@ def assign_requests(payloads: DataFrame, modes: DataFrame, batch_size: int = 20,
     else:
         in_page = F.pmod(F.col("ord"), F.lit(page_size))
     bno = batch_number(F.col("ord"), page_size, batch_size, in_page)
-    req = F.when(~good, F.lit(None).cast("long")).when(mode == SINGLE, F.col("ord")).otherwise(bno)
-    endpoint = F.when(mode == SINGLE, F.lit(SINGLE_ENDPOINT)).otherwise(F.lit(BATCH_ENDPOINT))
-    base = [c for c in df.columns if c != "_mode"]
-    return df.select(*base, mode.alias("mode"), page.alias("page_no"), req.alias("request_no"),
-                     endpoint.alias("endpoint"))
+    batch = batch.select(*payloads.columns, "mode", "ord", page.alias("page_no"),
+                         F.when(good, bno).alias("request_no"), F.lit(BATCH_ENDPOINT).alias("endpoint"))
+    return single.unionByName(batch)
 
 
 def outbox(assigned: DataFrame, run_id: str = "run") -> DataFrame:

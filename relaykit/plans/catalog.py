@@ -17,6 +17,7 @@ from ..operators import audit, dedupe, transform
 from ..operators import status_log as sl
 from ..operators.delivery import failure_rate_window as _failure_rate_window
 from ..operators.delivery import partial_errors as _partial_errors
+from ..operators.ordinal import with_ordinal
 from ..registry import REGISTRY, parse_mode, validate_tables
 from ..session import ensure_conf
 from ..sources import logs
@@ -140,9 +141,10 @@ def mode_resolution(spark, sf_dir):
 
 
 def page_slice(spark, sf_dir):
-    """The second 1000-row page of every (table, month) partition."""
-    a = _run(spark, sf_dir, "month").assigned
-    return a.where(F.col("page_no") == 1).select("table_name", "dt", "event_id", "ord")
+    """The second 1000-row page (key order) of every (table, month) partition."""
+    keys = _run(spark, sf_dir, "month").payloads.select("table_name", "dt", "event_id")
+    o = with_ordinal(keys, ["table_name", "dt"], "event_id", "ord")
+    return o.where(F.floor(F.col("ord") / 1000) == 1).select("table_name", "dt", "event_id", "ord")
 
 
 def outbox_single(spark, sf_dir):

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import audit, batching, delivery, transform
-from ..registry import REGISTRY, Registry, parse_mode, resolve_modes
+from ..registry import REGISTRY, Registry, mode_map, parse_mode, resolve_modes
 
 DEFAULT_INGEST_MS = 1706745600000  # 2024-02-01T00:00:00Z: processing time of test runs
 
@@ -99,7 +99,8 @@ class ReportRun:
         # only what the outbox, members and dead letters read crosses the
         # shuffle (the payload struct is already serialised in ``body``)
         needed = ["table_name", "dt", self.cfg.key, "user_unique_id", "body", "error", "record_json"]
-        a = batching.assign_requests(self.payloads.select(*needed), self.modes, self.cfg.batch_size,
+        modes = mode_map(self.registry, dict(self.cfg.mode_overrides))
+        a = batching.assign_requests(self.payloads.select(*needed), modes, self.cfg.batch_size,
                                      self.cfg.page_size,
                                      self.cfg.key, may_have_errors=self.reject_if is not None,
                                      bucket_rows=self.cfg.bucket_rows)

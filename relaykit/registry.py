@@ -127,6 +127,20 @@ def resolve_modes(registry_df: DataFrame, overrides: DataFrame | None = None) ->
                     "ordinal"))
 
 
+def mode_map(registry: Registry, overrides: dict[str, str] | None = None) -> dict[str, str]:
+    """Mode per registered table from configuration alone (no job):
+    override for a known table (trimmed, case-insensitive; else BATCH),
+    otherwise the registry default."""
+    out = {}
+    for name, spec in registry.specs.items():
+        raw = (overrides or {}).get(name)
+        if raw is None:
+            out[name] = spec.default_mode
+        else:
+            out[name] = SINGLE if raw.strip().upper() == SINGLE else BATCH
+    return out
+
+
 def mode_for_names(names: DataFrame, registry_df: DataFrame,
                    overrides: DataFrame | None = None) -> DataFrame:
     """Mode per requested name; names not in the registry get BATCH."""
