@@ -129,7 +129,7 @@ class ReportRun:
         return self
 
     def send(self, transport: Callable[[str, str], tuple[int, str]], log_path: str | None = None,
-             retry_delay_ms: int = 0) -> DataFrame:
+             retry_delay_ms: int = 0, partitions: int | None = None) -> DataFrame:
         """Deliver the outbox and keep the attempt log.
 
         The log is written once (to ``log_path``, else a fresh folder under
@@ -143,7 +143,9 @@ class ReportRun:
 
             from ..session import checkpoint_dir
             log_path = f"{checkpoint_dir(self.spark).rstrip('/')}/attempts-{self.cfg.run_id}-{uuid.uuid4().hex[:12]}"
-        log = delivery.deliver(self.outbox, transport, self.cfg.max_attempts, self.cfg.run_id, retry_delay_ms)
+        # the number of outbox partitions is the number of concurrent senders
+        ob = self.outbox.repartition(partitions) if partitions else self.outbox
+        log = delivery.deliver(ob, transport, self.cfg.max_attempts, self.cfg.run_id, retry_delay_ms)
         log.write.mode("overwrite").parquet(log_path)
         stored = self.spark.read.schema(delivery.ATTEMPT_SCHEMA).parquet(log_path)
         self.use_attempts(stored)

@@ -56,7 +56,7 @@ def test_send_calls_transport_once_per_try(spark, tmp_path):
         open(os.path.join(str(marker), uuid.uuid4().hex), "w").close()
         return 200, '{"e":0,"sc":1,"ec":0}'
 
-    log = run.send(transport, log_path=str(tmp_path / "log"))
+    log = run.send(transport, log_path=str(tmp_path / "log"), partitions=3)
     n_requests = run.outbox.count()
     # use the accounting several times: no further calls
     run.outcome.count(); run.table_results.count(); run.dead_letters.count(); log.count()
