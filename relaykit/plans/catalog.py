@@ -109,7 +109,7 @@ def stats_report_lines(spark, sf_dir):
 
 # -- batching and the outbox -------------------------------------------------
 
-def _short_id(spark):
+def _short_id():
     """Rows treated as failed transforms in the error-path queries."""
     return {t: ~F.col("user_unique_id").startswith("user_") for t in TABLES}
 
@@ -127,7 +127,7 @@ def page_batch_assignment(spark, sf_dir):
 
 
 def batch_after_errors(spark, sf_dir):
-    a = _run(spark, sf_dir, "month", batch_size=30, reject_if=_short_id(spark)).assigned
+    a = _run(spark, sf_dir, "month", batch_size=30, reject_if=_short_id()).assigned
     return a.select("table_name", "dt", "event_id", "ord", "page_no", "mode", "request_no", "error")
 
 
@@ -160,7 +160,7 @@ def outbox_all(spark, sf_dir):
 
 
 def transform_errors(spark, sf_dir):
-    p = _run(spark, sf_dir, reject_if=_short_id(spark)).payloads
+    p = _run(spark, sf_dir, reject_if=_short_id()).payloads
     return p.where(F.col("error").isNotNull()).select("table_name", "dt", "event_id", "error")
 
 
@@ -200,7 +200,7 @@ def recovered_requests(spark, sf_dir):
 
 
 def record_outcomes(spark, sf_dir):
-    r = _run(spark, sf_dir, reject_if=_short_id(spark)).record_outcomes
+    r = _run(spark, sf_dir, reject_if=_short_id()).record_outcomes
     return r.select("table_name", "dt", "event_id", "request_no", "status", "reason", "attempts_used")
 
 
@@ -213,20 +213,20 @@ def partial_errors(spark, sf_dir):
 
 
 def dead_letters(spark, sf_dir):
-    d = _run(spark, sf_dir, reject_if=_short_id(spark)).dead_letters
+    d = _run(spark, sf_dir, reject_if=_short_id()).dead_letters
     return d.select("run_id", "table_name", "dt", "user_masked", "reason", "record_json")
 
 
 def dead_letter_counts(spark, sf_dir):
-    return audit.dead_letter_counts(_run(spark, sf_dir, reject_if=_short_id(spark)).dead_letters)
+    return audit.dead_letter_counts(_run(spark, sf_dir, reject_if=_short_id()).dead_letters)
 
 
 def table_result(spark, sf_dir):
-    return _run(spark, sf_dir, reject_if=_short_id(spark)).table_results
+    return _run(spark, sf_dir, reject_if=_short_id()).table_results
 
 
 def run_summary(spark, sf_dir):
-    return _run(spark, sf_dir, reject_if=_short_id(spark)).summary
+    return _run(spark, sf_dir, reject_if=_short_id()).summary
 
 
 def metrics_summary(spark, sf_dir):
@@ -556,24 +556,24 @@ BACKFILL = ("2024-01-05", "2024-01-20")
 
 
 def failed_log_parse(spark, sf_dir):
-    lines = failed_records_file(_run(spark, sf_dir, reject_if=_short_id(spark)))
+    lines = failed_records_file(_run(spark, sf_dir, reject_if=_short_id()))
     return logs.parse_failed(lines).select("table_name", "dt", "user_masked", "reason", "record_json")
 
 
 def summary_log_parse(spark, sf_dir):
-    lines = run_log(_run(spark, sf_dir, reject_if=_short_id(spark)))
+    lines = run_log(_run(spark, sf_dir, reject_if=_short_id()))
     return logs.parse_summary(logs.parse_main(lines)).select("total", "success", "fail")
 
 
 def log_error_filter(spark, sf_dir):
-    lines = run_log(_run(spark, sf_dir, reject_if=_short_id(spark)))
+    lines = run_log(_run(spark, sf_dir, reject_if=_short_id()))
     return logs.errors_only(logs.parse_main(lines)).select("level", "logger", "msg")
 
 
 def backfill_range(spark, sf_dir):
     """All dates of an inclusive range in one job; per-date totals."""
     tables = {n: df.where(date_range(*BACKFILL)) for n, df in _tables(spark, sf_dir).items()}
-    run = ReportRun(spark, tables, RunConfig(), reject_if=_short_id(spark), scripted_attempts=True)
+    run = ReportRun(spark, tables, RunConfig(), reject_if=_short_id(), scripted_attempts=True)
     return run.summary.where(F.col("level") == "date").select("dt", "total", "success", "fail")
 
 
