@@ -42,3 +42,19 @@ def test_stats_one_date_includes_zero_tables(spark):
     assert names == ["page_vidw", "element_click", "pay", "pay_result", "user_info", "TOTAL"]
     by = {r.table_name: r.n for r in rows}
     assert by["TOTAL"] == sum(v for k, v in by.items() if k != "TOTAL")
+
+
+def test_main_stats_and_properties(spark, capsys, tmp_path):
+    root = _write_layout(spark)
+    assert cli.main(["stats", "--root", root, "--date", "2024-01-03"]) == 0
+    lines = capsys.readouterr().out.strip().splitlines()
+    assert len(lines) == 6 and lines[-1].startswith("2024-01-03   TOTAL")
+    props = tmp_path / "job.properties"
+    props.write_text("event.tables=pay,user_info\nbatch.report.size=10\nreport.mode.pay=batch\n")
+    out = tmp_path / "out"
+    assert cli.main(["once", "--root", root, "--out", str(out), "--date", "2024-01-03",
+                     "--properties", str(props)]) == 0
+    ob = spark.read.parquet(f"{out}/outbox")
+    assert {r.table_name for r in ob.select("table_name").distinct().collect()} == {"pay", "user_info"}
+    assert {r.endpoint for r in ob.collect()} == {"/v2/event/list"}  # pay overridden to BATCH
+    assert max(r.n_records for r in ob.collect()) <= 10
