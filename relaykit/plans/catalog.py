@@ -19,7 +19,7 @@ from ..operators.delivery import failure_rate_window as _failure_rate_window
 from ..operators.delivery import partial_errors as _partial_errors
 from ..operators.ordinal import with_ordinal
 from ..registry import REGISTRY, parse_mode, validate_tables
-from ..session import ensure_conf
+from ..session import ensure_conf, session_key
 from ..sources import logs
 from ..sources.tables import (EVENT_TYPE_OF, date_range, driver_table, driver_tables, events_base,
                               events_view, load, tables_from_events, tracked_rows)
@@ -45,7 +45,7 @@ def _run(spark: SparkSession, sf_dir: str, gran: str = "day", **cfg) -> ReportRu
     executed, cached) run per session, data dir and configuration, shared
     by every query that looks at a part of it."""
     reject = cfg.pop("reject_if", None)
-    key = (id(spark), sf_dir, gran, reject is not None,
+    key = (session_key(spark), sf_dir, gran, reject is not None,
            tuple(sorted((k, str(v)) for k, v in cfg.items())))
     if key not in _RUNS:
         _RUNS[key] = ReportRun(spark, _tables(spark, sf_dir, gran), RunConfig(**cfg),

@@ -52,6 +52,12 @@ def ensure_conf(spark: SparkSession) -> None:
             pass
 
 
+def session_key(spark: SparkSession) -> tuple[int, str]:
+    """Identity of a live session for plan caches: a new session, or a new
+    context after a stop, never matches an old entry."""
+    return id(spark), spark.sparkContext.applicationId
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster, else a local scratch one.
 

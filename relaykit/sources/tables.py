@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..registry import REGISTRY, Registry, TableSpec
+from ..session import session_key
 
 # Physical types of the reported tables (after dt and user_unique_id).
 FIELD_TYPES: dict[str, T.DataType] = {
@@ -78,13 +79,13 @@ def date_range(start: str, end: str) -> Column:
     return (F.col("dt") >= F.lit(start)) & (F.col("dt") <= F.lit(end))
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple, DataFrame] = {}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table; the DataFrame (plan only, no data) is reused
     within a session so footers are listed once."""
-    k = (id(spark), f"{sf_dir}/{name}.parquet")
+    k = (session_key(spark), f"{sf_dir}/{name}.parquet")
     if k not in _READS:
         _READS[k] = spark.read.parquet(k[1])
     return _READS[k]
@@ -176,14 +177,14 @@ def _view_columns(name: str) -> list[Column]:
     raise KeyError(name)
 
 
-_BASES: dict[tuple[int, str, str], DataFrame] = {}
+_BASES: dict[tuple, DataFrame] = {}
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str,
                  dt_granularity: str = "day", registry: Registry = REGISTRY) -> DataFrame:
     """One reported table as a view over ``events`` (key ``event_id``)."""
     spec = registry.get(name)
-    k = (id(spark), sf_dir, dt_granularity)
+    k = (session_key(spark), sf_dir, dt_granularity)
     if k not in _BASES:
         _BASES[k] = events_base(spark, sf_dir, dt_granularity)
     base = _BASES[k].where(F.col("event_type") == EVENT_TYPE_OF[name])
