@@ -39,7 +39,8 @@ def with_ordinal(df: DataFrame, group_cols: Sequence[str], key: str,
     """Add ``ord_col``: 0-based rank of ``key`` within ``group_cols``.
 
     ``key`` must be integral; rows with equal keys are ordered by ``tiebreak``
-    (give columns that make the order total for a reproducible result).
+    (give columns that make the order total for a reproducible result). Rows
+    with a null key come first; no row is ever dropped.
     """
     g = list(group_cols)
     nb = F.greatest(F.ceil(F.col("_n") / F.lit(bucket_rows)), F.lit(1)).cast("long")
@@ -60,7 +61,9 @@ def with_ordinal(df: DataFrame, group_cols: Sequence[str], key: str,
         w1 = Window.partitionBy(*g).orderBy(key, *tiebreak)
         return df.withColumn(ord_col, (F.row_number().over(w1) - 1).cast("long"))
     plan = stats.select(*g, "_lo", "_w")
-    b0 = F.floor((F.col(key) - F.col("_lo")) / F.col("_w")).cast("long")
+    # a null key goes to bucket -1: first, as nulls sort first in the window
+    # path, and never dropped by the bucket join
+    b0 = F.coalesce(F.floor((F.col(key) - F.col("_lo")) / F.col("_w")).cast("long"), F.lit(-1).cast("long"))
     # broadcast the per-group plan only when the group count is within bounds
     plan_side = F.broadcast(plan) if top["groups"] <= BROADCAST_MAX_ROWS else plan
     keyed = df.join(plan_side, g).select(
@@ -83,7 +86,7 @@ def with_ordinal(df: DataFrame, group_cols: Sequence[str], key: str,
             sub = f"_b{level}"
             step = F.ceil(F.col("_bw") / F.col("_fan")).cast("long")
             st = F.when(F.col("_fan").isNull(), F.col("_bw")).otherwise(step)
-            sb = F.floor((F.col(key) - F.col("_blo")) / st).cast("long")
+            sb = F.coalesce(F.floor((F.col(key) - F.col("_blo")) / st).cast("long"), F.lit(-1).cast("long"))
             keep = [c for c in keyed.columns if c not in ("_blo", "_bw")]
             n_hot = hot.count()  # over the checkpointed (small) counts
             hot_side = F.broadcast(hot_plan) if n_hot <= BROADCAST_MAX_ROWS else hot_plan

@@ -108,3 +108,14 @@ def test_bucket_path_equals_window_path_on_driver_data(spark):
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, bucketed.collect()))
     plan = bucketed._jdf.queryExecution().executedPlan().toString()
     assert "_b0" in plan  # the bucketed plan was used
+
+
+@pytest.mark.parametrize("bucket_rows", [1 << 20, 16, 2])
+def test_ordinal_keeps_null_keys(spark, bucket_rows):
+    rows = [("t", "d", None if i % 10 == 0 else i, i) for i in range(120)]
+    df = spark.createDataFrame(rows, "table_name string, dt string, event_id long, tb long")
+    out = with_ordinal(df, ["table_name", "dt"], "event_id", bucket_rows=bucket_rows, tiebreak=("tb",)).collect()
+    assert len(out) == 120
+    assert sorted(r.ord for r in out) == list(range(120))
+    nulls = sorted(r.ord for r in out if r.event_id is None)
+    assert nulls == list(range(12))  # nulls first
