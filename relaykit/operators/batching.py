@@ -17,6 +17,7 @@ from ..registry import BATCH, BATCH_ENDPOINT, SINGLE, SINGLE_ENDPOINT
 from .ordinal import with_ordinal
 
 MAX_BATCH = 50
+MISSING_KEY = "Transform failed: missing record key"
 GROUP = ("table_name", "dt")
 
 
@@ -67,10 +68,13 @@ def assign_requests(payloads: DataFrame, modes: DataFrame | Mapping[str, str], b
         tagged = tagged.select(*payloads.columns, mode.alias("mode"))
     good = F.col("error").isNull()
 
+    # a SINGLE row is numbered by its key; a row without one cannot be
+    # addressed and is reported as failed rather than left unsent
+    s_err = F.coalesce(F.col("error"), F.when(F.col(key).isNull(), F.lit(MISSING_KEY)))
     single = tagged.where(F.col("mode") == SINGLE).select(
-        *payloads.columns, "mode", F.lit(None).cast("long").alias("ord"),
-        F.lit(None).cast("long").alias("page_no"),
-        F.when(good, F.col(key).cast("long")).alias("request_no"),
+        *[c for c in payloads.columns if c != "error"], s_err.alias("error"), "mode",
+        F.lit(None).cast("long").alias("ord"), F.lit(None).cast("long").alias("page_no"),
+        F.when(s_err.isNull(), F.col(key).cast("long")).alias("request_no"),
         F.lit(SINGLE_ENDPOINT).alias("endpoint"))
 
     batch = with_ordinal(tagged.where(F.col("mode") == BATCH), GROUP, key, "ord", bucket_rows=bucket_rows)

@@ -119,3 +119,11 @@ def test_ordinal_keeps_null_keys(spark, bucket_rows):
     assert sorted(r.ord for r in out) == list(range(120))
     nulls = sorted(r.ord for r in out if r.event_id is None)
     assert nulls == list(range(12))  # nulls first
+
+
+def test_single_row_without_key_is_failed_not_lost(spark):
+    df = payload_rows(spark, 5).withColumn("event_id", F.when(F.col("event_id") == 2, None).otherwise(F.col("event_id")))
+    a = {r.body: r for r in batching.assign_requests(df, {"t": SINGLE}, may_have_errors=False).collect()}
+    assert len(a) == 5
+    assert a["b2"].request_no is None and a["b2"].error == batching.MISSING_KEY
+    assert batching.outbox(batching.assign_requests(df, {"t": SINGLE})).count() == 4
