@@ -127,3 +127,14 @@ def test_single_row_without_key_is_failed_not_lost(spark):
     assert len(a) == 5
     assert a["b2"].request_no is None and a["b2"].error == batching.MISSING_KEY
     assert batching.outbox(batching.assign_requests(df, {"t": SINGLE})).count() == 4
+
+
+def test_page_bounded_batches_match_survey_probe(spark):
+    """All five tables as BATCH, size 30, one month partition each at sf0.01:
+    341 batches, equal to the call plan."""
+    from relaykit.plans.report_run import ReportRun, RunConfig
+    from relaykit.sources.tables import driver_tables
+    run = ReportRun(spark, driver_tables(spark, "/root/testdata/sf0.01", "month"),
+                    RunConfig(batch_size=30, mode_overrides={"pay": "BATCH", "pay_result": "BATCH"}))
+    assert run.outbox.count() == 341
+    assert run.plan.agg(F.sum("best_calls")).first()[0] == 341
