@@ -44,7 +44,10 @@ def report_batch_writer(out_path: str, to_tables: TablesFromBatch, config: RunCo
         spark = batch.sparkSession
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         run = ReportRun(spark, to_tables(batch), config, cache=True)
-        outs = {"outbox": run.outbox, "members": run.members}
+        # dead letters hold this batch's failed transforms; table results count
+        # its rows per (table, dt) with every request still unsent
+        outs = {"outbox": run.outbox, "members": run.members,
+                "dead_letters": run.dead_letters, "table_results": run.table_results}
         for name, df in outs.items():
             (df.withColumn("epoch", F.lit(int(epoch_id)))
              .write.mode("overwrite").partitionBy("epoch").format(fmt).save(f"{out_path}/{name}"))

@@ -49,3 +49,17 @@ def test_dedupe_stream_drops_repeats(spark):
     q.awaitTermination()
     got = spark.read.parquet(out)
     assert got.count() == base.distinct().count()
+
+
+def test_stream_writes_dead_letters_and_results(spark):
+    from relaykit.sources.tables import events_view, tables_from_events
+    out = runner.scratch_path(spark, "t-out2")
+    q = runner.start_report_stream(catalog._events_stream(spark, SF), lambda b: tables_from_events(events_view(b)),
+                                   out, runner.scratch_path(spark, "t-ckpt2"))
+    q.awaitTermination()
+    tr = spark.read.parquet(f"{out}/table_results")
+    assert tr.agg(F.sum("total")).first()[0] == 1000
+    assert tr.agg(F.sum("unsent")).first()[0] == 1000
+    dl_schema = ("run_id string, table_name string, dt string, user_masked string, reason string, "
+                 "record_json string, record_json_raw string, epoch int")
+    assert spark.read.schema(dl_schema).parquet(f"{out}/dead_letters").count() == 0
