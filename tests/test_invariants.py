@@ -62,3 +62,12 @@ def test_send_calls_transport_once_per_try(spark, tmp_path):
     run.outcome.count(); run.table_results.count(); run.dead_letters.count(); log.count()
     import os
     assert len(os.listdir(marker)) == n_requests
+
+
+def test_results_follow_a_later_attempt_log(spark, tmp_path):
+    run = ReportRun(spark, driver_tables(spark, SF), RunConfig(), cache=True)
+    before = run.table_results.agg(F.sum("unsent")).first()[0]
+    assert before == run.counts.agg(F.sum("n")).first()[0]  # nothing sent yet
+    run.send(lambda endpoint, body: (200, "{}"), log_path=str(tmp_path / "log"))
+    after = run.table_results.agg(F.sum("success"), F.sum("unsent")).first()
+    assert after[0] == before and after[1] == 0
