@@ -201,14 +201,21 @@ class ReportRun:
         """Persist run outputs under ``base_path/<name>/run_id=.../dt=...``.
 
         Dynamic partition overwrite replaces only the partitions this run
-        wrote, so a retried run is idempotent.
+        wrote, so a retried run is idempotent. The four outputs share the
+        assigned rows: an uncached run persists them for the duration of the
+        writes, so the ordinal shuffle runs once.
         """
         self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        outs = {"outbox": self.outbox, "members": self.members,
-                "dead_letters": self.dead_letters, "table_results": self.table_results}
-        for name, df in outs.items():
-            d = df if "run_id" in df.columns else df.withColumn("run_id", F.lit(self.cfg.run_id))
-            d.write.mode("overwrite").partitionBy("run_id", "dt").format(fmt).save(f"{base_path}/{name}")
+        shared = None if self.cache else self.assigned.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            outs = {"outbox": self.outbox, "members": self.members,
+                    "dead_letters": self.dead_letters, "table_results": self.table_results}
+            for name, df in outs.items():
+                d = df if "run_id" in df.columns else df.withColumn("run_id", F.lit(self.cfg.run_id))
+                d.write.mode("overwrite").partitionBy("run_id", "dt").format(fmt).save(f"{base_path}/{name}")
+        finally:
+            if shared is not None:
+                shared.unpersist()
 
 
 def parse_overrides(pairs: Mapping[str, str]) -> dict[str, str]:

@@ -58,3 +58,13 @@ def test_main_stats_and_properties(spark, capsys, tmp_path):
     assert {r.table_name for r in ob.select("table_name").distinct().collect()} == {"pay", "user_info"}
     assert {r.endpoint for r in ob.collect()} == {"/v2/event/list"}  # pay overridden to BATCH
     assert max(r.n_records for r in ob.collect()) <= 10
+
+
+def test_write_of_uncached_run_is_complete(spark, tmp_path):
+    from relaykit.plans.report_run import ReportRun, RunConfig
+    run = ReportRun(spark, driver_tables(spark, SF), RunConfig(run_id="r1"))
+    run.write(str(tmp_path))
+    assert spark.read.parquet(f"{tmp_path}/members").count() == 1000
+    tr = spark.read.parquet(f"{tmp_path}/table_results")
+    assert tr.agg(F.sum("total")).first()[0] == 1000
+    assert not run.assigned.is_cached
