@@ -56,6 +56,17 @@ def _materialize(df: DataFrame) -> DataFrame:
 
 
 class ReportRun:
+    """One report run over ``tables`` (name → DataFrame with ``dt``, the key
+    and the registry fields).
+
+    ``cache``: fill the assigned rows and the attempt log once and share them
+    between all outputs (use when several outputs are read).
+    ``reject_if``: per table, a condition marking rows as failed transforms.
+    ``scripted_attempts``: account from a deterministic test attempt log
+    instead of an empty one (no network in tests). ``send`` or
+    ``use_attempts`` replaces either.
+    """
+
     def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame],
                  config: RunConfig | None = None, registry: Registry = REGISTRY,
                  reject_if: Mapping[str, Column] | None = None, cache: bool = False,
