@@ -11,7 +11,7 @@ from oracle_check import TABLES, digest  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 SQL = entry.oracle_sql()
-NAMES = sorted(entry.queries())
+NAMES = sorted(n for n in entry.queries() if not n.startswith("op") and n != "pipeline")
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +23,7 @@ def con():
 
 
 def test_every_oracle_has_a_query():
-    assert set(SQL) == set(NAMES)  # every registered query has oracle SQL
+    assert set(NAMES) <= set(SQL) <= set(entry.queries())  # every query of the library itself has oracle SQL
 
 
 @pytest.mark.parametrize("name", NAMES)
