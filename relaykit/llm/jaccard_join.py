@@ -15,8 +15,8 @@ guessed:
    has few of those, else its whole content is the key. Keys shared inside a
    map task fold to one row per key before the shuffle, so a hot group costs
    its key a row per task.
-3. *T-occurrence search.* The sets of a candidate cluster meet in one task,
-   or, when they are many, in tasks for pairs of blocks of them. There the sets
+3. *T-occurrence search.* The sets of a candidate cluster meet by pairs of bins,
+   in one task or, when they are many, in tasks for pairs of blocks of them. There the sets
    are indexed by shingle and each set is a query: its longest lists are set
    aside (how many follows from the required overlap T and the longest list),
    the short lists are heap-merged and texts found in at least T minus the
@@ -26,7 +26,8 @@ guessed:
 
 Defined results: a text that is null, empty or without words has an empty set
 and links with nothing; rows repeated with one id are each returned; a null id
-takes part and gets the smallest non-null id of its component (null if none).
+takes part through rows of an equal set that have one, and gets their component
+(null if there are none).
 Other columns of the input are not read.
 """
 
@@ -51,8 +52,9 @@ CLUSTER_SHINGLES = 1_000_000
 #: Most shingles that are left out of the blocks as frequent (8 bytes each).
 HOT_MOST = 200_000
 #: A shingle is frequent when a map task finds it in this share of its texts.
-HOT_SHARE, HOT_LEAST = 0.005, 16
+HOT_SHARE, HOT_LEAST = 0.001, 8
 
+_KEY = np.dtype([("low", "<u4"), ("high", "u1"), ("node", "<u4")])
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -229,9 +231,10 @@ def _probe(found: np.ndarray, lists: np.ndarray, at: np.ndarray, postings: np.nd
     return hit.reshape(len(found), len(lists)).sum(1)
 
 
-def search(sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+def search(sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray, upper: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """Links among ``sets``: (root of each by links, weighted number of links).
-    ``side``: 0 for all pairs among equals; sets of side 1 and 2 link across only."""
+    ``side``: 0 for all pairs among equals; sets of side 1 and 2 link across only.
+    Two sets of the upper bin are another task's pair."""
     n = len(sets)
     size = np.array([len(s) for s in sets])
     _, lists = np.unique(np.concatenate(sets), return_inverse=True)
@@ -254,6 +257,8 @@ def search(sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray, num: in
         need = -(-num * int(size[i]) // den)
         found, times = overlaps(lists[ends[i]:ends[i + 1]], at, postings, max(1, need), n)
         near = (found > i) if side[i] == 0 else (side[found] == 2)
+        if upper[i]:
+            near &= ~upper[found]
         found, times = found[near], times[near]
         hit = found[(num + den) * times >= num * (size[i] + size[found])]
         links[hit] += weight[i]
@@ -286,7 +291,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.zeros(j - i, np.int8)), batch.column(0).slice(i, j - i), pa.array(count),
                      pa.array(key, mask=count == 0)], names=["kind", "doc_id", "n", "set_id"])
-                seen.append(sets[mix(sets) < np.uint64(1 << 60)])  # one shingle in 16, chosen by its hash
+                seen.append(sets)
                 rows += j - i
                 if sum(map(len, seen)) > 4_000_000:
                     seen = [_frequent(seen, 2)]
@@ -305,8 +310,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                             .orderBy(F.desc("n"), "doc_id").limit(HOT_MOST).collect()], np.int64)).view(np.uint64)
     sent = spark.sparkContext.broadcast(hot)
 
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins, nodes, keys, links = block_counts(num, den), [], [], []
+        bins, nodes, keys = block_counts(num, den), [], []
         size = 0
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
@@ -317,63 +324,88 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 keys.append(key)
                 size += len(key)
                 if size > 4_000_000:
-                    yield from fold(nodes, keys, links)
+                    yield from fold(nodes, keys)
                     nodes, keys, size = [], [], 0
         if keys:
-            yield from fold(nodes, keys, links)
+            yield from fold(nodes, keys)
 
-    def fold(nodes, keys, links) -> Iterator[pa.RecordBatch]:
+    def fold(nodes, keys) -> Iterator[pa.RecordBatch]:
+        """A task's keys by bucket, in 9 bytes each: the key's low 40 bits and
+        the number of its node in the task's list. Keys that fall together only
+        add candidates."""
         key, lead, star = _stars(np.concatenate(keys), np.concatenate(nodes))
-        for i in range(0, len(key), 100_000):
-            part = slice(i, i + 100_000)
-            yield _table(key=key[part], a=lead[part], b=lead[part])
+        place = (mix(key.view(np.uint64)) >> np.uint64(20)).astype(np.int64) % buckets
+        order = np.argsort(place, kind="stable")
+        names, number = np.unique(lead[order], return_inverse=True)
+        ends = np.searchsorted(place[order], np.arange(buckets + 1))
+        key = key[order]
+        for k in np.flatnonzero(ends[1:] > ends[:-1]).tolist():
+            part = slice(ends[k], ends[k + 1])
+            mine, at = np.unique(number[part], return_inverse=True)
+            packed = np.empty(len(at), _KEY)
+            packed["low"], packed["high"], packed["node"] = key[part], (key[part] >> 32) & 255, at
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array([k], pa.int32()), "nodes": [names[mine].tobytes()], "keys": [packed.tobytes()]})
         if len(star):  # links found within the task need no key any more
-            yield _table(key=mix(star[:, 0].view(np.uint64)).view(np.int64), a=star[:, 0].copy(), b=star[:, 1].copy())
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array([int(mix(names[:1].view(np.uint64))[0] % np.uint64(buckets))], pa.int32()),
+                                              "nodes": [star.tobytes()], "keys": pa.array([None], pa.binary())})
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [(b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy()) for b in batches]
-        if not got:
-            return
-        key, a, b = (np.concatenate(x) for x in zip(*got, strict=True))
-        own = a == b
-        _, _, star = _stars(key[own], a[own])
-        star = np.concatenate((star, np.stack((a[~own], b[~own]), 1)))
-        if len(star):
-            star = np.unique(star, axis=0)
+        keys, nodes, stars = [], [], []
+        for batch in batches:
+            for bucket, names, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                got = np.frombuffer(names, np.int64)
+                if packed is None:
+                    stars.append(got.reshape(-1, 2))
+                    continue
+                packed = np.frombuffer(packed, _KEY)
+                keys.append(packed["low"].astype(np.int64) | (packed["high"].astype(np.int64) << 32) | (bucket << 40))
+                nodes.append(got[packed["node"]])
+        if keys:
+            stars.append(_stars(np.concatenate(keys), np.concatenate(nodes))[2])
+        if stars:
+            star = np.unique(np.concatenate(stars), axis=0)
             yield _table(a=star[:, 0].copy(), b=star[:, 1].copy())
 
-    edges = (texts.mapInArrow(keyed, "key long, a long, b long").repartition("key")
+    edges = (texts.mapInArrow(keyed, "bucket int, nodes binary, keys binary").repartition(buckets, "bucket")
              .mapInArrow(meet, "a long, b long"))
     cluster = saved(connected_components(edges).join(classes, F.col("node") == F.col("set_id"))
                     .select("node", "root", "low", "copies", "n"))
 
-    # blocks of a large cluster; a pair of blocks is a task
-    cut = (cluster.groupBy("root").agg(F.sum("n").alias("total"))
-           .select("root", F.ceil(F.col("total") * 2 / F.lit(CLUSTER_SHINGLES)).cast("int").alias("parts")))
-    cut = cut.select("root", F.when(F.col("parts") <= 2, 1).otherwise(F.col("parts")).alias("parts"))
-    member = cluster.join(cut, "root").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    texts_of = (member.where(F.col("low").isNotNull()).join(texts.withColumnRenamed("doc_id", "low"), "low")
-                .select("root", "node", "copies", "part", "parts", "text"))
+    # a cluster is cut by pairs of size bins (a set sits in its own bin's group
+    # and in that of the bin below), a large group in blocks; a pair of blocks is a task
+    lows = F.array(*[F.lit(int(x)) for x in block_counts(num, den)[0]])
+    home = F.size(F.filter(lows, lambda x: x <= F.col("n"))) - 1
+    seats = (cluster.where(F.col("low").isNotNull()).withColumn("home", home)
+             .select("*", F.explode(F.array("home", F.col("home") - 1)).alias("bin")).where("bin >= 0"))
+    upper = F.col("home") != F.col("bin")
+    parts = F.ceil(F.sum("n") * 2 / F.lit(CLUSTER_SHINGLES)).cast("int")
+    groups = (seats.groupBy("root", "bin").agg(F.when(parts <= 2, 1).otherwise(parts).alias("parts"), F.count(F.lit(1)).alias("sets"),
+                                               F.sum((~upper).cast("int")).alias("own")).where("sets >= 2 and own >= 1").drop("sets", "own"))
+    seated = seats.join(groups, ["root", "bin"]).select("node", "low", "copies", F.struct(
+        "root", "bin", upper.alias("upper"), F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), "parts").alias("seat"))
+    per_node = seated.groupBy("node", "low", "copies").agg(F.collect_list("seat").alias("seats"))  # two at most
+    texts_of = per_node.join(texts.withColumnRenamed("doc_id", "low"), "low").select("node", "copies", "seats", "text")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_bytes(batch.column(5))
-            node = batch.column(1).to_numpy()
+            data, offsets = text_bytes(batch.column(3))
+            node = batch.column(0).to_numpy()
             for i, j in slices(offsets):
                 sets, count = shingle_sets(data, offsets[i:j + 1], shingle, lower)
                 ends = np.concatenate(([0], np.cumsum(count)))
                 same = set_keys(sets, count) == node[i:j]  # a repeated id may have another text
                 got = pa.array([sets[ends[k]:ends[k + 1]].tobytes() for k in range(j - i)], pa.binary())
-                yield pa.RecordBatch.from_arrays([c.slice(i, j - i) for c in batch.columns[:5]] + [got],
-                                                 names=["root", "node", "copies", "part", "parts", "shingles"]).filter(pa.array(same))
-
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    dealt = (texts_of.mapInArrow(shingled, "root long, node long, copies long, part int, parts int, shingles binary")
-             .select("*", other.alias("mate"))
-             .select("root", F.least("part", "mate").alias("i"), F.greatest("part", "mate").alias("j"),
+                yield pa.RecordBatch.from_arrays([c.slice(i, j - i) for c in batch.columns[:3]] + [got],
+                                                 names=["node", "copies", "seats", "shingles"]).filter(pa.array(same))
+
+    kind = texts_of.schema["seats"].dataType.simpleString()
+    dealt = (texts_of.mapInArrow(shingled, f"node long, copies long, seats {kind}, shingles binary")
+             .select("node", "copies", "shingles", F.explode("seats").alias("s")).select("node", "copies", "shingles", "s.*")
+             .select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("mate"))
+             .select("root", "bin", F.least("part", "mate").alias("i"), F.greatest("part", "mate").alias("j"),
                      F.when(F.col("mate") == F.col("part"), 0).when(F.col("part") < F.col("mate"), 1).otherwise(2).alias("side"),
-                     "node", "copies", "shingles")
-             .repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "node"))
+                     "upper", "node", "copies", "shingles")
+             .repartition("root", "bin", "i", "j").sortWithinPartitions("root", "bin", "i", "j", "node"))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close():
@@ -382,19 +414,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             if len(picked) < 2:
                 return None
             sets = [np.frombuffer(g[3], np.uint64) for g in picked]
-            root, links = search(sets, np.array([g[1] for g in picked]), np.array([g[2] for g in picked]), num, den)
+            root, links = search(sets, *(np.array([g[k] for g in picked]) for k in (1, 2, 4)), num, den)
             on = links > 0
             return _table(a=nodes[on], b=nodes[root][on], links=links[on]) if on.any() else None
 
-        now, group, out = None, [], []
+        now, group = None, []
         for batch in batches:
-            cols = [batch.column(k).to_pylist() for k in range(7)]
-            for root, i, j, side, node, copies, got in zip(*cols, strict=True):
-                if (root, i, j) != now:
+            cols = [batch.column(k).to_pylist() for k in range(9)]
+            for *place, side, upper, node, copies, got in zip(*cols, strict=True):
+                if place != now:
                     if len(group) > 1 and (made := close()) is not None:
                         yield made
-                    now, group = (root, i, j), []
-                group.append((node, copies, side, got))
+                    now, group = place, []
+                group.append((node, copies, side, got, upper))
         if len(group) > 1 and (made := close()) is not None:
             yield made
 
