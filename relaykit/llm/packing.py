@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import saved
+from .shared import stored
 
 SIZE = 4096
 END_ID = 1
@@ -264,4 +264,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, text_col: str = "text", size
     pieces = token_pieces(docs, tokenizer, text_col, size, end_id)
     if digest:
         pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return pack(saved(pieces), size)
+    return pack(stored(pieces), size)
