@@ -48,7 +48,7 @@ from .shared import connected_components, mix, saved, shingle_sets, slices, text
 #: Weight of a probe against a merge step in the choice of long lists.
 MU = 0.0085
 #: Shingles of the sets that meet in one task before a cluster is cut in blocks.
-CLUSTER_SHINGLES = 1_000_000
+CLUSTER_SHINGLES = 2_000_000
 #: Most shingles that are left out of the blocks as frequent (8 bytes each).
 HOT_MOST = 200_000
 #: A shingle is frequent when a map task finds it in this share of its texts.
@@ -293,7 +293,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                      pa.array(key, mask=count == 0)], names=["kind", "doc_id", "n", "set_id"])
                 seen.append(sets)
                 rows += j - i
-                if sum(map(len, seen)) > 4_000_000:
+                if sum(map(len, seen)) > 2_000_000:
                     seen = [_frequent(seen, 2)]
         hot = _frequent(seen, max(HOT_LEAST, rows * HOT_SHARE), counts=True)
         if len(hot[0]):
@@ -323,7 +323,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 nodes.append(set_keys(sets, count)[own])
                 keys.append(key)
                 size += len(key)
-                if size > 4_000_000:
+                if size > 2_000_000:
                     yield from fold(nodes, keys)
                     nodes, keys, size = [], [], 0
         if keys:
