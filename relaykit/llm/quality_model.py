@@ -179,7 +179,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     y = np.array([r["y"] for r in got], float)
     share = float(y.mean()) if len(y) else 0.5
     network = None
-    if 0 < share < 1:
+    if len(y) and 0 < share < 1:
         x = np.stack([np.frombuffer(r["x"], np.float32) for r in got]).astype(np.float64)
         tune = np.array([r["fold"] == CALIBRATE for r in got])
         if tune.all() or len(set(y[~tune])) < 2:
