@@ -292,7 +292,7 @@ TRACKED = """tracked as (select
 from orders),
 g1_page as (select table_name, id from (
   select *, row_number() over (partition by table_name order by id) as rn
-  from tracked where id > 0 and report_status = 0) where rn <= 1000),
+  from tracked where id > 0 and report_status = 0)),
 g1_log as (
   select table_name, id, 1 as seq, 1 as status, cast(null as varchar) as error_msg, false as bump,
          timestamp '2024-02-01 00:00:00' as updated_at from g1_page
@@ -391,7 +391,7 @@ def build() -> dict[str, str]:
         case when json_valid(body) then json_extract_string(body, '$.message') end as message,
         case when json_valid(body) then cast(json_extract(body, '$.sc') as int) end as sc,
         case when json_valid(body) then cast(json_extract(body, '$.ec') as int) end as ec
-      from classified where length(body) > 0""")
+      from classified""")
     out["single_outcome"] = with_run(f"select {OUTCOME_COLS} from outcome where mode = 'SINGLE'")
     out["batch_outcome"] = with_run(f"select {OUTCOME_COLS} from outcome where mode = 'BATCH'")
     out["interrupted_requests"] = with_run(f"select {OUTCOME_COLS} from outcome where reason = 'Retry interrupted'")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.masking import mask_user_id
@@ -60,7 +60,8 @@ def table_results(counts: DataFrame, record_outcomes: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("status") == "success", 1).otherwise(0)).cast("long").alias("success"),
         F.sum(F.when(F.col("status") == "failed", 1).otherwise(0)).cast("long").alias("fail"),
         F.sum(F.when(F.col("status") == "unsent", 1).otherwise(0)).cast("long").alias("unsent"))
-    return counts.join(o, ["table_name", "dt"], "left").select(
+    o = o.select(F.col("table_name").alias("_t"), F.col("dt").alias("_d"), "success", "fail", "unsent")
+    return counts.join(o, F.col("table_name").eqNullSafe(F.col("_t")) & F.col("dt").eqNullSafe(F.col("_d")), "left").select(
         "table_name", "dt", F.col("n").cast("long").alias("total"),
         F.coalesce("success", F.lit(0)).cast("long").alias("success"),
         F.coalesce("fail", F.lit(0)).cast("long").alias("fail"),
@@ -79,6 +80,12 @@ def run_summary(table_results_df: DataFrame) -> DataFrame:
     return r.select("dt", "table_name", level.alias("level"), "total", "success", "fail", line.alias("line"))
 
 
+def _id_field(user_id: Column) -> Column:
+    """``"user_unique_id":"..."`` as the record's JSON writes it."""
+    whole = F.to_json(F.struct(F.coalesce(user_id, F.lit("")).alias("user_unique_id")))
+    return F.substring(whole, F.lit(2), F.length(whole) - 2)
+
+
 def dead_letters(record_outcomes_df: DataFrame, run_id: str = "run") -> DataFrame:
     """Failed rows: table, dt, masked user (``unknown`` → ``***``), reason and
     the record JSON with its user id masked too (raw one kept apart)."""
@@ -86,8 +93,9 @@ def dead_letters(record_outcomes_df: DataFrame, run_id: str = "run") -> DataFram
     uid = F.coalesce(F.col("user_unique_id"), F.lit("unknown"))
     masked = mask_user_id(uid)
     rec = F.col("record_json")
-    rec_masked = F.regexp_replace(rec, r'("user_unique_id":)"[^"]*"',
-                                  F.concat(F.lit('$1"'), masked, F.lit('"')))
+    # the field as it stands in the record, replaced as plain text: quotes,
+    # backslashes and dollar signs in an id are no pattern
+    rec_masked = F.replace(rec, _id_field(F.col("user_unique_id")), _id_field(masked))
     return f.select(F.lit(run_id).alias("run_id"), "table_name", "dt", masked.alias("user_masked"),
                     "reason", rec_masked.alias("record_json"), rec.alias("record_json_raw"))
 

@@ -162,11 +162,17 @@ def outcomes(classified: DataFrame, modes: DataFrame | None = None,
 def record_outcomes(members: DataFrame, outcome: DataFrame, key: str = "event_id") -> DataFrame:
     """Outcome of every source row: its request's, or its transform error.
 
-    Rows of requests never tried are ``unsent``. Joined on the request key;
-    a request has at most 50 members, so no join key is hot.
+    Rows of requests never tried are ``unsent``. Joined on the request key
+    (a null dt is a key like any other); a request has at most 50 members.
+    Rejected rows have no request and pass the join by, so they meet in no task.
     """
-    o = outcome.select(*REQ, "success", "reason", "attempts_used")
-    j = members.join(o, list(REQ), "left")
+    o = outcome.select(*[F.col(c).alias(f"_o_{c}") for c in REQ], "success", "reason", "attempts_used")
+    same = F.lit(True)
+    for c in REQ:
+        same = same & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+    sent = members.where(F.col("request_no").isNotNull()).join(o, same, "left").drop(*[f"_o_{c}" for c in REQ])
+    kinds = {c: outcome.schema[c].dataType for c in ("success", "reason", "attempts_used")}
+    j = sent.unionByName(members.where(F.col("request_no").isNull()).withColumns({c: F.lit(None).cast(t) for c, t in kinds.items()}))
     status = (F.when(F.col("error").isNotNull(), F.lit("failed"))
               .when(F.col("success").isNull(), F.lit("unsent"))
               .when(F.col("success"), F.lit("success")).otherwise(F.lit("failed")))

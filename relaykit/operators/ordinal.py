@@ -33,6 +33,15 @@ BROADCAST_MAX_ROWS = 2_000_000
 HOT_FACTOR = 4
 
 
+def _null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal ``cols``, where null equals null; the left's columns stay."""
+    right = right.select(*[F.col(c).alias(f"_r_{c}") if c in cols else F.col(c) for c in right.columns])
+    same = F.lit(True)
+    for c in cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    return left.join(right, same, how).drop(*[f"_r_{c}" for c in cols])
+
+
 def with_ordinal(df: DataFrame, group_cols: Sequence[str], key: str,
                  ord_col: str = "ord", bucket_rows: int = 1 << 20,
                  max_refine: int = 4, tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -66,7 +75,7 @@ def with_ordinal(df: DataFrame, group_cols: Sequence[str], key: str,
     b0 = F.coalesce(F.floor((F.col(key) - F.col("_lo")) / F.col("_w")).cast("long"), F.lit(-1).cast("long"))
     # broadcast the per-group plan only when the group count is within bounds
     plan_side = F.broadcast(plan) if top["groups"] <= BROADCAST_MAX_ROWS else plan
-    keyed = df.join(plan_side, g).select(
+    keyed = _null_safe(df, plan_side, g).select(
         *df.columns, b0.alias("_b0"), (F.col("_lo") + b0 * F.col("_w")).alias("_blo"), F.col("_w").alias("_bw"))
     buckets = ["_b0"]
     counts = keyed.groupBy(*g, *buckets).agg(F.count(F.lit(1)).alias("_c"))
@@ -90,7 +99,7 @@ def with_ordinal(df: DataFrame, group_cols: Sequence[str], key: str,
             keep = [c for c in keyed.columns if c not in ("_blo", "_bw")]
             n_hot = hot.count()  # over the checkpointed (small) counts
             hot_side = F.broadcast(hot_plan) if n_hot <= BROADCAST_MAX_ROWS else hot_plan
-            keyed = keyed.join(hot_side, [*g, *buckets], "left").select(
+            keyed = _null_safe(keyed, hot_side, [*g, *buckets], "left").select(
                 *keep, sb.alias(sub), (F.col("_blo") + sb * st).alias("_blo"), st.alias("_bw"))
             buckets.append(sub)
             counts = keyed.groupBy(*g, *buckets).agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True)
@@ -101,4 +110,4 @@ def with_ordinal(df: DataFrame, group_cols: Sequence[str], key: str,
     side = F.broadcast(offsets) if n_buckets <= BROADCAST_MAX_ROWS else offsets
     local = Window.partitionBy(*g, *buckets).orderBy(key, *tiebreak)
     ordinal = (F.col("_off") + F.row_number().over(local) - 1).cast("long")
-    return keyed.join(side, [*g, *buckets]).select(*df.columns, ordinal.alias(ord_col))
+    return _null_safe(keyed, side, [*g, *buckets]).select(*df.columns, ordinal.alias(ord_col))

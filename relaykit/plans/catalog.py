@@ -172,7 +172,7 @@ def attempt_classify(spark, sf_dir):
 
 
 def response_parse(spark, sf_dir):
-    c = _run(spark, sf_dir).classified.where(F.length("body") > 0)
+    c = _run(spark, sf_dir).classified  # without a body there are no counts
     r = F.col("response")
     return c.select("table_name", "dt", "request_no", "attempt", r["e"].alias("e"),
                     r["message"].alias("message"), r["sc"].alias("sc"), r["ec"].alias("ec"))
@@ -291,7 +291,6 @@ QUERIES.update({
 
 
 RUN_TIME = "2024-02-01 00:00:00"
-KEYSET_PAGE = 1000
 
 
 def _tracked(spark, sf_dir):
@@ -300,9 +299,8 @@ def _tracked(spark, sf_dir):
 
 
 def _g1_log(spark, sf_dir):
-    """One incremental pass: the first keyset page of pending rows per table
-    is marked Processing, then Success, or Failed with an error (every 7th)."""
-    page = sl.pending_scan(_tracked(spark, sf_dir), 0, KEYSET_PAGE).select("table_name", "id")
+    """One incremental pass: every pending row is marked Processing, then Success, or Failed with an error (every 7th)."""
+    page = _tracked(spark, sf_dir).where((F.col("id") > 0) & (F.col("report_status") == sl.PENDING)).select("table_name", "id")
     t0 = F.to_timestamp(F.lit(RUN_TIME))
     started = sl.status_changes(page, sl.PROCESSING, 1, t0)
     ok = sl.status_changes(page.where(F.col("id") % 7 != 0), sl.SUCCESS, 2, t0 + F.expr("interval 1 minute"))

@@ -17,19 +17,18 @@ from ..registry import TableSpec
 
 
 def range_predicates(column: str, lower: int, upper: int, parts: int) -> list[str]:
-    """``parts`` half-open ranges covering [lower, upper], plus nulls once."""
+    """``parts`` ranges that together hold every row: the first is open below
+    (and has the nulls), the last open above, so rows outside the bounds, or
+    inserted after they were read, are not lost."""
     parts = max(1, int(parts))
     span = max(1, upper - lower + 1)
     step = -(-span // parts)
-    preds = []
-    for i in range(parts):
-        lo = lower + i * step
-        if lo > upper:
-            break
-        hi = lo + step
-        preds.append(f"{column} >= {lo} AND {column} < {hi}")
-    preds[0] = f"({preds[0]}) OR {column} IS NULL"
-    return preds
+    cuts = [lower + i * step for i in range(1, parts) if lower + i * step <= upper]
+    if not cuts:
+        return ["1 = 1"]
+    preds = [f"{column} < {cuts[0]} OR {column} IS NULL"]
+    preds += [f"{column} >= {lo} AND {column} < {hi}" for lo, hi in zip(cuts, cuts[1:], strict=False)]
+    return [*preds, f"{column} >= {cuts[-1]}"]
 
 
 def date_predicates(dates: Iterable[str], key: str | None = None,
@@ -37,7 +36,7 @@ def date_predicates(dates: Iterable[str], key: str | None = None,
     """One predicate per date, each split into key ranges when ``bounds``."""
     out = []
     for d in dates:
-        base = f"dt = '{d}'"
+        base = "dt = '" + d.replace("'", "''") + "'"
         if key and bounds and parts_per_date > 1:
             out.extend(f"{base} AND ({p})" for p in range_predicates(key, bounds[0], bounds[1], parts_per_date))
         else:

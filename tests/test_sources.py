@@ -1,17 +1,17 @@
+import duckdb
+
 from relaykit.registry import REGISTRY, parse_table_list
 from relaykit.sources import jdbc
 
 
 def test_range_predicates_cover_all_keys():
-    preds = jdbc.range_predicates("id", 0, 99, 4)
-    assert len(preds) == 4
-    assert preds[0].endswith("OR id IS NULL")
-    covered = set()
-    for p in preds:
-        lo = int(p.split(">= ")[1].split(" ")[0])
-        hi = int(p.split("< ")[1].split(")")[0].split(" ")[0])
-        covered |= set(range(lo, hi))
-    assert set(range(100)) <= covered
+    for lower, upper, parts in ((0, 99, 4), (1, 10, 2), (5, 5, 3), (0, 2, 10)):
+        preds = jdbc.range_predicates("id", lower, upper, parts)
+        con = duckdb.connect()
+        con.execute("create table t as select range - 50 as id from range(300) union all select null")
+        got = [con.execute(f"select count(*) from t where ({p})").fetchall()[0][0] for p in preds]
+        assert sum(got) == 301  # ids outside the bounds and nulls are each in one range
+        assert 1 <= len(preds) <= parts
 
 
 def test_date_predicates_and_select_list():
