@@ -302,7 +302,8 @@ g1_log as (
   select table_name, id, 2, 3, substr('HTTP 503: ' || repeat('server busy ', 50), 1, 500), true,
          timestamp '2024-02-01 00:01:00' from g1_page where id % 7 = 0),
 g1_latest as (select table_name, id, max(seq) as seq, arg_max(status, seq) as status,
-    arg_max(error_msg, seq) as error_msg, arg_max(updated_at, seq) as updated_at,
+    arg_max(error_msg, seq) filter (where error_msg is not null) as error_msg,
+    arg_max(updated_at, seq) as updated_at, min(updated_at) as first_at,
     cast(count(*) filter (where bump) as int) as bumps
   from g1_log group by table_name, id),
 g1_applied as (select t.table_name, t.id, cast(coalesce(l.status, t.report_status) as int) as report_status,
@@ -311,7 +312,7 @@ g1_applied as (select t.table_name, t.id, cast(coalesce(l.status, t.report_statu
 g1_progress as (select table_name, 'report' as task_type, max(id) as last_processed_id,
     count(*) as processed_count, cast(count(*) filter (where status = 2) as bigint) as success_count,
     cast(count(*) filter (where status = 3) as bigint) as fail_count,
-    strftime(min(updated_at), '%Y-%m-%d %H:%M:%S') as start_time,
+    strftime(min(first_at), '%Y-%m-%d %H:%M:%S') as start_time,
     strftime(max(updated_at), '%Y-%m-%d %H:%M:%S') as end_time
   from g1_latest where status in (2, 3) group by table_name),
 pending_batches as (select table_name, ord // 20 as batch_no, id from (
@@ -552,14 +553,31 @@ def build() -> dict[str, str]:
         select table_name, dt, sha256(concat_ws(chr(1), table_name, dt, user_unique_id,
           cast(local_time_ms as varchar), params)) as delivery_key from payloads)
       group by table_name, dt, delivery_key having count(*) > 1""")
-    out["stream_outbox"] = out["outbox_all"]
-    # append mode emits the windows closed by the final watermark (max - 30 s)
+    # one file, so one epoch: run "run-0"
+    out["stream_outbox"] = with_run("select run_id || '-0' as run_id, table_name, dt, request_no, endpoint, n_records, body from outbox")
+    out["outbox_keyless"] = with_run("""select table_name, dt, endpoint, cast(null as bigint) as request_no, body, count(*) as n
+      from assigned group by table_name, dt, endpoint, body
+      union all
+      select table_name, dt, endpoint, row_number() over (partition by table_name, dt, endpoint order by request_no) - 1,
+        null, cast(n_records as bigint) from outbox""")
+    names = ", ".join(f"({i}, '{n}')" for i, n in enumerate(TABLE_NAMES))
+    out["stats_empty_date"] = with_views(f""", c as (
+        select d.dt, t.table_name, t.i, count(p.table_name) as n
+        from (select distinct dt from payloads union select '1999-12-31' union select '2024-01-15') d
+        cross join (values {names}) t(i, table_name)
+        left join payloads p on p.dt = d.dt and p.table_name = t.table_name group by d.dt, t.table_name, t.i),
+      r as (select dt, table_name, n from c union all select dt, 'TOTAL', cast(sum(n) as bigint) from c group by dt)
+      select dt, table_name, n, '  ' || rpad(table_name, 20, ' ') || ' : ' || cast(n as varchar) as line from r""")
+    out["status_after_relock"] = with_tracked("""select table_name, id,
+        cast(case when error_msg is not null then 1 else report_status end as int) as report_status, retry_count, error_msg
+      from g1_applied""")
+    out["ids_membership"] = with_tracked("""select table_name, id, user_unique_id from tracked
+      where report_status = 0 and id % 10 = 3""")
     out["stream_rate_metrics"] = with_run("""select
         strftime(make_timestamp(cast((started_s // 60) * 60 * 1000000 as bigint)), '%Y-%m-%d %H:%M:%S') as window_start,
         table_name, count(*) as attempts, cast(count(*) filter (where ok) as bigint) as ok,
         cast(count(*) filter (where not ok) as bigint) as failed
-      from classified group by started_s // 60, table_name
-      having (started_s // 60 + 1) * 60 <= (select max(started_s) from classified) - 30""")
+      from classified group by started_s // 60, table_name""")
     out["pretty_json"] = with_views(f"select event_id, {len(SPEC['pay'][2]) + 4} as n_lines, "
                                     f"{record_json_sql('pay')} as compact from pay")
     return out

@@ -35,15 +35,25 @@ def partition_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return tag_tables(tables).groupBy("table_name", "dt").agg(F.count(F.lit(1)).alias("n"))
 
 
-def stats_by_date(tables: Mapping[str, DataFrame], names: Sequence[str]) -> DataFrame:
-    """Per date: one row per configured table (zeros included) and TOTAL.
+def _asked(df: DataFrame, dates: Sequence[str]) -> DataFrame:
+    """The dates asked for, without a table: they get rows even without data."""
+    return df.sparkSession.createDataFrame([(d,) for d in dates], "dt string") \
+             .select(F.lit(None).cast("string").alias("table_name"), "dt")
+
+
+def stats_by_date(tables: Mapping[str, DataFrame], names: Sequence[str], dates: Sequence[str] = ()) -> DataFrame:
+    """Per date: one row per configured table (zeros included) and TOTAL;
+    ``dates`` get their rows of zeros even when no table has the date.
 
     ``pivot`` over the known table list turns missing partitions into nulls
     (→ 0) without building a tables × dates grid by join; ``stack`` turns the
     columns back into rows. Output: dt, table_name, n, ordinal, line.
     """
     names = list(names)
-    counts = tag_tables(tables).groupBy("dt").pivot("table_name", names).agg(F.count(F.lit(1)))
+    tagged = tag_tables(tables)
+    if dates:
+        tagged = tagged.unionByName(_asked(tagged, dates))
+    counts = tagged.groupBy("dt").pivot("table_name", names).agg(F.count(F.lit(1)))
     stack_args = ", ".join(f"{i}, '{n}', coalesce(`{n}`, 0L)" for i, n in enumerate(names))
     long = counts.selectExpr("dt", f"stack({len(names)}, {stack_args}) as (ordinal, table_name, n)")
     total = long.groupBy("dt").agg(F.sum("n").alias("n")) \
@@ -68,14 +78,18 @@ def table_results(counts: DataFrame, record_outcomes: DataFrame) -> DataFrame:
         F.coalesce("unsent", F.lit(0)).cast("long").alias("unsent"))
 
 
-def run_summary(table_results_df: DataFrame) -> DataFrame:
+def run_summary(table_results_df: DataFrame, dates: Sequence[str] = ()) -> DataFrame:
     """Totals per dt and overall (rollup); ``table_name``/``dt`` null on the
-    total rows, with ``level`` telling which."""
-    r = table_results_df.rollup("dt", "table_name").agg(
-        F.sum("total").cast("long").alias("total"), F.sum("success").cast("long").alias("success"),
-        F.sum("fail").cast("long").alias("fail"))
-    level = (F.when(F.col("dt").isNull(), F.lit("all"))
-             .when(F.col("table_name").isNull(), F.lit("date")).otherwise(F.lit("table")))
+    total rows, with ``level`` telling which (rows of a null dt have a date
+    row too). ``dates`` without any row get a date row of zeros."""
+    counts = ("total", "success", "fail")
+    rows = table_results_df.select("dt", "table_name", *counts)
+    if dates:
+        rows = rows.unionByName(_asked(rows, dates).withColumns({c: F.lit(0).cast("long") for c in counts}))
+    r = rows.rollup("dt", "table_name").agg(
+        *[F.sum(c).cast("long").alias(c) for c in counts], F.grouping_id().alias("_level"))
+    r = r.where((F.col("_level") != 0) | F.col("table_name").isNotNull())
+    level = F.when(F.col("_level") == 3, F.lit("all")).when(F.col("_level") == 1, F.lit("date")).otherwise(F.lit("table"))
     line = F.format_string(SUMMARY_LINE, "total", "success", "fail")
     return r.select("dt", "table_name", level.alias("level"), "total", "success", "fail", line.alias("line"))
 

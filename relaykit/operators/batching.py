@@ -43,16 +43,20 @@ def batch_number(ord_col: Column, page_size: int, batch_size: int,
 
 def assign_requests(payloads: DataFrame, modes: DataFrame | Mapping[str, str], batch_size: int = 20,
                     page_size: int = 1000, key: str = "event_id",
-                    may_have_errors: bool = True, bucket_rows: int = 1 << 20) -> DataFrame:
+                    may_have_errors: bool = True, bucket_rows: int = 1 << 20,
+                    unique_key: bool = True) -> DataFrame:
     """Give every payload row its mode, endpoint and request number, and BATCH
     rows their ordinal and page.
 
     ``payloads`` is :func:`transform.payloads_all` output; ``modes`` is a
     table → mode mapping (:func:`registry.mode_map`) or a (table_name, mode)
-    DataFrame (:func:`registry.resolve_modes`, registry-sized, broadcast). SINGLE rows are one request each, numbered by their unique
-    source key, so they skip the ordinal and its shuffle entirely; only BATCH
-    rows are ranked, paged and chunked. Adds: ord, page_no (null for SINGLE),
-    mode, endpoint, request_no (null for rows with an error).
+    DataFrame (:func:`registry.resolve_modes`, registry-sized, broadcast).
+    SINGLE rows are one request each, numbered by their unique source key, so
+    they skip the ordinal and its shuffle entirely; only BATCH rows are ranked,
+    paged and chunked. Without a ``unique_key`` (tables without a row id, keyed
+    by a hash) SINGLE rows are ranked too and numbered by their ordinal. Adds:
+    ord, page_no (null for SINGLE), mode, endpoint, request_no (null for rows
+    with an error).
     """
     check_batch_size(batch_size)
     if isinstance(modes, Mapping):
@@ -70,14 +74,22 @@ def assign_requests(payloads: DataFrame, modes: DataFrame | Mapping[str, str], b
 
     # a SINGLE row is numbered by its key; a row without one cannot be
     # addressed and is reported as failed rather than left unsent
-    s_err = F.coalesce(F.col("error"), F.when(F.col(key).isNull(), F.lit(MISSING_KEY)))
-    single = tagged.where(F.col("mode") == SINGLE).select(
+    # equal hashes of different rows are told apart by what is sent
+    ties = () if unique_key else tuple(c for c in ("body", "record_json") if c in payloads.columns)
+    singles = tagged.where(F.col("mode") == SINGLE)
+    if unique_key:
+        s_err = F.coalesce(F.col("error"), F.when(F.col(key).isNull(), F.lit(MISSING_KEY)))
+        number, order = F.col(key).cast("long"), F.lit(None).cast("long")
+    else:
+        singles = with_ordinal(singles, GROUP, key, "ord", bucket_rows=bucket_rows, tiebreak=ties)
+        s_err, number, order = F.col("error"), F.col("ord"), F.col("ord")
+    single = singles.select(
         *[c for c in payloads.columns if c != "error"], s_err.alias("error"), "mode",
-        F.lit(None).cast("long").alias("ord"), F.lit(None).cast("long").alias("page_no"),
-        F.when(s_err.isNull(), F.col(key).cast("long")).alias("request_no"),
+        order.alias("ord"), F.lit(None).cast("long").alias("page_no"),
+        F.when(s_err.isNull(), number).alias("request_no"),
         F.lit(SINGLE_ENDPOINT).alias("endpoint"))
 
-    batch = with_ordinal(tagged.where(F.col("mode") == BATCH), GROUP, key, "ord", bucket_rows=bucket_rows)
+    batch = with_ordinal(tagged.where(F.col("mode") == BATCH), GROUP, key, "ord", bucket_rows=bucket_rows, tiebreak=ties)
     page = F.floor(F.col("ord") / F.lit(page_size)).cast("long")
     if may_have_errors:
         # position among the good rows of the page; a page holds at most

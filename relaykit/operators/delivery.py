@@ -18,7 +18,7 @@ from ..registry import SINGLE
 from .ordinal import with_ordinal
 
 MAX_ATTEMPTS = 3
-REQ = ("table_name", "dt", "request_no")
+REQ = ("run_id", "table_name", "dt", "request_no")
 
 # Failure reason texts of the report run.
 REASON_MAX_RETRIES = "Max retries exceeded"
@@ -136,9 +136,11 @@ def outcomes(classified: DataFrame, modes: DataFrame | None = None,
     Tries after the first success and beyond ``max_attempts`` are ignored.
     A failed request with fewer tries than allowed was interrupted.
     Grouping is by request key, so groups are tiny (≤ attempts per request).
+    The key has the run's id where the log has one.
     """
     c = classified.where(F.col("attempt") <= max_attempts)
-    agg = c.groupBy(*REQ).agg(
+    req = [x for x in REQ if x in classified.columns]
+    agg = c.groupBy(*req).agg(
         F.min(F.when(F.col("ok"), F.col("attempt"))).alias("ok_attempt"),
         F.max("attempt").alias("max_attempt"),
         F.max_by("error", F.when(~F.col("ok"), F.col("attempt"))).alias("last_error"),
@@ -146,7 +148,7 @@ def outcomes(classified: DataFrame, modes: DataFrame | None = None,
     used = F.coalesce(F.col("ok_attempt"), F.col("max_attempt"))
     dur = F.aggregate(F.filter("_durs", lambda s: s["attempt"] <= used), F.lit(0).cast("long"),
                       lambda acc, s: acc + s["duration_ms"])
-    out = agg.select(*REQ, F.col("ok_attempt").isNotNull().alias("success"), "ok_attempt",
+    out = agg.select(*req, F.col("ok_attempt").isNotNull().alias("success"), "ok_attempt",
                      used.cast("int").alias("attempts_used"), "last_error", dur.alias("duration_ms"))
     if modes is not None:
         out = out.join(F.broadcast(modes.select("table_name", "mode")), "table_name", "left")
@@ -166,11 +168,12 @@ def record_outcomes(members: DataFrame, outcome: DataFrame, key: str = "event_id
     (a null dt is a key like any other); a request has at most 50 members.
     Rejected rows have no request and pass the join by, so they meet in no task.
     """
-    o = outcome.select(*[F.col(c).alias(f"_o_{c}") for c in REQ], "success", "reason", "attempts_used")
+    req = [c for c in REQ if c in outcome.columns and c in members.columns]
+    o = outcome.select(*[F.col(c).alias(f"_o_{c}") for c in req], "success", "reason", "attempts_used")
     same = F.lit(True)
-    for c in REQ:
+    for c in req:
         same = same & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
-    sent = members.where(F.col("request_no").isNotNull()).join(o, same, "left").drop(*[f"_o_{c}" for c in REQ])
+    sent = members.where(F.col("request_no").isNotNull()).join(o, same, "left").drop(*[f"_o_{c}" for c in req])
     kinds = {c: outcome.schema[c].dataType for c in ("success", "reason", "attempts_used")}
     j = sent.unionByName(members.where(F.col("request_no").isNull()).withColumns({c: F.lit(None).cast(t) for c, t in kinds.items()}))
     status = (F.when(F.col("error").isNotNull(), F.lit("failed"))

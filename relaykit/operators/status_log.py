@@ -122,15 +122,18 @@ def batches_of_ids(df: DataFrame, size: int = 20) -> DataFrame:
 
 
 def latest_status(log: DataFrame) -> DataFrame:
-    """Current state per (table, id): the change with the highest seq, plus
-    the number of retry-bumping failures in the log."""
+    """Current state per (table, id): the change with the highest seq (of equal
+    ones the latest), the last error recorded (a later change without one
+    leaves it), the time of the first change and the number of retry-bumping
+    failures in the log."""
+    order = F.struct("seq", "updated_at", "status")
     return log.groupBy("table_name", "id").agg(
-        F.max_by(F.struct("status", "error_msg", "updated_at"), "seq").alias("_last"),
+        F.max(order).alias("_last"),
+        F.max_by("error_msg", F.when(F.col("error_msg").isNotNull(), order)).alias("error_msg"),
         F.sum(F.when(F.col("bump_retry"), 1).otherwise(0)).cast("int").alias("retry_bumps"),
-        F.max("seq").alias("seq")).select(
-        "table_name", "id", "seq", F.col("_last.status").alias("status"),
-        F.col("_last.error_msg").alias("error_msg"), F.col("_last.updated_at").alias("updated_at"),
-        "retry_bumps")
+        F.min("updated_at").alias("first_at")).select(
+        "table_name", "id", F.col("_last.seq").alias("seq"), F.col("_last.status").alias("status"),
+        "error_msg", F.col("_last.updated_at").alias("updated_at"), "retry_bumps", "first_at")
 
 
 def apply_status(base: DataFrame, log: DataFrame) -> DataFrame:
@@ -151,7 +154,7 @@ def apply_status(base: DataFrame, log: DataFrame) -> DataFrame:
     return out.drop("_st", "_err", "_upd", "retry_bumps")
 
 
-def status_changes(ids: DataFrame, status: int, seq: int, at: Column,
+def status_changes(ids: DataFrame, status: int, seq: int | Column, at: Column,
                    error: Column | None = None, bump_retry: bool = False) -> DataFrame:
     """Log rows setting ``status`` for the (table_name, id) rows of ``ids``."""
     err = truncate_error(error) if error is not None else F.lit(None).cast("string")
@@ -162,7 +165,7 @@ def status_changes(ids: DataFrame, status: int, seq: int, at: Column,
 
 def task_progress(log: DataFrame, task_type: str = "report") -> DataFrame:
     """Checkpoint per table: last id done, processed/success/fail counts and
-    time span of the changes."""
+    time span of the changes to the ids done, from the first one on."""
     last = latest_status(log)
     done = last.where(F.col("status").isin(SUCCESS, FAILED))
     return done.groupBy("table_name").agg(
@@ -170,7 +173,7 @@ def task_progress(log: DataFrame, task_type: str = "report") -> DataFrame:
         F.count(F.lit(1)).alias("processed_count"),
         F.sum(F.when(F.col("status") == SUCCESS, 1).otherwise(0)).cast("long").alias("success_count"),
         F.sum(F.when(F.col("status") == FAILED, 1).otherwise(0)).cast("long").alias("fail_count"),
-        F.min("updated_at").alias("start_time"), F.max("updated_at").alias("end_time"),
+        F.min("first_at").alias("start_time"), F.max("updated_at").alias("end_time"),
     ).withColumn("task_type", F.lit(task_type))
 
 
@@ -188,6 +191,18 @@ def stale_processing(df: DataFrame, now: Column, older_than: str = "1 hour") ->
     return df.where((F.col("report_status") == PROCESSING) & (F.col("updated_at") < cutoff))
 
 
-def reset_stale(df: DataFrame, now: Column, older_than: str = "1 hour", seq: int = 1) -> DataFrame:
-    """Status-log rows returning stale Processing rows to Pending."""
-    return status_changes(stale_processing(df, now, older_than), PENDING, seq, now)
+def next_seq(ids: DataFrame, log: DataFrame | None) -> DataFrame:
+    """``ids`` with column ``next_seq``: one more than the highest seq of the
+    id in ``log``, 1 without any."""
+    if log is None:
+        return ids.withColumn("next_seq", F.lit(1).cast("long"))
+    top = log.groupBy("table_name", "id").agg(F.max("seq").alias("_top"))
+    return ids.join(top, ["table_name", "id"], "left") \
+              .withColumn("next_seq", F.coalesce("_top", F.lit(0).cast("long")) + 1).drop("_top")
+
+
+def reset_stale(df: DataFrame, now: Column, older_than: str = "1 hour", log: DataFrame | None = None) -> DataFrame:
+    """Status-log rows returning stale Processing rows to Pending, numbered
+    after the changes that ``log`` already holds."""
+    stale = next_seq(stale_processing(df, now, older_than), log)
+    return status_changes(stale, PENDING, F.col("next_seq"), now)

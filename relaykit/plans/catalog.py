@@ -22,7 +22,8 @@ from ..registry import REGISTRY, parse_mode, validate_tables
 from ..session import ensure_conf, session_key
 from ..sources import logs
 from ..sources.tables import (EVENT_TYPE_OF, date_range, driver_table, driver_tables, events_base,
-                              events_view, load, tables_from_events, tracked_rows)
+                              events_view, load, tables_from_events, tracked_rows,
+                              with_row_key)
 from ..streaming import runner
 from .report_run import (DEFAULT_INGEST_MS, ReportRun, RunConfig, failed_records_file,
                          run_log)
@@ -48,7 +49,7 @@ def _run(spark: SparkSession, sf_dir: str, gran: str = "day", **cfg) -> ReportRu
     key = (session_key(spark), sf_dir, gran, reject is not None,
            tuple(sorted((k, str(v)) for k, v in cfg.items())))
     if key not in _RUNS:
-        _RUNS[key] = ReportRun(spark, _tables(spark, sf_dir, gran), RunConfig(**cfg),
+        _RUNS[key] = ReportRun(spark, _tables(spark, sf_dir, gran), RunConfig(ingest_ms=DEFAULT_INGEST_MS, **cfg),
                                reject_if=reject, cache=True, scripted_attempts=True)
     return _RUNS[key]
 
@@ -103,6 +104,15 @@ def stats_by_date(spark, sf_dir):
     return audit.stats_by_date(_tables(spark, sf_dir), TABLES).select("dt", "table_name", "n", "ordinal")
 
 
+EMPTY_DATE = "1999-12-31"
+
+
+def stats_empty_date(spark, sf_dir):
+    """Statistics of a date without any row, among those with rows."""
+    return audit.stats_by_date(_tables(spark, sf_dir), TABLES, [EMPTY_DATE, SCAN_DATE]) \
+                .select("dt", "table_name", "n", "line")
+
+
 def stats_report_lines(spark, sf_dir):
     return audit.stats_by_date(_tables(spark, sf_dir), TABLES).select("dt", "ordinal", "line")
 
@@ -159,6 +169,16 @@ def outbox_all(spark, sf_dir):
     return _run(spark, sf_dir).outbox
 
 
+def outbox_keyless(spark, sf_dir):
+    """Tables without a row id: the bodies of every table, date and endpoint
+    with their number, and the size of every request."""
+    tables = {n: with_row_key(df.drop("event_id")) for n, df in _tables(spark, sf_dir).items()}
+    run = ReportRun(spark, tables, RunConfig(ingest_ms=DEFAULT_INGEST_MS, unique_key=False))
+    bodies = run.assigned.groupBy("table_name", "dt", "endpoint", "body").agg(F.count(F.lit(1)).alias("n"))
+    sizes = run.outbox.select("table_name", "dt", "endpoint", "request_no", F.col("n_records").cast("long").alias("n"))
+    return bodies.unionByName(sizes, allowMissingColumns=True).select("table_name", "dt", "endpoint", "request_no", "body", "n")
+
+
 def transform_errors(spark, sf_dir):
     p = _run(spark, sf_dir, reject_if=_short_id()).payloads
     return p.where(F.col("error").isNotNull()).select("table_name", "dt", "event_id", "error")
@@ -257,6 +277,7 @@ QUERIES.update({
     "partition_count": partition_count,
     "stats_by_date": stats_by_date,
     "stats_report_lines": stats_report_lines,
+    "stats_empty_date": stats_empty_date,
     "batch_assignment": batch_assignment,
     "page_batch_assignment": page_batch_assignment,
     "batch_after_errors": batch_after_errors,
@@ -266,6 +287,7 @@ QUERIES.update({
     "outbox_single": outbox_single,
     "outbox_batch": outbox_batch,
     "outbox_all": outbox_all,
+    "outbox_keyless": outbox_keyless,
     "transform_errors": transform_errors,
     "attempt_classify": attempt_classify,
     "response_parse": response_parse,
@@ -394,6 +416,23 @@ def incremental_pending(spark, sf_dir):
     return sl.incremental_pending(t, p).select("table_name", "id")
 
 
+def status_after_relock(spark, sf_dir):
+    """Rows marked Processing again after the pass: the last error stays."""
+    log = _g1_log(spark, sf_dir)
+    failed = sl.latest_status(log).where(F.col("status") == sl.FAILED).select("table_name", "id")
+    again = sl.status_changes(sl.next_seq(failed, log), sl.PROCESSING, F.col("next_seq"),
+                              F.to_timestamp(F.lit(RUN_TIME)) + F.expr("interval 1 hour"))
+    a = sl.apply_status(_tracked(spark, sf_dir), log.unionByName(again))
+    return a.select("table_name", "id", "report_status", "retry_count", "error_msg")
+
+
+def ids_membership(spark, sf_dir):
+    """Rows whose id is among the pending ones that end in 3 (C5, JN3)."""
+    t = _tracked(spark, sf_dir)
+    ids = t.where((F.col("report_status") == sl.PENDING) & (F.col("id") % 10 == 3))
+    return sl.rows_with_ids(t, ids).select("table_name", "id", "user_unique_id")
+
+
 def stale_processing(spark, sf_dir):
     now = F.to_timestamp(F.lit("2000-01-01 00:00:00"))
     return sl.stale_processing(_tracked(spark, sf_dir), now).select("table_name", "id")
@@ -532,6 +571,8 @@ QUERIES.update({
     "task_progress": task_progress,
     "incremental_pending": incremental_pending,
     "stale_processing": stale_processing,
+    "status_after_relock": status_after_relock,
+    "ids_membership": ids_membership,
     "mask_user_id": mask_user_id,
     "mask_json": mask_json,
     "mask_url": mask_url,
@@ -571,7 +612,7 @@ def log_error_filter(spark, sf_dir):
 def backfill_range(spark, sf_dir):
     """All dates of an inclusive range in one job; per-date totals."""
     tables = {n: df.where(date_range(*BACKFILL)) for n, df in _tables(spark, sf_dir).items()}
-    run = ReportRun(spark, tables, RunConfig(), reject_if=_short_id(), scripted_attempts=True)
+    run = ReportRun(spark, tables, RunConfig(ingest_ms=DEFAULT_INGEST_MS), reject_if=_short_id(), scripted_attempts=True)
     return run.summary.where(F.col("level") == "date").select("dt", "total", "success", "fail")
 
 
@@ -609,32 +650,21 @@ def stream_outbox(spark, sf_dir):
     out = runner.scratch_path(spark, "stream-out")
     q = runner.start_report_stream(_events_stream(spark, sf_dir),
                                    lambda b: tables_from_events(events_view(b)), out,
-                                   runner.scratch_path(spark, "stream-ckpt"))
+                                   runner.scratch_path(spark, "stream-ckpt"), RunConfig(ingest_ms=DEFAULT_INGEST_MS))
     q.awaitTermination()
     return spark.read.parquet(f"{out}/outbox").drop("epoch")
 
 
 def stream_rate_metrics(spark, sf_dir):
-    """Minute rates on a streamed attempt log (closed windows only)."""
+    """Minute rates on a streamed attempt log, all minutes, open ones too."""
     log_dir = runner.scratch_path(spark, "attempt-log")
-    # the log arrives as four time slices, appended in time order, one per
-    # trigger, so the watermark advances the same way on every run
     att = _run(spark, sf_dir).attempts
-    secs = F.unix_seconds(F.col("started_at"))
-    lo, hi = att.agg(F.min(secs), F.max(secs)).first()
-    step = max(1, -(-(hi - lo + 1) // 4))
-    for i in range(4):
-        att.where(F.floor((secs - F.lit(lo)) / F.lit(step)) == i).coalesce(1) \
-           .write.mode("append").parquet(log_dir)
-    schema = spark.read.parquet(log_dir).schema
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(log_dir)
+    att.write.parquet(log_dir)
     out = runner.scratch_path(spark, "rates")
-    q = (runner.minute_rates(src, "30 seconds").writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", runner.scratch_path(spark, "rates-ckpt"))
-         .trigger(availableNow=True).start(out))
+    q = runner.start_rate_stream(spark.readStream.schema(att.schema).parquet(log_dir), out,
+                                 runner.scratch_path(spark, "rates-ckpt"))
     q.awaitTermination()
-    return spark.read.schema("window_start string, table_name string, attempts long, ok long, failed long") \
-                .parquet(out)
+    return runner.latest_rates(spark, out)
 
 
 QUERIES.update({

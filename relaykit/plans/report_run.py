@@ -7,14 +7,15 @@
                      record outcomes ─► dead letters, table results, summary
 
 ``ReportRun`` keeps the intermediate DataFrames lazily; ``write`` persists
-the outputs (outbox, members, dead letters, summary) so that a rerun of the
-same ``run_id`` overwrites instead of duplicating.
+the outputs (outbox, members, dead letters, table results) so that a rerun of
+the same ``run_id`` replaces its tables and dates instead of duplicating them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+import time
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -29,14 +30,20 @@ DEFAULT_INGEST_MS = 1706745600000  # 2024-02-01T00:00:00Z: processing time of te
 
 @dataclass
 class RunConfig:
+    """``ingest_ms``: processing time of the run; None takes the time at which
+    the run is made. ``dates``: dates asked for, summed up even without rows.
+    ``unique_key``: whether ``key`` tells rows apart; False for tables without
+    a row id, keyed by a hash (:func:`sources.tables.with_row_key`)."""
     run_id: str = "run"
-    ingest_ms: int = DEFAULT_INGEST_MS
+    ingest_ms: int | None = None
     batch_size: int = 20
     page_size: int = 1000
     max_attempts: int = 3
     mode_overrides: Mapping[str, str] = field(default_factory=dict)
     key: str = "event_id"
     bucket_rows: int = 1 << 20
+    unique_key: bool = True
+    dates: Sequence[str] = ()
 
     def __post_init__(self):
         batching.check_batch_size(self.batch_size)
@@ -76,6 +83,8 @@ class ReportRun:
         self.spark = spark
         self.tables = dict(tables)
         self.cfg = config or RunConfig()
+        if self.cfg.ingest_ms is None:
+            self.cfg = replace(self.cfg, ingest_ms=time.time_ns() // 1_000_000)
         self.registry = registry
         self.reject_if = reject_if
 
@@ -114,7 +123,7 @@ class ReportRun:
         a = batching.assign_requests(self.payloads.select(*needed), modes, self.cfg.batch_size,
                                      self.cfg.page_size,
                                      self.cfg.key, may_have_errors=self.reject_if is not None,
-                                     bucket_rows=self.cfg.bucket_rows)
+                                     bucket_rows=self.cfg.bucket_rows, unique_key=self.cfg.unique_key)
         return _materialize(a) if self.cache else a
 
     @cached_property
@@ -123,7 +132,7 @@ class ReportRun:
 
     @cached_property
     def members(self) -> DataFrame:
-        return batching.members(self.assigned, self.cfg.key)
+        return batching.members(self.assigned, self.cfg.key).withColumn("run_id", F.lit(self.cfg.run_id))
 
     @cached_property
     def plan(self) -> DataFrame:
@@ -173,10 +182,11 @@ class ReportRun:
 
     @cached_property
     def attempts(self) -> DataFrame:
-        """The attempt log: given (``use_attempts`` / ``send``), the scripted
-        test log when asked for, else empty (every request still unsent)."""
+        """This run's attempt log: given (``use_attempts`` / ``send``; other
+        runs' attempts in it are left out), the scripted test log when asked
+        for, else empty (every request still unsent)."""
         if self.attempts_override is not None:
-            return self.attempts_override
+            return self.attempts_override.where(F.col("run_id") == self.cfg.run_id)
         if self.scripted_attempts:
             return delivery.scripted_attempts(self.outbox, self.cfg.run_id)
         return self.spark.createDataFrame([], delivery.ATTEMPT_SCHEMA)
@@ -206,28 +216,47 @@ class ReportRun:
 
     @cached_property
     def summary(self) -> DataFrame:
-        return audit.run_summary(self.table_results)
+        return audit.run_summary(self.table_results, self.cfg.dates)
 
     def write(self, base_path: str, fmt: str = "parquet") -> None:
-        """Persist run outputs under ``base_path/<name>/run_id=.../dt=...``.
+        """Persist run outputs under
+        ``base_path/<name>/run_id=.../table_name=.../dt=...``.
 
         Dynamic partition overwrite replaces only the partitions this run
-        wrote, so a retried run is idempotent. The four outputs share the
+        wrote; what an earlier run of the id left for a (table, dt) of this
+        run that has no rows any more is taken away, so a rerun is idempotent
+        and leaves other tables and dates alone. The four outputs share the
         assigned rows: an uncached run persists them for the duration of the
         writes, so the ordinal shuffle runs once.
         """
-        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         shared = None if self.cache else self.assigned.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             outs = {"outbox": self.outbox, "members": self.members,
-                    "dead_letters": self.dead_letters, "table_results": self.table_results}
+                    "dead_letters": self.dead_letters,
+                    "table_results": self.table_results.withColumn("ingest_ms", F.lit(self.cfg.ingest_ms).cast("long"))}
+            # one row per table and date of the run
+            scope = {(r[0], r[1]) for r in self.counts.select("table_name", "dt").collect()}
+            scope |= {(t, d) for t in self.tables for d in self.cfg.dates}
             for name, df in outs.items():
                 d = df if "run_id" in df.columns else df.withColumn("run_id", F.lit(self.cfg.run_id))
-                d.write.mode("overwrite").partitionBy("run_id", "dt").format(fmt).save(f"{base_path}/{name}")
+                (d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("run_id", "table_name", "dt").format(fmt).save(f"{base_path}/{name}"))
+                if name in ("outbox", "dead_letters"):  # the others have rows wherever the run has
+                    has = {(r[0], r[1]) for r in df.select("table_name", "dt").distinct().collect()}
+                    self._drop_partitions(f"{base_path}/{name}", scope - has)
         finally:
             if shared is not None:
                 shared.unpersist()
 
+    def _drop_partitions(self, path: str, parts: set[tuple[str, str]]) -> None:
+        jvm = self.spark._jvm
+        escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for table, dt in sorted(parts, key=str):
+            day = "__HIVE_DEFAULT_PARTITION__" if dt is None else escape(dt)
+            at = jvm.org.apache.hadoop.fs.Path(f"{path}/run_id={escape(self.cfg.run_id)}/table_name={table}/dt={day}")
+            at.getFileSystem(conf).delete(at, True)
+
 
 def parse_overrides(pairs: Mapping[str, str]) -> dict[str, str]:
     """Raw ``report.mode.<table>`` texts → SINGLE/BATCH, unknown tables dropped."""
@@ -251,12 +280,12 @@ def run_log(run: ReportRun, ts: str = LOG_TS) -> DataFrame:
 
     t = F.lit(ts)
     tr = run.table_results.select(main_line(t, "INFO", "relaykit.run", F.format_string(
-        "Table %s completed: total=%d, success=%d, fail=%d", "table_name", "total", "success", "fail"))
+        "%s: %d rows, %d delivered, %d not delivered", "table_name", "total", "success", "fail"))
         .alias("value"))
     sm = run.summary.where(F.col("level") == "date").select(
         main_line(t, "INFO", "relaykit.run", F.col("line")).alias("value"))
     warn = run.classified.where(~F.col("ok")).select(main_line(t, "WARN", "relaykit.run", F.format_string(
-        "Report attempt %d failed for table %s: %s", "attempt", "table_name", "error")).alias("value"))
+        "try %d of a request of %s: %s", "attempt", "table_name", "error")).alias("value"))
     err = audit.failed_line(run.dead_letters).select(
         main_line(t, "ERROR", "FAILED_RECORDS", F.col("value")).alias("value"))
     return tr.unionByName(sm).unionByName(warn).unionByName(err)

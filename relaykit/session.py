@@ -62,7 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster, else a local scratch one.
 
     On a cluster ``spark.checkpoint.dir`` points to shared storage and is used
-    as is. Only when it is unset (tests, a laptop) do we make our own.
+    as is. Only when it is unset in local mode (tests, a laptop) do we make our
+    own; off it, executors would each write to their own disk, so it must be set.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -73,6 +74,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="relaykit-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)

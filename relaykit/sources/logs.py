@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 # Line layouts of the main log and the failed-records file, and
 # the two message shapes read back from them.
-MAIN_LINE = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{3}) \[([^\]]*)\] (\S+)\s+\[([^\]]*)\] - (.*)$"
-FAILED_FILE_LINE = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{3}) - (.*)$"
-FAILED_MSG = r"^FAILED: table=(.*?), dt=(.*?), user=(.*?), reason=(.*), record=(.*)$"
+MAIN_LINE = r"(?s)^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{3}) \[([^\]]*)\] (\S+)\s+\[([^\]]*)\] - (.*)$"
+FAILED_FILE_LINE = r"(?s)^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{3}) - (.*)$"
+FAILED_MSG = r"(?s)^FAILED: table=(.*?), dt=(.*?), user=(.*?), reason=(.*?), record=(\{.*|null)$"
 SUMMARY_MSG = r"Summary: total=(\d+), success=(\d+), fail=(\d+)"
 ERROR_LEVELS = ("ERROR",)
 
@@ -42,7 +42,8 @@ def errors_only(parsed: DataFrame) -> DataFrame:
 
 def parse_failed(lines: DataFrame, col: str = "value") -> DataFrame:
     """Failed-record lines (file layout ``<ts> - FAILED: ...`` or main-log
-    layout) → log_ts, table_name, dt, user_masked, reason, record_json."""
+    layout) → log_ts, table_name, dt, user_masked, reason, record_json. A reason
+    may hold newlines; the record starts at the first ``, record={``."""
     v = F.col(col)
     ts = F.coalesce(F.nullif(F.regexp_extract(v, MAIN_LINE, 1), F.lit("")),
                     F.nullif(F.regexp_extract(v, FAILED_FILE_LINE, 1), F.lit("")))
@@ -62,9 +63,14 @@ def parse_summary(parsed: DataFrame) -> DataFrame:
 
 # -- writing logs of a run (same layouts) ---------------------------------------
 
+def one_line(msg: Column) -> Column:
+    """Line breaks as ``\\n`` and ``\\r``: a message is one line of a text file."""
+    return F.replace(F.replace(msg, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
 def main_line(ts: Column, level: str, logger: str, msg: Column, thread: str = "main") -> Column:
-    return F.format_string(f"%s [{thread}] %-5s [{logger}] - %s", ts, F.lit(level), msg)
+    return F.format_string(f"%s [{thread}] %-5s [{logger}] - %s", ts, F.lit(level), one_line(msg))
 
 
 def failed_file_line(ts: Column, msg: Column) -> Column:
-    return F.format_string("%s - %s", ts, msg)
+    return F.format_string("%s - %s", ts, one_line(msg))

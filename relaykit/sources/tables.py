@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +23,7 @@ from pyspark.sql import types as T
 from ..registry import REGISTRY, Registry, TableSpec
 from ..session import session_key
 
-# Physical types of the reported tables (after dt and user_unique_id).
+# Physical types of the reported tables (after dt and user_unique_id).
 FIELD_TYPES: dict[str, T.DataType] = {
     "et": T.LongType(),
     "refer_page_id": T.StringType(), "page_id": T.StringType(),
@@ -62,6 +63,34 @@ def read_partitioned(spark: SparkSession, path: str, spec: TableSpec,
     return df.where(dt_predicate(dates)) if dates is not None else df
 
 
+#: Copies of one row that a task numbers at a time.
+COPY_BLOCK = 4096
+
+
+def has_column(spark: SparkSession, path: str, col: str) -> bool:
+    """Whether the files of ``path`` hold ``col`` (a path without files: yes)."""
+    try:
+        return col in spark.read.parquet(path).schema.names
+    except AnalysisException:
+        return True
+
+
+def with_row_key(df: DataFrame, key_col: str = "event_id") -> DataFrame:
+    """A key for rows without one: a hash of all columns and the number of the
+    copy. Identical rows are counted first (map-side too), so many copies of
+    one row neither meet in a task nor share a key; the counted copies are dealt
+    out in blocks. Half of the hash's range is used, so that keys can be
+    subtracted. Keys of different rows may, rarely, be equal."""
+    cols = df.columns
+    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    last = F.floor((F.col("_n") - 1) / COPY_BLOCK).cast("long")
+    blocks = counted.select(*cols, "_n", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_block"))
+    first = F.col("_block") * COPY_BLOCK
+    copies = blocks.repartition(F.xxhash64(*cols, "_block")).select(
+        *cols, F.explode(F.sequence(first, F.least(first + COPY_BLOCK, F.col("_n")) - 1)).alias("_copy"))
+    return copies.select(F.shiftright(F.xxhash64(*cols, "_copy"), 1).alias(key_col), *cols)
+
+
 def dt_predicate(dates: Iterable[str] | Column | str) -> Column:
     if isinstance(dates, Column):
         return dates

@@ -4,9 +4,12 @@
   (checkpointed offsets); every micro-batch goes through the same batch plan
   (:class:`ReportRun`) inside ``foreachBatch`` and writes its outbox, members
   and dead letters under ``epoch=<id>`` with overwrite, so a replayed epoch
-  replaces its own output instead of duplicating it.
+  replaces its own output instead of duplicating it. An epoch is a run of its
+  own (``<run id>-<epoch>``), so request numbers of epochs never mix.
 * ``minute_rates`` — per-minute attempt counts on a live attempt log with a
-  watermark, so state for closed minutes is dropped.
+  watermark, so state for closed minutes is dropped. ``start_rate_stream``
+  writes the minutes that an epoch changed, open ones too; ``latest_rates``
+  reads the newest counts of each.
 * ``dedupe_stream`` — optional drop of repeated delivery keys within the
   watermark.
 
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,16 +46,17 @@ def report_batch_writer(out_path: str, to_tables: TablesFromBatch, config: RunCo
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        run = ReportRun(spark, to_tables(batch), config, cache=True)
+        run = ReportRun(spark, to_tables(batch), replace(config, run_id=f"{config.run_id}-{epoch_id}"), cache=True)
         # dead letters hold this batch's failed transforms; table results count
         # its rows per (table, dt) with every request still unsent
         outs = {"outbox": run.outbox, "members": run.members,
                 "dead_letters": run.dead_letters, "table_results": run.table_results}
         for name, df in outs.items():
             (df.withColumn("epoch", F.lit(int(epoch_id)))
-             .write.mode("overwrite").partitionBy("epoch").format(fmt).save(f"{out_path}/{name}"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("epoch").format(fmt).save(f"{out_path}/{name}"))
         run.assigned.unpersist()
+        run.classified.unpersist()
 
     return write
 
@@ -78,6 +83,30 @@ def minute_rates(attempts: DataFrame, watermark: str = "10 minutes") -> DataFram
                     "table_name", "attempts", "ok", "failed"))
 
 
+RATES = "window_start string, table_name string, attempts long, ok long, failed long"
+
+
+def start_rate_stream(attempts: DataFrame, out_path: str, checkpoint: str, watermark: str = "10 minutes",
+                      available_now: bool = True) -> StreamingQuery:
+    """Minute rates of a streamed attempt log: every epoch writes the counts so
+    far of the minutes it changed (a replayed epoch replaces its own)."""
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        (batch.withColumn("epoch", F.lit(int(epoch_id))).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(out_path))
+
+    w = (minute_rates(attempts, watermark).writeStream.outputMode("update").foreachBatch(write)
+         .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
+def latest_rates(spark: SparkSession, out_path: str) -> DataFrame:
+    """The newest counts of every minute and table."""
+    got = spark.read.schema(RATES + ", epoch long").parquet(out_path)
+    last = got.groupBy("window_start", "table_name").agg(F.max_by(F.struct("attempts", "ok", "failed"), "epoch").alias("_c"))
+    return last.select("window_start", "table_name", "_c.attempts", "_c.ok", "_c.failed")
+
+
 def dedupe_stream(payloads: DataFrame, event_time: str, watermark: str = "1 day") -> DataFrame:
     """Drop repeated delivery keys seen within the watermark (opt-in)."""
     return (payloads.withColumn("delivery_key", delivery_key())

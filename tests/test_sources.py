@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import duckdb
 
 from relaykit.registry import REGISTRY, parse_table_list
@@ -25,3 +26,14 @@ def test_date_predicates_and_select_list():
 
 def test_table_list_parsing():
     assert parse_table_list(" pay, user_info ,,x") == ["pay", "user_info", "x"]
+
+
+def test_failed_lines_with_line_breaks_and_record_text(spark):
+    from relaykit.sources import logs
+    head = "2024-02-01 00:00:00.000 - FAILED: table=pay, dt=2024-01-01, user=us***, "
+    rows = [(head + 'reason=HTTP 500: a\nb, record={"x":", record={1}"}',), (head + "reason=r, record=null",)]
+    got = logs.parse_failed(spark.createDataFrame(rows, "value string")).collect()
+    assert [(r.reason, r.record_json) for r in got] == [("HTTP 500: a\nb", '{"x":", record={1}"}'), ("r", "null")]
+    made = spark.createDataFrame([("FAILED: a\r\nb",)], "m string").select(
+        logs.failed_file_line(F.lit("t"), F.col("m")).alias("v")).first().v
+    assert made == "t - FAILED: a\\r\\nb"

@@ -54,10 +54,26 @@ def test_stale_processing_reset(spark):
     base = seed(spark).withColumn("report_status", F.when(F.col("id") == 2, 1).otherwise(F.col("report_status")))
     now = F.to_timestamp(F.lit("2024-01-01 05:00:00"))
     assert [r.id for r in sl.stale_processing(base, now).collect()] == [2]
+    # numbered after the change that locked the row
+    t0 = F.to_timestamp(F.lit("2024-01-01 00:00:00"))
+    log = sl.status_changes(base.where("id = 2"), sl.PROCESSING, 1, t0)
+    both = log.unionByName(sl.reset_stale(base, now, log=log))
+    assert sl.apply_status(base, both).where("id = 2").first().report_status == 0
     reset = sl.reset_stale(base, now)
     assert sl.apply_status(base, reset).where(F.col("id") == 2).first().report_status == 0
 
 
+def test_last_error_stays_and_progress_starts_with_the_first_change(spark):
+    ids = spark.createDataFrame([("pay", 1)], "table_name string, id long")
+    at = [F.to_timestamp(F.lit(f"2024-02-01 00:0{i}:00")) for i in range(3)]
+    log = sl.status_changes(ids, sl.PROCESSING, 1, at[0]) \
+        .unionByName(sl.status_changes(ids, sl.FAILED, 2, at[1], error=F.lit("HTTP 503"), bump_retry=True))
+    assert str(sl.task_progress(log).first().start_time) == "2024-02-01 00:00:00"
+    again = log.unionByName(sl.status_changes(ids, sl.PROCESSING, 3, at[2]))
+    got = sl.latest_status(again).first()
+    assert (got.status, got.error_msg, got.seq) == (sl.PROCESSING, "HTTP 503", 3)
+
+
 def test_pending_scan_from_checkpoint_table(spark):
     base = seed(spark)
     last = spark.createDataFrame([("page_vidw", 1), ("page_vidw", 0), ("pay", 9)], "table_name string, last_id long")
