@@ -9,12 +9,15 @@ guessed:
    with sets of its own or the next bin. For a pair of bins, two linked sets
    differ in at most ``H`` elements; the elements are dealt over ``m > H``
    blocks by hash, so at least ``m - H`` blocks are equal. A node emits one key
-   per block; nodes that share a key are candidates. Very frequent shingles are
+   per block; nodes that share a key are candidates. Pairs that share a key of
+   few nodes are held against their parity sketches, which differ in no more bits
+   than the sets in elements; so most that only share a passage part here. Very
+   frequent shingles are
    left out of the blocks (that keeps the bound, as leaving elements out of
    both sets adds no difference); a block left empty is skipped while a node
-   has few of those, else its whole content is the key. Keys shared inside a
-   map task fold to one row per key before the shuffle, so a hot group costs
-   its key a row per task.
+   has few of those, else its whole content is the key. A key that many nodes of
+   a map task share folds to a few rows before the shuffle, and its nodes become
+   candidates through the least of them, so a hot group emits no pairs.
 3. *T-occurrence search.* The sets of a candidate cluster meet by pairs of bins,
    in one task or, when they are many, in tasks for pairs of blocks of them. There the sets
    are indexed by shingle and each set is a query: its longest lists are set
@@ -54,6 +57,12 @@ HOT_MOST = 200_000
 #: A shingle is frequent when a map task finds it in this share of its texts.
 HOT_SHARE, HOT_LEAST = 0.001, 8
 
+#: Nodes of one key that are paired to be held against their sketches; a key of
+#: more nodes links them all to the least, unchecked.
+FEW = 12
+#: Most bits of a sketch. Any size keeps every link; more bits part more.
+SKETCH_BITS = 1 << 15
+
 _KEY = np.dtype([("low", "<u4"), ("high", "u1"), ("node", "<u4")])
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -138,15 +147,57 @@ def _runs(x: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.flatnonzero(x[1:] != x[:-1]) + 1, [len(x)])) if len(x) else np.zeros(1, np.int64)
 
 
-def _stars(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, the smallest node of each, and (leader, node) links."""
-    order = np.lexsort((node, key))
-    key, node = key[order], node[order]
+def sketches(sets: np.ndarray, count: np.ndarray, num: int, den: int) -> list[bytes]:
+    """Per set, for each of some bits whether an odd number of its elements
+    falls on it: sketches of two sets differ in at most as many bits as the sets
+    in elements. Sizes are powers of two, about four times the difference that
+    two linked sets of this size may have."""
+    want = np.maximum(64, 8 * count * (den - num) // (den + num))
+    bits = np.minimum(SKETCH_BITS, 1 << np.ceil(np.log2(want)).astype(np.int64))
+    first = np.cumsum(bits) - bits
+    doc = np.repeat(np.arange(len(count)), count)
+    at = first[doc] + (mix(sets ^ _A) & (bits[doc] - 1).astype(np.uint64)).astype(np.int64)
+    body = np.packbits((np.bincount(at, minlength=int(bits.sum())) & 1).astype(np.uint8), bitorder="little").tobytes()
+    return [body[i // 8:(i + n) // 8] for i, n in zip(first.tolist(), bits.tolist(), strict=True)]
+
+
+def may_link(one: bytes, other: bytes, most: int) -> bool:
+    """False when the sets of these sketches differ in more than ``most``
+    elements. The longer sketch is folded: places that meet add up."""
+    if len(one) > len(other):
+        one, other = other, one
+    x, y, bits = int.from_bytes(one, "little"), int.from_bytes(other, "little"), 8 * len(other)
+    while bits > 8 * len(one):
+        bits //= 2
+        y = (y >> bits) ^ (y & ((1 << bits) - 1))
+    return (x ^ y).bit_count() <= most
+
+
+def _groups(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct (key, node) in order, each with its place within its key, how
+    many nodes the key has, and the least of them."""
+    key, node = _distinct(key, node)
     runs = _runs(key)
-    lead = np.repeat(node[runs[:-1]], np.diff(runs))
-    far = lead != node
-    links = np.unique(np.stack((lead[far], node[far]), 1), axis=0) if far.any() else np.zeros((0, 2), np.int64)
-    return key[runs[:-1]], node[runs[:-1]], links
+    size = np.diff(runs)
+    start = np.repeat(runs[:-1], size)
+    return key, node, np.arange(len(key)) - start, np.repeat(size, size), node[start]
+
+
+def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[new], b[new]
+
+
+def _pairs(node: np.ndarray, place: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs within the keys of ``FEW`` nodes or less."""
+    a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for step in range(1, FEW):
+        on = np.flatnonzero((size <= FEW) & (place + step < size))
+        a, b = _distinct(np.concatenate((a, node[on])), np.concatenate((b, node[on + step])))
+    return a, b
 
 
 def _table(**columns) -> pa.RecordBatch:
@@ -280,8 +331,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """kind 0: id, set size and set key of each row; kind 1: a shingle that
-        is frequent in this task, and its count there."""
+        """kind 0: id, set size, set key and sketch of each row; kind 1: a shingle
+        that is frequent in this task, and its count there."""
+        names = ["kind", "doc_id", "n", "set_id", "sketch"]
         seen, rows = [], 0
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
@@ -290,7 +342,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 key = set_keys(sets, count)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.zeros(j - i, np.int8)), batch.column(0).slice(i, j - i), pa.array(count),
-                     pa.array(key, mask=count == 0)], names=["kind", "doc_id", "n", "set_id"])
+                     pa.array(key, mask=count == 0), pa.array(sketches(sets, count, num, den), pa.binary())], names=names)
                 seen.append(sets)
                 rows += j - i
                 if sum(map(len, seen)) > 2_000_000:
@@ -299,10 +351,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         if len(hot[0]):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(len(hot[0]), np.int8)), pa.array(hot[0].astype(np.int64)), pa.array(hot[1]),
-                 pa.nulls(len(hot[0]), pa.int64())], names=["kind", "doc_id", "n", "set_id"])
+                 pa.nulls(len(hot[0]), pa.int64()), pa.nulls(len(hot[0]), pa.binary())], names=names)
 
-    told = saved(texts.mapInArrow(describe, "kind byte, doc_id long, n long, set_id long"))
-    rows = told.where("kind = 0").drop("kind")
+    told = saved(texts.mapInArrow(describe, "kind byte, doc_id long, n long, set_id long, sketch binary"))
+    rows = told.where("kind = 0").drop("kind", "sketch")
     classes = rows.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"),
                                                        F.first("n").alias("n"))
     # a bounded set; which shingles are in it changes the work, never the links
@@ -332,11 +384,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def fold(nodes, keys) -> Iterator[pa.RecordBatch]:
         """A task's keys by bucket, in 9 bytes each: the key's low 40 bits and
         the number of its node in the task's list. Keys that fall together only
-        add candidates."""
-        key, lead, star = _stars(np.concatenate(keys), np.concatenate(nodes))
+        add candidates. Of a key of many nodes one more than ``FEW`` is sent, the
+        rest is linked to the least here."""
+        key, node, rank, _, least = _groups(np.concatenate(keys), np.concatenate(nodes))
+        rest = rank > FEW
+        star = np.stack(_distinct(least[rest], node[rest]), 1)
+        key, node = key[~rest], node[~rest]
         place = (mix(key.view(np.uint64)) >> np.uint64(20)).astype(np.int64) % buckets
         order = np.argsort(place, kind="stable")
-        names, number = np.unique(lead[order], return_inverse=True)
+        names, number = np.unique(node[order], return_inverse=True)
         ends = np.searchsorted(place[order], np.arange(buckets + 1))
         key = key[order]
         for k in np.flatnonzero(ends[1:] > ends[:-1]).tolist():
@@ -361,13 +417,28 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 keys.append(packed["low"].astype(np.int64) | (packed["high"].astype(np.int64) << 32) | (bucket << 40))
                 nodes.append(got[packed["node"]])
         if keys:
-            stars.append(_stars(np.concatenate(keys), np.concatenate(nodes))[2])
+            _, node, place, size, least = _groups(np.concatenate(keys), np.concatenate(nodes))
+            many = (size > FEW) & (place > 0)
+            stars.append(np.stack((least[many], node[many]), 1))
+            a, b = _pairs(node, place, size)
+            yield _table(a=a, b=b, sure=np.zeros(len(a), bool))
         if stars:
-            star = np.unique(np.concatenate(stars), axis=0)
-            yield _table(a=star[:, 0].copy(), b=star[:, 1].copy())
+            a, b = _distinct(*np.concatenate(stars).T)
+            yield _table(a=a, b=b, sure=np.ones(len(a), bool))
 
-    edges = (texts.mapInArrow(keyed, "bucket int, nodes binary, keys binary").repartition(buckets, "bucket")
-             .mapInArrow(meet, "a long, b long"))
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = (batch.column(2).to_numpy() + batch.column(4).to_numpy()) * (den - num) // (den + num)
+            on = [may_link(x.as_py(), y.as_py(), most) for x, y, most in zip(batch.column(3), batch.column(5), total.tolist(), strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(on, pa.bool_()))
+
+    met = saved(texts.mapInArrow(keyed, "bucket int, nodes binary, keys binary").repartition(buckets, "bucket")
+                .mapInArrow(meet, "a long, b long, sure boolean"))
+    sketch = told.where("kind = 0 and n > 0").groupBy("set_id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    held = [sketch.select(F.col("set_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}")) for c in "ab"]
+    checked = (met.where("not sure").select("a", "b").distinct().join(held[0], "a").join(held[1], "b")
+               .select("a", "b", "n_a", "s_a", "n_b", "s_b").mapInArrow(near, "a long, b long"))
+    edges = checked.unionByName(met.where("sure").select("a", "b"))
     cluster = saved(connected_components(edges).join(classes, F.col("node") == F.col("set_id"))
                     .select("node", "root", "low", "copies", "n"))
 
