@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import connected_components, mix, saved, shingle_sets, slices, text_bytes
+from .shared import connected_components, mix, saved, shingle_sets, slices, small, text_bytes
 
 #: Weight of a probe against a merge step in the choice of long lists.
 MU = 0.0085
@@ -60,6 +60,8 @@ HOT_SHARE, HOT_LEAST = 0.001, 8
 #: Nodes of one key that are paired to be held against their sketches; a key of
 #: more nodes links them all to the least, unchecked.
 FEW = 12
+#: Nodes with their seats that may be broadcast (about 100 bytes each).
+FEW_NODES = 200_000
 #: Most bits of a sketch. Any size keeps every link; more bits part more.
 SKETCH_BITS = 1 << 15
 
@@ -455,7 +457,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     seated = seats.join(groups, ["root", "bin"]).select("node", "low", "copies", F.struct(
         "root", "bin", upper.alias("upper"), F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), "parts").alias("seat"))
     per_node = seated.groupBy("node", "low", "copies").agg(F.collect_list("seat").alias("seats"))  # two at most
-    texts_of = per_node.join(texts.withColumnRenamed("doc_id", "low"), "low").select("node", "copies", "seats", "text")
+    # texts move once, or not at all while the nodes are few
+    texts_of = small(per_node, FEW_NODES).join(texts.withColumnRenamed("doc_id", "low"), "low").select("node", "copies", "seats", "text")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
