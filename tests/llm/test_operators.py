@@ -287,3 +287,22 @@ def test_quality_rules(spark, docs):
     none = quality_rules.judge(docs, docs.where("false").select("doc_id")).collect()
     assert all(r.score == 0 and r.kept == (not r.base_failed) for r in none)
     assert quality_rules.judge(empty(docs), docs.select("doc_id")).collect() == []
+
+
+def test_quality_rules_buckets_grow_with_the_corpus(spark, docs, monkeypatch):
+    def grown(n):
+        return spark.range(n).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.transform(
+            F.sequence(F.lit(0), F.lit(59)), lambda i: F.concat(F.lit("w"), F.col("id") * 60 + i))).alias("text"))
+    few, many = (quality_rules.bucket_count(grown(n)) for n in (2000, 16000))
+    assert 7 < many / few < 9
+    # buckets beyond the slots meet the table in a join: the scores stay the same, those of repeated rows too
+    trust = spark.createDataFrame([(0,), (2,), (11,)], "doc_id long")
+
+    def scores():
+        return sorted((str(r.doc_id), r.n_words, r.score, r.kept) for r in quality_rules.judge(docs, trust, buckets=5000).collect())
+    whole = scores()
+    monkeypatch.setattr(quality_rules, "SLOTS", 64)
+    parted = scores()
+    assert len({s for _, _, s, _ in whole}) > 8
+    assert [x[:2] + x[3:] for x in parted] == [x[:2] + x[3:] for x in whole]
+    assert np.allclose([x[2] for x in parted], [x[2] for x in whole], rtol=0, atol=1e-9)
