@@ -8,6 +8,11 @@ function, so the draw depends on nothing but the row and can be made again
 anywhere. The row is exploded by its number, and all copies are put in the
 order of a second md5, of seed, id and copy: a global shuffle.
 
+A rate above ``PART`` is the sum of equal parts of at most ``PART``, each with a
+draw of its own (md5 of seed, id and the part's number; the first part's is that
+of seed and id), as the inverse starts from exp(-rate), which is 0 in a double
+for rates above 745. Sums of Poisson numbers are Poisson numbers.
+
 No count is drawn per source and no source meets in one task, so a source that
 holds a third of all rows costs no more per row than others.
 
@@ -28,6 +33,8 @@ from pyspark.sql import functions as F
 from .shared import small
 
 SEED = 20
+#: Largest rate that is drawn at once.
+PART = 256.0
 #: Shares of a table's rows, over 52 random bits.
 _DIGITS = 13
 
@@ -41,7 +48,8 @@ def uniform(*parts: Column) -> Column:
 def poisson_top(rate: float) -> int:
     """Beyond this count lies less than 2**-53 of a Poisson distribution."""
     k, term, total = 0, math.exp(-rate), math.exp(-rate)
-    while 1 - total > 2.0 ** -53 or k < rate:
+    # the sum can stay under 1 by rounding: then the terms are too small to count
+    while (1 - total > 2.0 ** -53 and term > 2.0 ** -60) or k < rate:
         k += 1
         term *= rate / k
         total += term
@@ -76,15 +84,21 @@ def mix(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", source_col:
     """``docs`` repeated, in mixed order, with rate, n_copies, copy (from 0) and
     mix_key (52 random bits, the order)."""
     plan = rates(docs, weights, source_col, epochs)
-    most = plan.agg(F.max("rate")).first()[0]
+    plan = plan.withColumn("_parts", F.greatest(F.ceil(F.col("rate") / PART), F.lit(1)))
+    most = plan.agg(F.max(F.col("rate") / F.col("_parts"))).first()[0]
     top = poisson_top(most or 0.0)
-    plan = plan.select(F.col("source").alias("_s"), "rate", poisson_steps(F.col("rate"), max(top, 1)).alias("_steps"))
+    plan = plan.select(F.col("source").alias("_s"), "rate", "_parts", poisson_steps(F.col("rate") / F.col("_parts"), max(top, 1)).alias("_steps"))
     names = [c for c in docs.columns if c not in ("rate", "n_copies", "copy", "mix_key")]
     kept = [F.col(f"`{c}`") for c in names]
     joined = docs.select(*kept).join(small(plan), F.col(source_col).eqNullSafe(F.col("_s")))
-    u = uniform(F.lit(seed), F.col(id_col))
-    count = F.size(F.filter("_steps", lambda c: c < u))
-    drawn = joined.select(*kept, "rate", count.cast("long").alias("n_copies")).where("n_copies > 0")
+
+    def drawn_at(u: Column) -> Column:
+        return F.size(F.filter("_steps", lambda c: c < u)).cast("long")
+
+    more = F.aggregate(F.sequence(F.lit(1).cast("long"), F.col("_parts") - 1), F.lit(0).cast("long"),
+                       lambda n, part: n + drawn_at(uniform(F.lit(seed), F.col(id_col), F.lit("part"), part)))
+    count = drawn_at(uniform(F.lit(seed), F.col(id_col))) + F.when(F.col("_parts") > 1, more).otherwise(F.lit(0).cast("long"))
+    drawn = joined.select(*kept, "rate", count.alias("n_copies")).where("n_copies > 0")
     copies = drawn.select("*", F.explode(F.sequence(F.lit(0), F.col("n_copies").cast("int") - 1)).alias("copy"))
     key = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), "copy")), 1, _DIGITS), 16, 10)
     return copies.withColumn("mix_key", key.cast("long")).orderBy("mix_key")

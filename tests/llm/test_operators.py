@@ -306,3 +306,15 @@ def test_quality_rules_buckets_grow_with_the_corpus(spark, docs, monkeypatch):
     assert len({s for _, _, s, _ in whole}) > 8
     assert [x[:2] + x[3:] for x in parted] == [x[:2] + x[3:] for x in whole]
     assert np.allclose([x[2] for x in parted], [x[2] for x in whole], rtol=0, atol=1e-9)
+
+
+@pytest.mark.parametrize("epochs", [1.0, 5.0])
+def test_source_mix_rare_source_keeps_its_share(spark, epochs):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2, "rare").otherwise("big").alias("source"))
+    weights = spark.createDataFrame([("big", 1.0), ("rare", 1.0)], "source string, weight double")
+    got = source_mix.mix(docs, weights, epochs=epochs)  # rates 1,000 and 5,000 for each row of the rare source
+    n = {r.source: r["count"] for r in got.groupBy("source").count().collect()}
+    assert abs(n["rare"] - 2000 * epochs) < 6 * (2000 * epochs) ** 0.5
+    assert abs(n["big"] - 2000 * epochs) < 6 * (2000 * epochs) ** 0.5
+    each = [r["count"] for r in got.where("source = 'rare'").groupBy("doc_id").count().collect()]
+    assert len(each) == 2 and each[0] != each[1]
