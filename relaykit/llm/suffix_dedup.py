@@ -40,9 +40,8 @@ from pyspark.sql import functions as F
 
 from .shared import _M1, mix, prefix_hash, slices, small, span_hash, stored, text_bytes
 
-#: Bytes of a repeat, of the gram at an anchor, and of the text before it.
+#: Bytes of a repeat and of the gram at an anchor, unless given.
 WINDOW, GRAM = 400, 200
-REACH = WINDOW - GRAM
 #: Bytes of a text that are scanned at once.
 SEGMENT = 1 << 21
 #: Suffixes of one gram that are sorted in one task; beyond, strings are counted.
@@ -60,46 +59,48 @@ def _slide(x: np.ndarray, width: int, op: Callable) -> np.ndarray:
     return op(x[:len(x) - (width - size)], x[width - size:]) if width > size else x
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, windows: tuple[int, int] | None = None):
+def anchors(data: np.ndarray, offsets: np.ndarray, windows: tuple[int, int] | None = None, window: int = WINDOW, gram_size: int = GRAM):
     """(text index, place in the text, gram hash, hash of the surroundings,
     bytes before, bytes after) of the anchors of the texts between ``offsets``.
     ``windows``: only those of strings that start in this range."""
+    reach = window - gram_size
     none = np.zeros(0, np.int64)
     base = int(offsets[0])
     body = data[base:int(offsets[-1])]
     starts, ends = offsets[:-1] - base, offsets[1:] - base
-    if len(body) < WINDOW:
+    if len(body) < window:
         return none, none, none, none, none, none
     h = prefix_hash(body)
     left = np.repeat(ends, ends - starts) - np.arange(len(body))  # bytes up to the end of the text
     gram = np.full(len(body), _MAX)
-    on = np.flatnonzero(left >= GRAM)
-    gram[on] = np.clip(span_hash(h, on, on + GRAM), np.uint64(1), _MAX - np.uint64(1))
-    least = _slide(gram, REACH + 1, np.minimum)
-    least[left[:len(least)] < WINDOW] = 0
+    on = np.flatnonzero(left >= gram_size)
+    gram[on] = np.clip(span_hash(h, on, on + gram_size), np.uint64(1), _MAX - np.uint64(1))
+    least = _slide(gram, reach + 1, np.minimum)
+    least[left[:len(least)] < window] = 0
     if windows is not None:
         least[:windows[0]] = 0
         least[windows[1]:] = 0
-    most = _slide(np.concatenate((np.zeros(REACH, np.uint64), least, np.zeros(REACH, np.uint64))), REACH + 1, np.maximum)
+    most = _slide(np.concatenate((np.zeros(reach, np.uint64), least, np.zeros(reach, np.uint64))), reach + 1, np.maximum)
     at = np.flatnonzero(gram == most[:len(gram)])
     doc = np.searchsorted(ends, at, "right")
-    before, after = np.minimum(at - starts[doc], REACH), np.minimum(left[at], WINDOW)
+    before, after = np.minimum(at - starts[doc], reach), np.minimum(left[at], window)
     ctx = mix(span_hash(h, at - before, at + after) + (before * 4096 + after).astype(np.uint64) * _M1)
     return doc, at - starts[doc], gram[at].view(np.int64), ctx.view(np.int64), before, after
 
 
-def _anchors_of(data: np.ndarray, offsets: np.ndarray):
+def _anchors_of(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram_size: int = GRAM):
     """The same, for texts of any length: long ones in overlapping segments."""
+    reach = window - gram_size
     for i, j in slices(offsets, SEGMENT // 2):
         if offsets[j] - offsets[i] <= 2 * SEGMENT:
-            doc, *rest = anchors(data, offsets[i:j + 1])
+            doc, *rest = anchors(data, offsets[i:j + 1], None, window, gram_size)
             yield (doc + i, *rest)
             continue
         a, z = int(offsets[i]), int(offsets[j])
         found = []
         for s in range(a, z, SEGMENT):
-            lo, hi = max(a, s - REACH), min(z, s + SEGMENT + 2 * WINDOW)
-            doc, at, gram, ctx, before, after = anchors(data, np.array([lo, hi]), (s - lo, s - lo + SEGMENT))
+            lo, hi = max(a, s - reach), min(z, s + SEGMENT + 2 * window)
+            doc, at, gram, ctx, before, after = anchors(data, np.array([lo, hi]), (s - lo, s - lo + SEGMENT), window, gram_size)
             found.append(np.stack((at + (lo - a), gram, ctx, before, after)))
         found = np.concatenate(found, 1)
         _, first = np.unique(found[0], return_index=True)
@@ -154,18 +155,18 @@ def intervals(common: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
             stack.append((now, first))
 
 
-def repeats(lefts: list[bytes], rights: list[bytes]) -> list[tuple[int, int, int]]:
+def repeats(lefts: list[bytes], rights: list[bytes], window: int = WINDOW, gram_size: int = GRAM) -> list[tuple[int, int, int]]:
     """(suffix, bytes to the left, bytes to the right) of every occurrence of a
-    maximal repeat of WINDOW bytes or more around the anchors. ``lefts`` are
+    maximal repeat of window bytes or more around the anchors. ``lefts`` are
     the bytes before them, last byte first."""
-    order, common = _sorted_prefixes(rights, WINDOW)
-    by_left, agree = _sorted_prefixes(lefts, REACH)
+    order, common = _sorted_prefixes(rights, window)
+    by_left, agree = _sorted_prefixes(lefts, (window - gram_size))
     rank = np.empty(len(by_left), np.int64)
     rank[by_left] = np.arange(len(by_left))
     shared = SparseMin(agree)
     reached = np.full(len(order), -1)
     out = []
-    for length, first, last in intervals(common, GRAM):
+    for length, first, last in intervals(common, gram_size):
         members = order[first:last + 1]
         place = rank[members]
         turn = np.argsort(place)
@@ -175,7 +176,7 @@ def repeats(lefts: list[bytes], rights: list[bytes]) -> list[tuple[int, int, int
         far[1:] = np.maximum(far[1:], ext)
         # members whose left extensions differ part here; those that still agree
         # for long enough are one repeat, unless an inner interval had it whole
-        hit = (far + length >= WINDOW) & (far > reached[members])
+        hit = (far + length >= window) & (far > reached[members])
         for m, left in zip(members[hit].tolist(), far[hit].tolist(), strict=True):
             out.append((m, left, length))
         reached[members[hit]] = far[hit]
@@ -194,10 +195,12 @@ _ROW_SQL = "kind byte, gram long, ctx long, doc_id long, th long, a int, b int,
 _ANCHOR, _SPAN, _SORT = 0, 1, 2
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_gram: int = HOT_GRAM) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_gram: int = HOT_GRAM,
+                   window: int = WINDOW, gram_size: int = GRAM) -> DataFrame:
     """(doc_id, th, start, end, gram): the bytes of every occurrence of every
     repeat, possibly overlapping; th is xxhash64 of the text, gram names the
     anchor that the occurrences share."""
+    reach = window - gram_size
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
 
@@ -205,7 +208,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         held, size = [], 0
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            for doc, at, gram, ctx, _, after in _anchors_of(data, offsets):
+            for doc, at, gram, ctx, _, after in _anchors_of(data, offsets, window, gram_size):
                 rows = pa.array(doc)
                 held.append((gram, ctx, batch.column(0).take(rows), batch.column(2).take(rows), at, after))
                 size += len(doc)
@@ -227,7 +230,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         twice = order[np.repeat(many, times)]
         if len(twice):
             yield _batch(_ROW, np.full(len(twice), _SPAN), gram[twice], ctx[twice], ids.take(pa.array(twice)), th.take(pa.array(twice)),
-                         np.maximum(at[twice] - REACH, 0), at[twice] + after[twice], np.ones(len(twice), bool))
+                         np.maximum(at[twice] - reach, 0), at[twice] + after[twice], np.ones(len(twice), bool))
 
     found = stored(texts.mapInArrow(scan, _ROW_SQL))
     marks = found.where(F.col("kind") == _ANCHOR)
@@ -255,7 +258,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         span = span[~many[span]]  # the others' spans went out with their task's
         if len(span):
             yield _batch(_ROW, np.full(len(span), _SPAN), gram[span], ctx[span], ids.take(pa.array(span)), th.take(pa.array(span)),
-                         np.maximum(at[span] - REACH, 0), at[span] + after[span], np.ones(len(span), bool))
+                         np.maximum(at[span] - reach, 0), at[span] + after[span], np.ones(len(span), bool))
         ship = order[lead[wide]]
         if len(ship):
             yield _batch(_ROW, np.full(len(ship), _SORT), gram[ship], ctx[ship], ids.take(pa.array(ship)), th.take(pa.array(ship)),
@@ -278,8 +281,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     yield pa.RecordBatch.from_pydict(
                         {"gram": [m["gram"] for m in part], "many": [m["many"] for m in part], "doc_id": pa.array([doc_id] * len(part), pa.int64()),
                          "th": [th] * len(part), "at": pa.array([m["a"] for m in part], pa.int32()),
-                         "before": [body[max(m["a"] - REACH, 0):m["a"]][::-1] for m in part],
-                         "after": [body[m["a"]:m["a"] + WINDOW] for m in part]})
+                         "before": [body[max(m["a"] - reach, 0):m["a"]][::-1] for m in part],
+                         "after": [body[m["a"]:m["a"] + window] for m in part]})
 
     def sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole grams at a time, a few thousand suffixes together."""
@@ -304,7 +307,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def solve(table: pa.Table) -> Iterator[pa.RecordBatch]:
         table = table.combine_chunks()
         many = table.column("many").to_numpy()
-        hits = [x for x in repeats(table.column("before").to_pylist(), table.column("after").to_pylist()) if not many[x[0]]] if table.num_rows > 1 else []
+        hits = [x for x in repeats(table.column("before").to_pylist(), table.column("after").to_pylist(), window, gram_size) if not many[x[0]]] if table.num_rows > 1 else []
         if hits:
             who, left, right = (np.array(x) for x in zip(*hits, strict=True))
             at = table.column("at").to_numpy()[who]
@@ -317,21 +320,21 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                .sortWithinPartitions("gram", "doc_id", "th", "at").mapInArrow(sort_suffixes, _ROW_SQL))
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Every WINDOW-byte string around the anchors of hot grams, by hash."""
+        """Every window-byte string around the anchors of hot grams, by hash."""
         for batch in batches:
             for k in range(batch.num_rows):
                 body = np.frombuffer(batch.column(2)[k].as_py(), np.uint8)
                 done = 0  # a string around two anchors counts once
                 for at, gram in sorted((m["a"], m["gram"]) for m in batch.column(3)[k].as_py()):
-                    lo, hi = max(at - REACH, done), min(at, len(body) - WINDOW)
+                    lo, hi = max(at - reach, done), min(at, len(body) - window)
                     if hi < lo:
                         continue
                     done = hi + 1
                     starts = np.arange(lo, hi + 1)
-                    part = prefix_hash(body[lo:hi + WINDOW])
+                    part = prefix_hash(body[lo:hi + window])
                     n = len(starts)
                     yield pa.RecordBatch.from_pydict(
-                        {"string": span_hash(part, starts - lo, starts - lo + WINDOW).view(np.int64), "gram": np.full(n, gram),
+                        {"string": span_hash(part, starts - lo, starts - lo + window).view(np.int64), "gram": np.full(n, gram),
                          "doc_id": batch.column(0).take(pa.array(np.full(n, k))), "th": batch.column(1).take(pa.array(np.full(n, k))),
                          "start": pa.array(starts, pa.int32())})
 
@@ -342,7 +345,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         near = with_text(marks.join(side, "gram", "left_semi"))
         each = near.mapInArrow(strings, "string long, gram long, doc_id long, th long, start int")
         twice = each.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("string")
-        out.append(each.join(twice, "string").select("doc_id", "th", "start", (F.col("start") + WINDOW).alias("end"), "gram"))
+        out.append(each.join(twice, "string").select("doc_id", "th", "start", (F.col("start") + window).alias("end"), "gram"))
     total = out[0]
     for more in out[1:]:
         total = total.unionByName(more)
@@ -360,10 +363,24 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in runs]
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_gram: int = HOT_GRAM) -> DataFrame:
+def whole_words(body: bytes, a: int, b: int) -> int:
+    """Words of ``body`` that lie in body[a:b] as a whole."""
+    if a and not body[a - 1:a].isspace():
+        while a < b and not body[a:a + 1].isspace():
+            a += 1
+    if b < len(body) and not body[b:b + 1].isspace():
+        while b > a and not body[b - 1:b].isspace():
+            b -= 1
+    return len(body[a:b].split())
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_gram: int = HOT_GRAM,
+                   window: int = WINDOW, gram_size: int = GRAM, over_words: int = -1) -> DataFrame:
     """``docs`` with columns kept (binary: the bytes that stay), removed (array
-    of start, end of the maximal removed runs) and n_bytes."""
-    spans = (repeated_spans(docs, id_col, text_col, hot_gram)
+    of start, end of the maximal removed runs) and n_bytes. Runs of at most
+    ``over_words`` whole words stay, unless they have
+    WINDOW bytes."""
+    spans = (repeated_spans(docs, id_col, text_col, hot_gram, window, gram_size)
              .groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
     names = [c for c in docs.columns]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(id_col).cast("long").alias("id"),
@@ -380,6 +397,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for body, spans_ in zip(batch.column(1).cast(pa.binary()), batch.column(2), strict=True):
                 body = body.as_py()
                 runs = merged([(x["start"], x["end"]) for x in spans_.as_py() or ()])
+                runs = [(a, b) for a, b in runs if over_words < 0 or b - a >= WINDOW or whole_words(body, a, b) > over_words]
                 at, parts = 0, []
                 for a, b in runs:
                     parts.append(body[at:a])

@@ -28,3 +28,19 @@ def test_pipeline_stages(spark):
         assert docs.columns == corpus_pipeline.COLUMNS, name
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.where("false"), SF).collect() == []
+
+
+def test_pipeline_removes_repeats_of_over_50_words(spark):
+    def words(tag, n):
+        return " ".join(f"{tag}{i:03d}" for i in range(n))
+    rows, want = [], {}
+    for k, n in enumerate((20, 49, 51, 58, 64)):  # under 400 bytes each
+        passage = words(f"p{chr(97 + k)}", n)
+        for j in range(2):
+            # the bytes at the edges differ, but for 49 words: there parts of words are repeated too
+            a, b = (words(f"x{k}{j}", 30), words(f"y{k}{j}", 30)) if n == 49 else (words(f"x{k}{j}", 30) + "ab"[j], "cd"[j] + words(f"y{k}{j}", 30))
+            rows.append((2 * k + j, f"{a} {passage} {b}", "en", "src0", 0))
+            want[2 * k + j] = f"{a}{b}" if n > 50 else f"{a} {passage} {b}"
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.repeats(spark, docs, SF).collect()}
+    assert got == want
