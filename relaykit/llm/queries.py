@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, jaccard_join, multi_index, packing, quality_model, quality_rules, source_mix, suffix_dedup, url_filter, warc
+from . import chat_format, jaccard_join, multi_index, packing, quality_model, quality_rules, shared, source_mix, spelling_variants, suffix_dedup, url_filter, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Target shares of the mixture: each source alike.
@@ -76,14 +76,27 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, trusted(_read(spark, sf_dir, "labels"))).drop("text")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling_variants.vocabulary(_read(spark, sf_dir, "documents"), least=7, occurrences=2, noise=31)
+    return spelling_variants.variants(shared.stored(words), least=7, times=10)
+
+
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_source_mix, op3_suffix_dedup, op4_warc, op5_quality_classifier,
-                                   op6_chat_format, op7_url_filter, op8_multi_index, op9_packing, op10_quality_rules)}
+                                   op6_chat_format, op7_url_filter, op8_multi_index, op9_packing, op10_quality_rules,
+                                   op11_spelling_variants)}
 
 _ESCAPED = "replace(replace({}, '\\', '\\\\'), '<|', '<\\|')"
 _B32 = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, {5 * g + 1}, 5))::bigint >> {s}) & 31)::integer, 1)"
     for g in range(8) for s in (15, 10, 5, 0))
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_CRC_TABLE = """select list(list_reduce(list_concat([i], range(8)),
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as crc from range(256) r(i)"""
+#: Bytes of a string s without code points over U+07FF.
+_BYTES = """flatten(list_transform(string_split(s, ''), lambda x: case when unicode(x) < 128 then [unicode(x)::bigint]
+    else [192 | (unicode(x) >> 6), 128 | (unicode(x) & 63)]::bigint[] end))"""
+
 SQL = {
     "op2_source_mix": source_mix.mix_sql(WEIGHTS, columns="doc_id, text, lang, source, n_chars"),
     "op4_warc": f"""
@@ -104,4 +117,22 @@ select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text |
        sha256(coalesce(string_agg(text, '' order by i) filter (role = 'assistant'), '')) as loss_sha256,
        sum(so_far) filter (role = 'assistant' or i = n)::bigint as formatted_chars
 from c group by conv_id""",
+    "op11_spelling_variants": f"""
+with recursive t as ({_CRC_TABLE}),
+runs as (select coalesce(doc_id::varchar, '') as id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[a-zÀ-ÿ]{{7,}}')) as run from documents),
+counted as (select id || ':' || run as s, run, count(*) as n from runs group by all),
+hashed as (select run, n, xor(list_reduce(list_concat([4294967295::bigint], {_BYTES}), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) as h
+           from counted, t),
+noised as (select case when h % 31 = 0 then left(run, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, n from hashed),
+v as (select word, sum(n)::bigint as n from noised where length(word) >= 7 group by word having sum(n) >= 2),
+d as (select word, n, i, left(word, i - 1) || substr(word, i + 1) as rest from (select word, n, unnest(range(1, length(word) + 1)) as i from v)),
+longer as (select distinct d.word, d.n, v.word as near, v.n as near_n from d join v on d.rest = v.word),
+pairs as (select a.word, b.word as near, b.n as near_n from d a join d b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+          union all select word, near, near_n from longer union all select near, word, n from longer),
+best as (select word, count(*) as n_near, first(near order by near_n desc, near) as best, max(near_n) as best_n from pairs group by word),
+forms as (select v.word, v.n, coalesce(n_near, 0) as n_near, case when best_n >= 10 * v.n then best end as form, case when best_n >= 10 * v.n then best_n end as form_n
+          from v left join best using (word)),
+walk as (select word, word as root, form as next from forms
+         union all select w.word, f.word, f.form from walk w join forms f on w.next = f.word)
+select f.word, f.form, w.root, f.n, f.n_near::bigint as n_near, f.form_n from forms f join walk w on f.word = w.word and w.next is null""",
 }
