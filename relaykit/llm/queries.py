@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, jaccard_join, multi_index, packing, quality_model, quality_rules, shared, source_mix, spelling_variants, suffix_dedup, url_filter, warc
+from . import chat_format, curve_packing, jaccard_join, multi_index, packing, quality_model, quality_rules, shared, source_mix, spelling_variants, suffix_dedup, url_filter, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Target shares of the mixture: each source alike.
@@ -81,9 +81,15 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.variants(shared.stored(words), least=7, times=10)
 
 
+def op12_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    got = curve_packing.pack_along_curve(docs, TOKENIZER)
+    return got.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_source_mix, op3_suffix_dedup, op4_warc, op5_quality_classifier,
                                    op6_chat_format, op7_url_filter, op8_multi_index, op9_packing, op10_quality_rules,
-                                   op11_spelling_variants)}
+                                   op11_spelling_variants, op12_curve_packing)}
 
 _ESCAPED = "replace(replace({}, '\\', '\\\\'), '<|', '<\\|')"
 _B32 = " || ".join(

@@ -194,12 +194,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             .unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct())
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """``df`` written as Parquet in the shared checkpoint folder and read back;
     the files go when the application ends."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
