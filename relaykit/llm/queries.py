@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, curve_packing, jaccard_join, multi_index, packing, quality_model, quality_rules, shared, source_mix, spelling_variants, suffix_dedup, url_filter, warc
+from . import chat_format, curve_packing, jaccard_join, lexical_search, multi_index, packing, quality_model, quality_rules, shared, source_mix, spelling_variants, suffix_dedup, url_filter, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Target shares of the mixture: each source alike.
@@ -87,9 +87,13 @@ def op12_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_source_mix, op3_suffix_dedup, op4_warc, op5_quality_classifier,
                                    op6_chat_format, op7_url_filter, op8_multi_index, op9_packing, op10_quality_rules,
-                                   op11_spelling_variants, op12_curve_packing)}
+                                   op11_spelling_variants, op12_curve_packing, op13_lexical_search)}
 
 _ESCAPED = "replace(replace({}, '\\', '\\\\'), '<|', '<\\|')"
 _B32 = " || ".join(
@@ -102,6 +106,7 @@ _CRC_TABLE = """select list(list_reduce(list_concat([i], range(8)),
 #: Bytes of a string s without code points over U+07FF.
 _BYTES = """flatten(list_transform(string_split(s, ''), lambda x: case when unicode(x) < 128 then [unicode(x)::bigint]
     else [192 | (unicode(x) >> 6), 128 | (unicode(x) & 63)]::bigint[] end))"""
+_TERMS = f"regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
 
 SQL = {
     "op2_source_mix": source_mix.mix_sql(WEIGHTS, columns="doc_id, text, lang, source, n_chars"),
@@ -141,4 +146,15 @@ forms as (select v.word, v.n, coalesce(n_near, 0) as n_near, case when best_n >=
 walk as (select word, word as root, form as next from forms
          union all select w.word, f.word, f.form from walk w join forms f on w.next = f.word)
 select f.word, f.form, w.root, f.n, f.n_near::bigint as n_near, f.form_n from forms f join walk w on f.word = w.word and w.next is null""",
+    "op13_lexical_search": f"""
+with docs as (select row_number() over () as r, doc_id, {_TERMS} as t from documents),
+stats as (select count(*)::bigint as nn, sum(len(t))::bigint as ll from docs where len(t) > 0),
+asked as (select item_id, term, count(*)::bigint as q from (select item_id, unnest({_TERMS}) as term from benchmark) group by all),
+bags as (select r, term, count(*)::bigint as tf from (select r, unnest(t) as term from docs) where term in (select term from asked) group by all),
+weights as (select term, floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1)))::bigint as w from bags, stats group by term, nn),
+lengths as (select r, doc_id, 100 - 75 + (75 * len(t) * nn) // ll as m from docs, stats),
+scores as (select item_id, r, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+           from asked join bags using (term) join weights using (term) join lengths using (r) group by all)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id)::integer as rank, doc_id, score
+from scores where score > 0 qualify row_number() over (partition by item_id order by score desc, doc_id) <= 10""",
 }
