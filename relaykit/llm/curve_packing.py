@@ -14,8 +14,7 @@ sort, so a hot key (copies of one text) is split over many partitions and a lost
 task sorts as before. Partitions are as large as the sort makes them; the driver
 sees one count of ids for each. A task holds one batch of rows.
 
-Defined results: a null or empty text is the closing id alone, at the grid's
-centre; repeated rows are packed each; ids may repeat or be null; an empty table
+Defined results: a null or empty text is the closing id alone; repeated rows are packed each; ids may repeat or be null; an empty table
 gives no pieces; other columns pass through, but for those named like the
 operator's own (key, piece, start, length, ids, doc_tokens, sequence_id,
 offset), which go.
@@ -49,15 +48,24 @@ class _Projection:
 
     def __init__(self, vocabulary: int):
         h = mix(np.arange(1, vocabulary + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        self.slot = (h % np.uint64(HASHED)).astype(np.int64)
-        self.sign = np.where(h >> np.uint64(63), 1.0, -1.0)
+        self.slot = ((h >> np.uint64(1)) % np.uint64(HASHED) * np.uint64(2) + (h & np.uint64(1))).astype(np.int64)  # odd: counts down
         self.matrix = np.random.Generator(np.random.PCG64(11)).standard_normal((HASHED, DIMENSIONS))
 
-    def __call__(self, ids: np.ndarray) -> np.ndarray:
-        v = np.bincount(self.slot[ids], self.sign[ids], HASHED)
-        v = np.sign(v) * np.sqrt(np.abs(v))
-        norm = math.sqrt(float(v @ v))
-        return (v / norm if norm else v) @ self.matrix
+    def __call__(self, ids: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Coordinates of documents with ``count`` ids each, of their ids in a row."""
+        n = len(count)
+        at = self.slot[ids]
+        at += np.repeat(np.arange(n) * (2 * HASHED), count)
+        up, down = np.moveaxis(np.bincount(at, minlength=n * 2 * HASHED).reshape(n, HASHED, 2), 2, 0)
+        v = np.sign(up - down) * np.sqrt(np.abs(up - down))
+        norm = np.sqrt((v * v).sum(axis=1, keepdims=True))
+        return (v / np.maximum(norm, 1)) @ self.matrix
+
+
+def _binary(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Arrow array of the ids between neighbouring ``bounds``."""
+    at = (bounds * ids.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(ids)])
 
 
 def grid(coordinates: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -104,19 +112,19 @@ def token_keys(docs: DataFrame, tokenizer: str, text_col: str = "text", end_id:
     names = [c for c in docs.columns if c not in (text_col, *OWN)]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names], F.lit(0).alias("_")).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
-    width = _width(tokenizer, end_id)
+    width, closing = _width(tokenizer, end_id), np.array([end_id], "<u4").tobytes()
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Ids(tokenizer)
         project = _Projection(max(known.tokenizer.get_vocab_size(), end_id + 1))
         for batch in batches:
             for low, high in slices(text_bytes(batch.column(1))[1], PART_BYTES, ROWS):
-                ids = [np.frombuffer(known.text(text.as_py() or ""), "<u4") for text in batch.column(1).slice(low, high - low)]
-                keys = hilbert_key(grid(np.array([project(x) for x in ids])))
-                whole = [np.append(x, end_id) for x in ids]
+                got = [known.text(text.as_py() or "") + closing for text in batch.column(1).slice(low, high - low)]
+                count = np.array([len(x) // 4 for x in got], np.int64)
+                ids = np.frombuffer(b"".join(got), "<u4")
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), pa.array([x.astype(width).tobytes() for x in whole], pa.binary()),
-                     pa.array([len(x) for x in whole], pa.int64()), pa.array(keys)], names=["row", "ids", "doc_tokens", "key"])
+                    [batch.column(0).slice(low, high - low), _binary(ids.astype(width), np.append(0, np.cumsum(count))),
+                     pa.array(count), pa.array(hilbert_key(grid(project(ids, count))))], names=["row", "ids", "doc_tokens", "key"])
 
     return rows.mapInArrow(tokens, f"row {kind}, ids binary, doc_tokens long, key long")
 
@@ -169,14 +177,14 @@ def pack_along_curve(docs: DataFrame, tokenizer: str, text_col: str = "text", si
         late = np.searchsorted(ends, borders, "right")  # how many short sequences begin up to here
         sequence = np.where(late > 0, full // size + late - 1, borders // size)
         begin = np.where(late > 0, np.append(ends, 0)[late - 1], borders // size * size)
-        ids = [np.frombuffer(x.as_buffer(), width) for x in batch.column(1)]
+        ids = np.frombuffer(b"".join(x.as_buffer() for x in batch.column(1)), width)
         step = max(1, PART_BYTES // (4 * size))
         for k in range(0, len(borders), step):
-            o, a, b = owner[k:k + step], start[k:k + step], stop[k:k + step]
+            o, a, b = pa.array(owner[k:k + step]), start[k:k + step], stop[k:k + step]
+            at = np.append(borders[k:k + step], borders[k + step] if k + step < len(borders) else high) - low
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(o)), pa.array(a), pa.array(b - a),
-                 pa.array([ids[i][x:y].astype("<u4").tobytes() for i, x, y in zip(o.tolist(), a.tolist(), b.tolist())], pa.binary()),
-                 batch.column(2).take(pa.array(o)), pa.array(sequence[k:k + step]), pa.array((borders - begin)[k:k + step])],
+                [batch.column(0).take(o), pa.array(a), pa.array(b - a), _binary(ids[at[0]:at[-1]].astype("<u4"), at - at[0]),
+                 batch.column(2).take(o), pa.array(sequence[k:k + step]), pa.array((borders - begin)[k:k + step])],
                 names=["row", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
