@@ -42,7 +42,7 @@ from .shared import stored
 #: Text and number of a block of items.
 BLOCK_BYTES, BLOCK_ITEMS = 1 << 20, 2000
 #: Scores that a task holds at a time.
-CELLS = 1 << 21
+CELLS = 1 << 19
 
 #: Bytes of a term as they are, A-Z in lower case; all others separate terms.
 _TERM = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)).lower()
@@ -56,7 +56,8 @@ def terms(text: str | None) -> list[bytes]:
 class _Items:
     """A block of items: its terms, and for each term the items that hold it."""
 
-    def __init__(self, texts: list[str | None]):
+    def __init__(self, ids: list[int | None], texts: list[str | None]):
+        self.ids = ids
         counts = [Counter(terms(t)) for t in texts]
         self.term = {t: k for k, t in enumerate(sorted(set().union(*counts)))}
         posted = sorted((self.term[t], j, n) for j, c in enumerate(counts) for t, n in c.items())
@@ -127,7 +128,7 @@ def classes(bags: DataFrame, documents: int, total: int, k: int) -> DataFrame:
 
 
 def _best(classes_: DataFrame, sent, weight: np.ndarray, k: int) -> DataFrame:
-    """(item, score, doc): of every task the best ``k`` documents per item."""
+    """(item, id, score, doc): of every task the best ``k`` documents per item."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items: _Items = sent.value
         best: list[list[tuple]] = [[] for _ in range(items.number)]  # (-score, id is null, id), ascending
@@ -155,10 +156,10 @@ def _best(classes_: DataFrame, sent, weight: np.ndarray, k: int) -> DataFrame:
                     best[j] = heapq.nsmallest(k, best[j] + new)
                     if len(best[j]) == k:
                         least[j] = max(1, -best[j][-1][0])
-        out = [(j, -s, None if null else i) for j, top in enumerate(best) for s, null, i in top]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else ([], [], []))], names=["item", "score", "doc"])
+        out = [(j, items.ids[j], -s, None if null else i) for j, top in enumerate(best) for s, null, i in top]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else ([],) * 4)], names=["item", "id", "score", "doc"])
 
-    return classes_.mapInArrow(score, "item long, score long, doc long")
+    return classes_.mapInArrow(score, "item long, id long, score long, doc long")
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = 10, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text",
@@ -175,14 +176,13 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, id_col: str = "doc_id
         asked = items.where(F.col("block") == b).collect()
         if not asked:
             continue
-        sent = spark.sparkContext.broadcast(_Items([r.text for r in asked]))
+        sent = spark.sparkContext.broadcast(_Items([r.id for r in asked], [r.text for r in asked]))
         bags = stored(_bags(docs, id_col, text_col, sent), codec="zstd")
         documents, total = bags.agg(F.count(F.when(F.col("n") > 0, 1)), F.sum("n")).first()
         df = _document_counts(bags, len(sent.value.term))
         weight = np.array([math.floor(1000 * math.log((2 * documents + 2) / (2 * x + 1))) for x in df.tolist()], np.int64)
         best = _best(classes(bags, documents, total or 0, k), sent, weight, k)
-        names = spark.createDataFrame([(j, r.id) for j, r in enumerate(asked)], "item long, id long")
-        parts.append(best.join(F.broadcast(names), "item").withColumn("block", F.lit(b)))
+        parts.append(best.withColumn("block", F.lit(b)))
     if not parts:
         return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
     order = Window.partitionBy("block", "item").orderBy(F.col("score").desc(), F.col("doc").asc_nulls_last())
