@@ -320,6 +320,35 @@ pending_batches as (select table_name, ord // 20 as batch_no, id from (
   from tracked where report_status = 0 and id is not null))
 """
 
+# rounds of the resend job: a SINGLE row is a request of its own (numbered by id),
+# the others go by 20 in the order of their ids; every request is tried three times
+# (every 23rd twice) with answers that move on by two per round
+RESEND = """, sent as (
+  select 1 as round, table_name, id, retry_count as before, retry_count, 0 as ok, null::varchar as reason
+  from tracked where report_status = 3 and retry_count < 6
+  union all
+  select round + 1, table_name, id, before, retry_count + 1 - ok, ok, reason from (
+    select *, case when first_ok is not null then 1 else 0 end as ok,
+      case when first_ok is not null then null when request_no % 23 = 0 then 'Retry interrupted'
+           when mode = 'SINGLE' then 'Max retries exceeded'
+           else 'Batch report failed: ' || case (request_no * 7 + 9 + 2 * round) % 5
+             when 0 then 'HTTP 503: {"e":503,"message":"server busy"}' when 1 then 'Connection error: Read timed out'
+             when 2 then 'HTTP 429: {"e":429,"message":"server busy"}' else 'HTTP 500: {"e":500,"message":"server busy"}' end end as reason
+    from (select r.*, list_filter(case when request_no % 23 = 0 then [1, 2] else [1, 2, 3] end,
+                                  lambda a: (request_no * 7 + a * 3 + 2 * round) % 5 = 4)[1] as first_ok
+          from (select round, table_name, id, before, retry_count,
+                  case when table_name in ('pay', 'pay_result') then 'SINGLE' else 'BATCH' end as mode,
+                  case when table_name in ('pay', 'pay_result') then id else (n // 1000) * 50 + (n % 1000) // 20 end as request_no
+                from (select *, row_number() over (partition by table_name order by id) - 1 as n
+                      from sent where ok = 0 and retry_count < 6)) r))),
+after_round as (select round - 1 as round, table_name, id, before, retry_count, ok, reason from sent where round > 1)
+"""
+
+
+def with_resend(sql: str) -> str:
+    return "with recursive " + TRACKED + RESEND + sql
+
+
 TABLE_NAMES = [s[0] for s in SPECS]
 
 
@@ -578,6 +607,12 @@ def build() -> dict[str, str]:
         table_name, count(*) as attempts, cast(count(*) filter (where ok) as bigint) as ok,
         cast(count(*) filter (where not ok) as bigint) as failed
       from classified group by started_s // 60, table_name""")
+    out["resend_failed"] = with_resend("""select table_name, id, cast(max(round) as int) as rounds,
+        cast(case when max(ok) = 1 then 2 else 3 end as int) as report_status, cast(max(retry_count) as int) as retry_count,
+        max(ok) = 0 and max(retry_count) >= 6 as given_up, arg_max(reason, round) filter (where reason is not null) as error_msg
+      from after_round group by table_name, id""")
+    out["resend_rounds"] = with_resend("""select cast(round as int) as round, table_name, count(*) as sent,
+        cast(sum(ok) as bigint) as success, cast(sum(1 - ok) as bigint) as fail from after_round group by round, table_name""")
     out["pretty_json"] = with_views(f"select event_id, {len(SPEC['pay'][2]) + 4} as n_lines, "
                                     f"{record_json_sql('pay')} as compact from pay")
     return out

@@ -43,20 +43,20 @@ ATTEMPT_SCHEMA = T.StructType([
 RUN_START_EPOCH_S = 1706745600  # 2024-02-01T00:00:00Z, start of the scripted run
 
 
-def scripted_attempts(outbox: DataFrame, run_id: str = "run") -> DataFrame:
+def scripted_attempts(outbox: DataFrame, run_id: str = "run", shift: int = 0) -> DataFrame:
     """A deterministic attempt log for an outbox (test fixture, no network).
 
     Three tries per request (two for every 23rd: an interrupted run); status
     cycles through 503, 0 (I/O error), 429, 500, 200 by
-    ``(request_no*7 + attempt*3) % 5``; tries after a success are present on
-    purpose. 200 bodies: every 17th is not JSON, every 7th reports ``ec=1``.
+    ``(request_no*7 + attempt*3 + shift) % 5``; tries after a success are present
+    on purpose. 200 bodies: every 17th is not JSON, every 7th reports ``ec=1``.
     The three tries come from ``explode`` of a literal array — no join.
     """
     r = F.col("request_no")
     a = F.col("attempt")
     tries = F.when(r % 23 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1), F.lit(2), F.lit(3)))
     x = outbox.select("table_name", "dt", "request_no", "n_records", F.explode(tries).alias("attempt"))
-    code = (r * 7 + a * 3) % 5
+    code = (r * 7 + a * 3 + shift) % 5
     status = (F.when(code == 0, 503).when(code == 1, 0).when(code == 2, 429)
               .when(code == 3, 500).otherwise(200)).cast("int")
     n = F.col("n_records").cast("string")

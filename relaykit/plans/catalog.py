@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import jsonfn, masking
 from ..functions.coercion import to_long
-from ..operators import audit, dedupe, transform
+from ..operators import audit, dedupe, delivery, transform
 from ..operators import status_log as sl
 from ..operators.delivery import failure_rate_window as _failure_rate_window
 from ..operators.delivery import partial_errors as _partial_errors
@@ -23,8 +23,9 @@ from ..session import ensure_conf, session_key
 from ..sources import logs
 from ..sources.tables import (EVENT_TYPE_OF, date_range, driver_table, driver_tables, events_base,
                               events_view, load, tables_from_events, tracked_rows,
-                              with_row_key)
+                              tracked_tables, with_row_key)
 from ..streaming import runner
+from . import resend
 from .report_run import (DEFAULT_INGEST_MS, ReportRun, RunConfig, failed_records_file,
                          run_log)
 
@@ -671,3 +672,32 @@ QUERIES.update({
     "stream_outbox": stream_outbox,
     "stream_rate_metrics": stream_rate_metrics,
 })
+
+
+# -- failed records sent again -----------------------------------------------------
+
+RESEND_RETRIES = 6
+
+
+def _resend(spark, sf_dir):
+    """The resend job over all tracked rows; answers differ from round to round."""
+    ensure_conf(spark)
+    job = resend.Resend(spark, tracked_tables(spark, sf_dir), runner.scratch_path(spark, "resend"),
+                        lambda outbox, n: delivery.scripted_attempts(outbox, f"resend-{n}", shift=2 * n), DEFAULT_INGEST_MS,
+                        config=resend.ResendConfig(max_retry=RESEND_RETRIES))
+    return job.run()
+
+
+def resend_failed(spark, sf_dir):
+    """Every record that was sent again: rounds, last status, retries, error."""
+    return resend.resend_result(_resend(spark, sf_dir), RESEND_RETRIES, _tracked(spark, sf_dir))
+
+
+def resend_rounds(spark, sf_dir):
+    return resend.round_summary(_resend(spark, sf_dir))
+
+
+QUERIES.update({
+    "resend_failed": resend_failed,
+    "resend_rounds": resend_rounds,
+})

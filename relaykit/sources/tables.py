@@ -237,9 +237,9 @@ def driver_tables(spark: SparkSession, sf_dir: str, dt_granularity: str = "day",
     return {n: driver_table(spark, sf_dir, n, dt_granularity, registry) for n in names}
 
 
-def tracked_rows(spark: SparkSession, sf_dir: str, registry: Registry = REGISTRY) -> DataFrame:
+def tracked_rows(spark: SparkSession, sf_dir: str, registry: Registry = REGISTRY, extra: tuple[str, ...] = ()) -> DataFrame:
     """Status-tracked rows (table_name, id, user, report_status, retry_count,
-    updated_at) from ``orders``.
+    updated_at) from ``orders``, after its columns ``extra``.
 
     The order priority's leading digit picks the table (1 → first registry
     table, ...). Half pending, a tenth in flight, a fifth done, a fifth failed.
@@ -250,6 +250,7 @@ def tracked_rows(spark: SparkSession, sf_dir: str, registry: Registry = REGISTRY
     digit = F.substring("o_orderpriority", 1, 1).cast("int")
     table = F.element_at(F.array(*[F.lit(n) for n in names]), digit)
     return o.select(
+        *extra,
         table.alias("table_name"),
         key.alias("id"),
         F.concat(F.lit("user_"), F.lpad(F.col("o_custkey").cast("string"), 8, "0")).alias("user_unique_id"),
@@ -257,3 +258,19 @@ def tracked_rows(spark: SparkSession, sf_dir: str, registry: Registry = REGISTRY
         F.when(key % 10 >= 8, (key % 5).cast("int")).otherwise(F.lit(0)).alias("retry_count"),
         F.col("o_orderdate").alias("updated_at"),
     )
+
+
+def tracked_tables(spark: SparkSession, sf_dir: str, registry: Registry = REGISTRY) -> dict[str, DataFrame]:
+    """:func:`tracked_rows` by table, with registry fields taken from ``orders``."""
+    rows = tracked_rows(spark, sf_dir, registry, ("o_totalprice", "o_orderstatus"))
+    price = F.col("o_totalprice").cast(T.DecimalType(10, 2))
+    fields = {
+        "page_vidw": {"page_id": F.concat(F.lit("page_"), _s(F.col("id") % 100))},
+        "element_click": {"click_name": F.concat(F.lit("btn_"), _s(F.col("id") % 50))},
+        "pay": {"pay_amount": price, "is_ai": (F.col("id") % 2).cast("int")},
+        "pay_result": {"pay_result": F.col("o_orderstatus"), "pay_amount": price},
+        "user_info": {"user_add_day": (F.col("id") % 1000).cast("int")},
+    }
+    return {n: rows.where(F.col("table_name") == n).select("id", "user_unique_id", "report_status", "retry_count",
+                                                           *[c.alias(f) for f, c in fields.get(n, {}).items()])
+            for n in registry.names()}
