@@ -449,6 +449,12 @@ def build() -> dict[str, str]:
         'Summary: total=' || cast(sum(total) as varchar) || ', success=' || cast(sum(success) as varchar)
           || ', fail=' || cast(sum(fail) as varchar) as line
       from table_results group by rollup (dt, table_name)""", reject=True)
+    out["isolated_summary"] = with_run("""select dt, table_name,
+        case when dt is null then 'all' when table_name is null then 'date' else 'table' end as level,
+        cast(sum(total) as bigint) as total, cast(sum(success) as bigint) as success,
+        cast(sum(fail) + case when dt is null then 1 else 0 end as bigint) as fail, null::varchar as error
+      from table_results where table_name <> 'user_info' group by rollup (dt, table_name)
+      union all select null, 'user_info', 'error', 0, 0, 1, '[DAMAGED] page cannot be read'""")
     out["metrics_summary"] = with_run("""select metric, value from (
         select 'records_processed' as metric, cast(count(*) as double) as value from record_outcomes
         union all select 'records_success', cast(count(*) filter (where status = 'success') as double) from record_outcomes

@@ -25,7 +25,7 @@ from ..sources.tables import (EVENT_TYPE_OF, date_range, driver_table, driver_ta
                               events_view, load, tables_from_events, tracked_rows,
                               tracked_tables, with_row_key)
 from ..streaming import runner
-from . import resend
+from . import isolated, resend
 from .report_run import (DEFAULT_INGEST_MS, ReportRun, RunConfig, failed_records_file,
                          run_log)
 
@@ -701,3 +701,22 @@ QUERIES.update({
     "resend_failed": resend_failed,
     "resend_rounds": resend_rounds,
 })
+
+
+# -- a table that fails -------------------------------------------------------------
+
+
+def isolated_summary(spark, sf_dir):
+    """The summary of a run in which one table cannot be read to its end."""
+    tables = _tables(spark, sf_dir)
+    bad = F.when(F.col("event_id") % 50 == 0, F.raise_error(F.lit("[DAMAGED] page cannot be read"))).otherwise(F.col("user_unique_id"))
+    tables["user_info"] = tables["user_info"].withColumn("user_unique_id", bad)
+    run = isolated.IsolatedRun(spark, tables, RunConfig(ingest_ms=DEFAULT_INGEST_MS),
+                               attempts=lambda r: delivery.scripted_attempts(r.outbox, r.cfg.run_id))
+    error = F.regexp_extract("error", r"\[DAMAGED\] page cannot be read", 0)
+    return run.run().select("dt", "table_name", "level", "total", "success", "fail", error.alias("error"))
+
+
+QUERIES.update({
+    "isolated_summary": isolated_summary,
+})
