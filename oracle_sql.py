@@ -606,6 +606,7 @@ def build() -> dict[str, str]:
     out["status_after_relock"] = with_tracked("""select table_name, id,
         cast(case when error_msg is not null then 1 else report_status end as int) as report_status, retry_count, error_msg
       from g1_applied""")
+    out["status_compacted"] = with_tracked("select table_name, id, report_status, retry_count, error_msg from g1_applied")
     out["ids_membership"] = with_tracked("""select table_name, id, user_unique_id from tracked
       where report_status = 0 and id % 10 = 3""")
     out["stream_rate_metrics"] = with_run("""select

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import jsonfn, masking
 from ..functions.coercion import to_long
 from ..operators import audit, dedupe, delivery, transform
+from ..operators import compaction
 from ..operators import status_log as sl
 from ..operators.delivery import failure_rate_window as _failure_rate_window
 from ..operators.delivery import partial_errors as _partial_errors
@@ -720,3 +721,25 @@ def isolated_summary(spark, sf_dir):
 QUERIES.update({
     "isolated_summary": isolated_summary,
 })
+
+
+# -- the status log folded into its base -----------------------------------------------
+
+
+def status_compacted(spark, sf_dir):
+    """Tracked rows after two compactions of the pass's log (marks, then results)."""
+    rows = _tracked(spark, sf_dir).withColumn("updated_at", F.col("updated_at").cast("timestamp")) \
+        .withColumn("error_msg", F.lit(None).cast("string"))
+    table = compaction.StatusTable(spark, runner.scratch_path(spark, "status"), runner.scratch_path(spark, "status-log"),
+                                   rows.schema, block=1000)
+    table.create(rows)
+    log = _g1_log(spark, sf_dir)
+    for part in (log.where("seq = 1"), log.where("seq > 1")):
+        table.append(part)
+        table.compact()
+    return table.rows().select("table_name", "id", "report_status", "retry_count", "error_msg")
+
+
+QUERIES.update({
+    "status_compacted": status_compacted,
+})
