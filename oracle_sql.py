@@ -584,10 +584,16 @@ def build() -> dict[str, str]:
       from table_results where dt between '2024-01-05' and '2024-01-20' group by dt""", reject=True)
     out["failed_dates"] = with_run("""select dt, cast(sum(fail) as bigint) as fail
       from table_results group by dt having sum(fail) > 0""")
-    out["duplicate_report"] = with_views("""select table_name, dt, delivery_key, count(*) as n from (
-        select table_name, dt, sha256(concat_ws(chr(1), table_name, dt, user_unique_id,
-          cast(local_time_ms as varchar), params)) as delivery_key from payloads)
-      group by table_name, dt, delivery_key having count(*) > 1""")
+    raw = " union all ".join(f"select event_id, {'et' if SPEC[t][3] else 'null::bigint as et'} from {t}" for t in TABLE_NAMES)
+    replayed = f""", raw as ({raw}), keyed as (
+      select event_id, table_name, dt, sha256(concat_ws(chr(1), coalesce(table_name, chr(2)), coalesce(dt, chr(2)),
+        coalesce(user_unique_id, chr(2)), coalesce(cast(et as varchar), chr(2)), coalesce(params, chr(2)))) as delivery_key
+      from payloads join raw using (event_id)),
+    replayed as (select * from keyed union all select * from keyed where event_id % 10 = 3)"""
+    out["duplicate_report"] = with_views(replayed + """
+      select table_name, dt, delivery_key, count(*) as n from replayed group by table_name, dt, delivery_key having count(*) > 1""")
+    out["not_delivered"] = with_views(replayed + """
+      select * from replayed where delivery_key not in (select delivery_key from keyed where event_id % 10 in (3, 5, 8))""")
     # one file, so one epoch: run "run-0"
     out["stream_outbox"] = with_run("select run_id || '-0' as run_id, table_name, dt, request_no, endpoint, n_records, body from outbox")
     out["outbox_keyless"] = with_run("""select table_name, dt, endpoint, cast(null as bigint) as request_no, body, count(*) as n

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.coercion import event_time_ms, to_string
+from ..functions.coercion import event_time_ms, to_long, to_string
 from ..functions.jsonfn import WITH_NULLS
 from ..registry import REGISTRY, REPORT_TYPE_VALUE, Registry, TableSpec
 
@@ -80,6 +80,13 @@ def local_time_ms(df: DataFrame, spec: TableSpec, ingest_ms: int) -> Column:
     return event_time_ms(None, ingest_ms)
 
 
+def raw_et(df: DataFrame, spec: TableSpec) -> Column:
+    """The source's event time (ms), null where it has none."""
+    if spec.has_et and "et" in df.columns:
+        return to_long(F.col("et"), df.schema["et"].dataType)
+    return F.lit(None).cast("long")
+
+
 def payload_struct(user_id: Column, event_name: Column, params: Column, time_ms: Column) -> Column:
     user = F.struct(to_string(user_id).alias("user_unique_id"),
                     F.lit(None).cast("string").alias("device_id"),
@@ -100,7 +107,7 @@ def to_payloads(df: DataFrame, spec: TableSpec, ingest_ms: int,
                 reject_if: Column | None = None, reject_reason: str = "Transform failed") -> DataFrame:
     """One payload per source row of ``spec``'s table.
 
-    Output: table_name, dt, key columns, user_unique_id, params, local_time_ms,
+    Output: table_name, dt, key columns, user_unique_id, params, et, local_time_ms,
     payload (struct), body (JSON), error (null for good rows), and with
     ``with_record`` the full source row as JSON (for dead letters).
     ``reject_if`` marks rows as failed transforms (they are kept, with the
@@ -115,6 +122,7 @@ def to_payloads(df: DataFrame, spec: TableSpec, ingest_ms: int,
              *[F.col(k) for k in keys],
              to_string(F.col("user_unique_id")).alias("user_unique_id"),
              F.expr(params_sql(spec, df.columns)).alias("params"),
+             raw_et(df, spec).alias("et"),
              local_time_ms(df, spec, ingest_ms).alias("local_time_ms"), error.alias("error")]
     if with_record:
         first.append(F.expr(record_sql(spec, df.columns)).alias("record_json"))

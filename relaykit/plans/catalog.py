@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import jsonfn, masking
 from ..functions.coercion import to_long
-from ..operators import audit, dedupe, delivery, transform
+from ..operators import audit, dedupe, delivered, delivery, transform
 from ..operators import compaction
 from ..operators import status_log as sl
 from ..operators.delivery import failure_rate_window as _failure_rate_window
@@ -623,8 +623,24 @@ def failed_dates(spark, sf_dir):
     return s.where((F.col("level") == "date") & (F.col("fail") > 0)).select("dt", "fail")
 
 
+def _replayed(spark, sf_dir):
+    """Payloads of the tables, every tenth event read a second time."""
+    p = _run(spark, sf_dir).payloads.select("event_id", "table_name", "dt", "user_unique_id", "et", "params")
+    return p.unionByName(p.where(F.col("event_id") % 10 == 3))
+
+
 def duplicate_report(spark, sf_dir):
-    return dedupe.duplicate_groups(_run(spark, sf_dir).payloads)
+    return dedupe.duplicate_groups(_replayed(spark, sf_dir))
+
+
+def not_delivered(spark, sf_dir):
+    """Rows of a replayed run whose key no earlier run has delivered; two
+    earlier runs have delivered three tenths of the events."""
+    rows = _replayed(spark, sf_dir)
+    store = delivered.DeliveredKeys(spark, runner.scratch_path(spark, "delivered"), buckets=16, capacity=1_000_000)
+    for part in (F.col("event_id") % 10 == 3, (F.col("event_id") % 10).isin(5, 8)):
+        store.add(rows.where(part))
+    return store.not_delivered(rows).select("event_id", "table_name", "dt", "delivery_key")
 
 
 QUERIES.update({
@@ -634,6 +650,7 @@ QUERIES.update({
     "backfill_range": backfill_range,
     "failed_dates": failed_dates,
     "duplicate_report": duplicate_report,
+    "not_delivered": not_delivered,
 })
 
 

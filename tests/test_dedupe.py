@@ -1,6 +1,6 @@
 from relaykit.operators import dedupe
 
-SCHEMA = "table_name string, dt string, user_unique_id string, local_time_ms long, params string"
+SCHEMA = "table_name string, dt string, user_unique_id string, et long, params string"
 
 
 def test_delivery_key_dedupe_and_anti_join(spark):
