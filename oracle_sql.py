@@ -578,7 +578,7 @@ def build() -> dict[str, str]:
         cast(sum(success) as bigint) as success, cast(sum(fail) as bigint) as fail
       from table_results group by dt""", reject=True)
     out["log_error_filter"] = with_run(
-        f"select 'ERROR' as level, 'FAILED_RECORDS' as logger, {failed_msg} as msg from dead_letters", reject=True)
+        f"select 'ERROR' as level, 'FAILED_RECORDS' as logger, {failed_msg} || replace(replace('|java.io.IOException: not delivered|~at relay.Sender.send(Sender.java:42)||~... 3 more', '|', chr(10)), '~', chr(9)) as msg from dead_letters", reject=True)
     out["backfill_range"] = with_run("""select dt, cast(sum(total) as bigint) as total,
         cast(sum(success) as bigint) as success, cast(sum(fail) as bigint) as fail
       from table_results where dt between '2024-01-05' and '2024-01-20' group by dt""", reject=True)

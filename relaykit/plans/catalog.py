@@ -596,9 +596,21 @@ QUERIES.update({
 BACKFILL = ("2024-01-05", "2024-01-20")
 
 
+# what a sender's failure leaves below its line
+TRACE = "\njava.io.IOException: not delivered\n\tat relay.Sender.send(Sender.java:42)\n\n\t... 3 more"
+
+
+def _written(spark, lines: DataFrame, name: str) -> str:
+    """``lines`` as a text log; the folder."""
+    path = runner.scratch_path(spark, name)
+    lines.write.text(path)
+    return path
+
+
 def failed_log_parse(spark, sf_dir):
-    lines = failed_records_file(_run(spark, sf_dir, reject_if=_short_id()))
-    return logs.parse_failed(lines).select("table_name", "dt", "user_masked", "reason", "record_json")
+    """The failed-records file written as text and read back."""
+    path = _written(spark, failed_records_file(_run(spark, sf_dir, reject_if=_short_id())), "failed-records")
+    return logs.parse_failed(logs.read_lines(spark, path)).select("table_name", "dt", "user_masked", "reason", "record_json")
 
 
 def summary_log_parse(spark, sf_dir):
@@ -607,8 +619,12 @@ def summary_log_parse(spark, sf_dir):
 
 
 def log_error_filter(spark, sf_dir):
+    """Errors of the main log, read from text files, with their stack traces."""
     lines = run_log(_run(spark, sf_dir, reject_if=_short_id()))
-    return logs.errors_only(logs.parse_main(lines)).select("level", "logger", "msg")
+    error = F.substring("value", 26, 11) == "main] ERROR"
+    lines = lines.select(F.when(error, F.concat("value", F.lit(TRACE))).otherwise(F.col("value")).alias("value"))
+    events = logs.read_events(spark, _written(spark, lines, "main-log"))
+    return logs.errors_only(logs.parse_main(events)).select("level", "logger", "msg")
 
 
 def backfill_range(spark, sf_dir):
