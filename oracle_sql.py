@@ -429,6 +429,7 @@ def build() -> dict[str, str]:
     out["record_outcomes"] = with_run(
         "select table_name, dt, event_id, request_no, status, reason, attempts_used from record_outcomes",
         reject=True)
+    out["stream_record_outcomes"] = out["record_outcomes"]  # the same rows, after the last watermark
     out["failure_rate_window"] = with_run("select * from breaker")
     out["partial_errors"] = with_run("""select table_name, dt, count(*) as n_responses,
         cast(sum(cast(json_extract(body, '$.sc') as int)) as bigint) as sum_sc,

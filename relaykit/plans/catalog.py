@@ -25,6 +25,7 @@ from ..sources import logs
 from ..sources.tables import (EVENT_TYPE_OF, date_range, driver_table, driver_tables, events_base,
                               events_view, load, tables_from_events, tracked_rows,
                               tracked_tables, with_row_key)
+from ..streaming import outcomes as stream_outcomes
 from ..streaming import runner
 from . import isolated, resend
 from .report_run import (DEFAULT_INGEST_MS, ReportRun, RunConfig, failed_records_file,
@@ -776,3 +777,39 @@ def status_compacted(spark, sf_dir):
 QUERIES.update({
     "status_compacted": status_compacted,
 })
+
+
+# -- outcomes while a run is delivered ---------------------------------------------------
+
+
+def _in_parts(df: DataFrame, time_col: str, path: str, parts: int, delay: str = "0 seconds") -> None:
+    """``df`` as ``parts`` files in the order of time (and an end of the run),
+    as a live log would be written; ``delay`` moves the borders."""
+    t = F.unix_micros(F.col(time_col) - F.expr(f"interval {delay}"))
+    low, high = df.agg(F.min(t), F.max(t)).first()
+    number = F.least(F.floor((t - low) * parts / (high - low + 1)), F.lit(parts - 1))
+    numbered = df.withColumn("_part", F.greatest(number, F.lit(0))).persist()
+    for k in range(parts):
+        numbered.where(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(path)
+    numbered.unpersist()
+    stream_outcomes.end_log(df, time_col, path, "2100-01-01 00:00:00")
+
+
+def stream_record_outcomes(spark, sf_dir):
+    """Record outcomes from members and attempts that arrive in several files each."""
+    run = _run(spark, sf_dir, reject_if=_short_id())
+    start = F.timestamp_seconds(F.lit(delivery.RUN_START_EPOCH_S) + F.coalesce("request_no", F.lit(0)) * 3)
+    members = run.members.withColumn("sent_at", start).select(*stream_outcomes.MEMBER)
+    attempts = run.attempts.select(*delivery.REQ, *stream_outcomes.ATTEMPT)
+    paths = [runner.scratch_path(spark, n) for n in ("members", "attempts", "outcomes", "outcomes-ckpt")]
+    _in_parts(members, "sent_at", paths[0], 3)
+    _in_parts(attempts, "started_at", paths[1], 3, "2 seconds")
+    streams = [spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(p) for df, p in zip((members, attempts), paths)]
+    stream_outcomes.start_outcome_stream(*streams, paths[2], paths[3], horizon="1 minute").awaitTermination()
+    got = stream_outcomes.read_outcomes(spark, paths[2], run.modes)
+    return got.select("table_name", "dt", "event_id", "request_no", "status", "reason", "attempts_used")
+
+
+QUERIES.update({
+    "stream_record_outcomes": stream_record_outcomes,
+})
