@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from . import chat_format, curve_packing, jaccard_join, lexical_search, multi_index, packing, quality_model, quality_rules, shared, source_mix, spelling_variants, suffix_dedup, url_filter, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-#: Target shares of the mixture: each source alike.
-WEIGHTS = {f"src{i}": 0.05 for i in range(20)}
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -23,8 +21,9 @@ def trusted(labels: DataFrame) -> DataFrame:
     return labels.where("quality = 1 and toxic = 0").select("doc_id")
 
 
-def weights(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(WEIGHTS.items()), "source string, weight double")
+def weights(docs: DataFrame) -> DataFrame:
+    """Target shares of the mixture: each source of ``docs`` alike, null too."""
+    return docs.select("source").distinct().withColumn("weight", F.lit(1.0))
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,13 +32,15 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source_mix.mix(_read(spark, sf_dir, "documents"), weights(spark))
+    docs = _read(spark, sf_dir, "documents")
+    return source_mix.mix(docs, weights(docs))
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = suffix_dedup.remove_repeats(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     return got.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
-                      F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+                      F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+                      F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +110,7 @@ _BYTES = """flatten(list_transform(string_split(s, ''), lambda x: case when unic
 _TERMS = f"regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
 
 SQL = {
-    "op2_source_mix": source_mix.mix_sql(WEIGHTS, columns="doc_id, text, lang, source, n_chars"),
+    "op2_source_mix": source_mix.mix_sql(columns="doc_id, text, lang, source, n_chars"),
     "op4_warc": f"""
 with p as (select page_id, encode(coalesce(html, '')) as b from pages),
 d as (select page_id, octet_length(b) as n, sha1(b) as h from p),

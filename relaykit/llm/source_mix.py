@@ -104,18 +104,19 @@ def mix(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", source_col:
     return copies.withColumn("mix_key", key.cast("long")).orderBy("mix_key")
 
 
-def mix_sql(weights: dict[str, float], epochs: float = 1.0, seed: int = SEED, columns: str = "doc_id, source", top: int = 400) -> str:
-    """DuckDB SQL for the rows of ``mix`` over ``documents``."""
-    rows = ", ".join(f"('{s}', {w!r})" for s, w in weights.items())
+def mix_sql(weights: dict[str, float] | None = None, epochs: float = 1.0, seed: int = SEED, columns: str = "doc_id, source", top: int = 400) -> str:
+    """DuckDB SQL for the rows of ``mix`` over ``documents``; without weights
+    each source alike."""
+    given = "select distinct source, 1.0 from documents" if weights is None else "values " + ", ".join(f"('{s}', {w!r})" for s, w in weights.items())
     return f"""
-with weights(source, weight) as (values {rows}),
+with weights(source, weight) as ({given}),
 n as (select source, count(*) as n_rows from documents group by source),
-got as (select n.source, n_rows, weight::double as weight from n join weights using (source) where weight > 0),
+got as (select n.source, n_rows, weight::double as weight from n join weights w on n.source is not distinct from w.source where weight > 0),
 r as (select source, {float(epochs)!r}::double * weight / (select sum(weight) from got) * (select sum(n_rows) from n)::double / n_rows as rate from got),
 steps as (select source, rate, k, list_sum(list_transform(range(0, k + 1),
               lambda i: exp(-rate + i * ln(rate) - lgamma(i + 1)))) as c from r, range(0, {top}) t(k)),
 u as (select *, (('0x' || substr(md5('{seed}:' || coalesce(doc_id::varchar, 'null')), 1, {_DIGITS}))::bigint + 0.5::double) / {float(16 ** _DIGITS)!r}::double as u from documents),
-drawn as (select u.*, s.rate, (select count(*) from steps t where t.source = u.source and t.c < u.u) as n_copies
-          from u join r s on u.source = s.source)
+drawn as (select u.*, s.rate, (select count(*) from steps t where t.source is not distinct from u.source and t.c < u.u) as n_copies
+          from u join r s on u.source is not distinct from s.source)
 select {columns}, rate, n_copies, copy, ('0x' || substr(md5('{seed}:' || coalesce(doc_id::varchar, 'null') || ':' || copy), 1, {_DIGITS}))::bigint as mix_key
 from (select *, unnest(range(0, n_copies))::integer as copy from drawn where n_copies > 0)"""

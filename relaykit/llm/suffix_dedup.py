@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import _M1, mix, prefix_hash, slices, small, span_hash, stored, text_bytes
+from .shared import _M1, SPACE, mix, prefix_hash, slices, small, span_hash, stored, text_bytes
 
 #: Bytes of a repeat and of the gram at an anchor, unless given.
 WINDOW, GRAM = 400, 200
@@ -374,12 +374,32 @@ def whole_words(body: bytes, a: int, b: int) -> int:
     return len(body[a:b].split())
 
 
+def whole_characters(body: bytes, a: int, b: int) -> tuple[int, int]:
+    """body[a:b] with the rest of the UTF-8 characters that it cuts."""
+    while a > 0 and body[a] & 0xC0 == 0x80:
+        a -= 1
+    while b < len(body) and body[b] & 0xC0 == 0x80:
+        b += 1
+    return a, b
+
+
+def seamed(parts: list[bytes]) -> bytes:
+    """The parts that are not empty, with a blank where two words would meet."""
+    out = b""
+    for part in parts:
+        if out and part and not SPACE[out[-1]] and not SPACE[part[0]]:
+            out += b" "
+        out += part
+    return out
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_gram: int = HOT_GRAM,
-                   window: int = WINDOW, gram_size: int = GRAM, over_words: int = -1) -> DataFrame:
+                   window: int = WINDOW, gram_size: int = GRAM, over_words: int = -1, as_text: bool = False) -> DataFrame:
     """``docs`` with columns kept (binary: the bytes that stay), removed (array
     of start, end of the maximal removed runs) and n_bytes. Runs of at most
-    ``over_words`` whole words stay, unless they have
-    WINDOW bytes."""
+    ``over_words`` whole words stay, unless they have WINDOW bytes. ``as_text``:
+    runs grow to whole characters, and a blank stands where a run between two
+    words was, so that what stays is text again."""
     spans = (repeated_spans(docs, id_col, text_col, hot_gram, window, gram_size)
              .groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
     names = [c for c in docs.columns]
@@ -398,12 +418,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 body = body.as_py()
                 runs = merged([(x["start"], x["end"]) for x in spans_.as_py() or ()])
                 runs = [(a, b) for a, b in runs if over_words < 0 or b - a >= WINDOW or whole_words(body, a, b) > over_words]
+                runs = merged([whole_characters(body, a, b) for a, b in runs]) if as_text else runs
                 at, parts = 0, []
                 for a, b in runs:
                     parts.append(body[at:a])
                     at = b
                 parts.append(body[at:])
-                kept.append(b"".join(parts))
+                kept.append(seamed(parts) if as_text else b"".join(parts))
                 removed.append([{"start": a, "end": b} for a, b in runs])
                 size.append(len(body))
             yield pa.RecordBatch.from_arrays(

@@ -40,7 +40,19 @@ def test_pipeline_removes_repeats_of_over_50_words(spark):
             # the bytes at the edges differ, but for 49 words: there parts of words are repeated too
             a, b = (words(f"x{k}{j}", 30), words(f"y{k}{j}", 30)) if n == 49 else (words(f"x{k}{j}", 30) + "ab"[j], "cd"[j] + words(f"y{k}{j}", 30))
             rows.append((2 * k + j, f"{a} {passage} {b}", "en", "src0", 0))
-            want[2 * k + j] = f"{a}{b}" if n > 50 else f"{a} {passage} {b}"
+            want[2 * k + j] = f"{a} {b}" if n > 50 else f"{a} {passage} {b}"
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = {r.doc_id: r.text for r in corpus_pipeline.repeats(spark, docs, SF).collect()}
     assert got == want
+
+
+def test_pipeline_keeps_every_source_and_character(spark):
+    rows = [(k, f"text {k}", "en", s, 6) for k, s in enumerate([None, "new", "src0"] * 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.mixing(spark, docs, SF).groupBy("source").count().collect()
+    assert {r["source"] for r in got} == {None, "new", "src0"} and min(r["count"] for r in got) > 10
+    passage = " ".join(f"wört{k:03d}" for k in range(60))
+    rows = [(1, f"a \ufffd é{passage}é keep \ufffd"), (2, f"b {passage} one"), (3, "x \ufffd y"), (4, None), (5, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.repeats(spark, docs, SF).collect()}
+    assert got == {1: "a \ufffd é é keep \ufffd", 2: "b  one", 3: "x \ufffd y", 4: "", 5: ""}
