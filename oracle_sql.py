@@ -518,9 +518,13 @@ def build() -> dict[str, str]:
         "select table_name, id, cast(seq as bigint) as seq, cast(status as int) as status, error_msg from g1_latest")
     out["retry_exhausted"] = with_tracked(
         "select table_name, id, retry_count from g1_applied where report_status = 3 and retry_count >= 3")
-    out["task_progress"] = with_tracked("select * from g1_progress")
+    out["task_progress"] = with_tracked("""select p.*, 'report-' || p.table_name as task_id,
+        cast(case when success_count = 0 then 3 else 2 end as int) as status, e.error_msg
+      from g1_progress p left join (select table_name, arg_max(error_msg, id) as error_msg from g1_latest
+        where status = 3 group by table_name) e using (table_name)""")
     out["incremental_pending"] = with_tracked("""select t.table_name, t.id from tracked t
-        left join g1_progress p on p.table_name = t.table_name
+        left join (select table_name, max(id) as last_processed_id from g1_latest
+          where status in (2, 3) and id <= (select max(id) // 2 from tracked) group by table_name) p on p.table_name = t.table_name
         where t.report_status = 0 and t.id > coalesce(p.last_processed_id, 0)""")
     out["stale_processing"] = with_tracked("""select table_name, id from tracked
         where report_status = 1 and updated_at < timestamp '2000-01-01 00:00:00' - interval 1 hour""")

@@ -163,18 +163,30 @@ def status_changes(ids: DataFrame, status: int, seq: int | Column, at: Column,
                       at.cast("timestamp").alias("updated_at"), F.lit(bump_retry).alias("bump_retry"))
 
 
+# Status codes of a task.
+TASK_RUNNING, TASK_COMPLETED, TASK_FAILED = 1, 2, 3
+
+
 def task_progress(log: DataFrame, task_type: str = "report") -> DataFrame:
     """Checkpoint per table: last id done, processed/success/fail counts and
-    time span of the changes to the ids done, from the first one on."""
+    time span of the changes to the ids done, from the first one on; the task's
+    id (type and table), its status (running while a row is in process, failed
+    when nothing succeeded) and the error of its last failed row."""
     last = latest_status(log)
-    done = last.where(F.col("status").isin(SUCCESS, FAILED))
-    return done.groupBy("table_name").agg(
-        F.max("id").alias("last_processed_id"),
-        F.count(F.lit(1)).alias("processed_count"),
-        F.sum(F.when(F.col("status") == SUCCESS, 1).otherwise(0)).cast("long").alias("success_count"),
-        F.sum(F.when(F.col("status") == FAILED, 1).otherwise(0)).cast("long").alias("fail_count"),
-        F.min("first_at").alias("start_time"), F.max("updated_at").alias("end_time"),
-    ).withColumn("task_type", F.lit(task_type))
+    ok, bad = F.col("status") == SUCCESS, F.col("status") == FAILED
+    done = ok | bad
+    out = last.groupBy("table_name").agg(
+        F.max(F.when(done, F.col("id"))).alias("last_processed_id"),
+        F.count(F.when(done, 1)).alias("processed_count"),
+        F.count(F.when(ok, 1)).alias("success_count"),
+        F.count(F.when(bad, 1)).alias("fail_count"),
+        F.min(F.when(done, F.col("first_at"))).alias("start_time"), F.max(F.when(done, F.col("updated_at"))).alias("end_time"),
+        F.max_by("error_msg", F.when(bad, F.struct("updated_at", "id"))).alias("error_msg"),
+        F.count(F.when(F.col("status") == PROCESSING, 1)).alias("_open"))
+    status = (F.when(F.col("_open") > 0, TASK_RUNNING).when((F.col("fail_count") > 0) & (F.col("success_count") == 0), TASK_FAILED)
+              .otherwise(TASK_COMPLETED))
+    return (out.where(F.col("processed_count") > 0).withColumn("task_type", F.lit(task_type))
+            .withColumn("task_id", F.concat_ws("-", "task_type", "table_name")).withColumn("status", status).drop("_open"))
 
 
 def incremental_pending(df: DataFrame, progress: DataFrame) -> DataFrame:

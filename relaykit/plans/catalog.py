@@ -408,14 +408,16 @@ def retry_exhausted(spark, sf_dir):
 def task_progress(spark, sf_dir):
     p = sl.task_progress(_g1_log(spark, sf_dir))
     fmt = "yyyy-MM-dd HH:mm:ss"
-    return p.select("table_name", "task_type", "last_processed_id", "processed_count", "success_count",
+    return p.select("task_id", "status", "error_msg", "table_name", "task_type", "last_processed_id", "processed_count", "success_count",
                     "fail_count", F.date_format("start_time", fmt).alias("start_time"),
                     F.date_format("end_time", fmt).alias("end_time"))
 
 
 def incremental_pending(spark, sf_dir):
+    """Pending rows after the checkpoint of a pass that stopped half way."""
     t = _tracked(spark, sf_dir)
-    p = sl.task_progress(_g1_log(spark, sf_dir))
+    half = t.agg(F.max("id")).first()[0] // 2
+    p = sl.task_progress(_g1_log(spark, sf_dir).where(F.col("id") <= half))
     return sl.incremental_pending(t, p).select("table_name", "id")
 
 
