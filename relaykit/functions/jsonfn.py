@@ -49,6 +49,22 @@ def parse_map(c: Column) -> Column:
                   F.from_json(c, T.MapType(T.StringType(), T.StringType())))
 
 
+def parse_variant(c: Column) -> Column:
+    """Any JSON → VARIANT, which keeps nesting, numbers and booleans as they are;
+    null, '' and malformed texts → null (see :func:`is_malformed`)."""
+    return F.when(F.coalesce(F.length(c), F.lit(0)) > 0, F.try_parse_json(c))
+
+
+def variant_field(v: Column, path: str, type_: str = "string") -> Column:
+    """Value at a JSON path as ``type_``; null where it is missing or of another kind."""
+    return F.try_variant_get(v, path, type_)
+
+
+def variant_kind(v: Column) -> Column:
+    """Type of a VARIANT as Spark writes it (``BIGINT``, ``ARRAY<...>``, ``OBJECT<...>``)."""
+    return F.schema_of_variant(v)
+
+
 def is_malformed(c: Column) -> Column:
     """True when a non-empty text is not one JSON object or array."""
     return ((F.coalesce(F.length(c), F.lit(0)) > 0)

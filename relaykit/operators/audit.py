@@ -22,8 +22,11 @@ FAILED_LINE = "FAILED: table=%s, dt=%s, user=%s, reason=%s, record=%s"
 
 
 def tag_tables(tables: Mapping[str, DataFrame], cols: Sequence[str] = ("dt",)) -> DataFrame:
-    """Union of the given tables' ``cols`` with a literal table_name column."""
-    parts = [df.select(F.lit(name).alias("table_name"), *cols) for name, df in tables.items()]
+    """Union of the given tables' ``cols`` with a literal table_name column; a
+    column that a table does not have is null."""
+    def col(df: DataFrame, c: str) -> Column:
+        return F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c)
+    parts = [df.select(F.lit(name).alias("table_name"), *[col(df, c) for c in cols]) for name, df in tables.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

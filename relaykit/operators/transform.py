@@ -134,16 +134,39 @@ def to_payloads(df: DataFrame, spec: TableSpec, ingest_ms: int,
                          .alias("body"), "error")
 
 
+def unknown_rows(df: DataFrame, name: str, ingest_ms: int, key_cols: tuple[str, ...] = ("event_id",),
+                 with_record: bool = False) -> DataFrame:
+    """Rows of a table that the registry does not know, as failed transforms:
+    no payload, the reason in ``error``, all columns in the record."""
+    has = set(df.columns)
+    user = to_string(F.col("user_unique_id")) if "user_unique_id" in has else F.lit(None).cast("string")
+    spec = TableSpec(name, name, ())
+    first = [F.lit(name).alias("table_name"), (F.col("dt") if "dt" in has else F.lit(None)).cast("string").alias("dt"),
+             *[F.col(k) if k in has else F.lit(None).cast("long").alias(k) for k in key_cols], user.alias("user_unique_id"),
+             F.lit(None).cast("string").alias("params"), raw_et(df, spec).alias("et"), local_time_ms(df, spec, ingest_ms).alias("local_time_ms")]
+    record = [F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), WITH_NULLS).alias("record_json")] if with_record else []
+    payload = payload_struct(F.col("user_unique_id"), F.lit(name), F.col("params"), F.col("local_time_ms"))
+    rows = df.select(*first, *record)
+    typed = rows.select(payload.alias("payload")).schema["payload"].dataType
+    return rows.select("*", F.lit(None).cast(typed).alias("payload"), F.lit(None).cast("string").alias("body"),
+                       F.lit(f"Unknown table name: {name}").alias("error"))
+
+
 def payloads_all(tables: Mapping[str, DataFrame], ingest_ms: int, registry: Registry = REGISTRY,
                  key_cols: tuple[str, ...] = ("event_id",), with_record: bool = False,
-                 reject_if: Mapping[str, Column] | None = None) -> DataFrame:
+                 reject_if: Mapping[str, Column] | None = None, reject_unknown: bool = False) -> DataFrame:
     """Payloads of every registered table in ``tables``, as one DataFrame.
 
-    Unknown names raise (``Unknown table name``) before any job runs.
+    Unknown names raise (``Unknown table name``) before any job runs; with
+    ``reject_unknown`` their rows become failed transforms instead (see
+    :func:`unknown_rows`), and the other tables go on.
     """
     parts = []
     for name, df in tables.items():
         spec = registry.get(name)
+        if spec is None and reject_unknown:
+            parts.append(unknown_rows(df, name, ingest_ms, key_cols, with_record))
+            continue
         if spec is None:
             raise ValueError(f"Unknown table name: {name}")
         rej = (reject_if or {}).get(name)

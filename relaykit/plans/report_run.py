@@ -44,6 +44,8 @@ class RunConfig:
     bucket_rows: int = 1 << 20
     unique_key: bool = True
     dates: Sequence[str] = ()
+    #: Rows of tables outside the registry become dead letters instead of an error.
+    reject_unknown: bool = False
 
     def __post_init__(self):
         batching.check_batch_size(self.batch_size)
@@ -102,7 +104,7 @@ class ReportRun:
     @cached_property
     def payloads(self) -> DataFrame:
         return transform.payloads_all(self.tables, self.cfg.ingest_ms, self.registry,
-                                      (self.cfg.key,), with_record=True, reject_if=self.reject_if)
+                                      (self.cfg.key,), with_record=True, reject_if=self.reject_if, reject_unknown=self.cfg.reject_unknown)
 
     @cached_property
     def counts(self) -> DataFrame:
@@ -122,7 +124,7 @@ class ReportRun:
         modes = mode_map(self.registry, dict(self.cfg.mode_overrides))
         a = batching.assign_requests(self.payloads.select(*needed), modes, self.cfg.batch_size,
                                      self.cfg.page_size,
-                                     self.cfg.key, may_have_errors=self.reject_if is not None,
+                                     self.cfg.key, may_have_errors=self.reject_if is not None or self.cfg.reject_unknown,
                                      bucket_rows=self.cfg.bucket_rows, unique_key=self.cfg.unique_key)
         return _materialize(a) if self.cache else a
 

@@ -31,6 +31,13 @@ class TableSpec:
     default_mode: str = BATCH
     has_et: bool = True
     needs_report_type: bool = True
+    #: Types of fields by name, as DDL (``"decimal(12,2)"``); the others keep the known ones, else text.
+    field_types: tuple[tuple[str, str], ...] = ()
+
+    def __post_init__(self):
+        unknown = sorted(n for n, _ in self.field_types if n not in self.select_fields())
+        if unknown:
+            raise ValueError(f"types of fields that {self.table_name} does not have: {', '.join(unknown)}")
 
     def select_fields(self) -> list[str]:
         """Projection list: user id, optional ``et``, then params in order."""

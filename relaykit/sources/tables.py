@@ -41,11 +41,12 @@ FIELD_TYPES: dict[str, T.DataType] = {
 
 def table_schema(spec: TableSpec, key_col: str | None = "event_id") -> T.StructType:
     fields = []
+    own = {n: T.DataType.fromDDL(t) for n, t in spec.field_types}
     if key_col:
         fields.append(T.StructField(key_col, T.LongType()))
     fields.append(T.StructField("user_unique_id", T.StringType()))
     for f in spec.select_fields()[1:]:
-        fields.append(T.StructField(f, FIELD_TYPES.get(f, T.StringType())))
+        fields.append(T.StructField(f, own.get(f, FIELD_TYPES.get(f, T.StringType()))))
     fields.append(T.StructField("dt", T.StringType()))
     return T.StructType(fields)
 
