@@ -606,6 +606,41 @@ def build() -> dict[str, str]:
       union all
       select table_name, dt, endpoint, row_number() over (partition by table_name, dt, endpoint order by request_no) - 1,
         null, cast(n_records as bigint) from outbox""")
+    singles = "table_name in ('pay', 'pay_result')"
+    out["stream_epochs"] = with_views(f"""select run_id, table_name, dt,
+        case when {singles} then '/v2/event/json' else '/v2/event/list' end as endpoint,
+        case when {singles} then n else (n + 19) // 20 end as n_requests, n as n_records
+      from (select 'run-' || cast(event_id % 3 as varchar) as run_id, table_name, dt, count(*) as n from payloads group by all)""")
+    out["stream_dedupe"] = with_views(replayed + " select distinct table_name, dt, delivery_key from replayed")
+    out["stream_latest_status"] = out["latest_status"]
+    out["stream_stale_processing"] = with_tracked("""select table_name, id from tracked
+        where report_status = 1 and updated_at < timestamp '2030-01-01 00:00:00' - interval 1 hour""")
+    out["partition_count_footers"] = with_views(
+        "select table_name, dt, count(*) as n from payloads group by table_name, dt", "month")
+    out["metrics_observed"] = with_run("""select 'records_processed' as metric, cast(count(*) as double) as value from record_outcomes
+        union all select 'records_success', cast(count(*) filter (where status = 'success') as double) from record_outcomes
+        union all select 'records_failed', cast(count(*) filter (where status = 'failed') as double) from record_outcomes
+        union all select 'requests_sent', cast(count(*) as double) from outcome
+        union all select 'requests_success', cast(count(*) filter (where success) as double) from outcome
+        union all select 'requests_failed', cast(count(*) filter (where not success) as double) from outcome
+        union all select 'avg_request_ms', round(avg(duration_ms), 3) from outcome
+        union all select 'avg_batch_ms', round(avg(duration_ms) filter (where mode = 'BATCH'), 3) from outcome
+        union all select 'breaker_opens', cast(count(*) filter (where opened) as double) from breaker
+        union all select 'avg_query_ms', 1.0""")
+    out["json_variant_parse"] = with_views("""select table_name, event_id, event, local_time_ms, 'BIGINT' as time_kind, user_unique_id,
+        cast(null as varchar) as device_id, cast(json_extract_string(params, '$.pay_amount') as decimal(10,2)) as pay_amount,
+        cast(json_extract_string(params, '$.is_ai') as int) as is_ai, json_extract_string(params, '$.page_id') as page_id
+      from payloads""")
+    out["unknown_table_rows"] = with_views(f"""select 'promo_view' as table_name, dt, {mask_sql('user_unique_id')} as user_masked,
+        'Unknown table name: promo_view' as reason from base where event_type = 'view'""")
+    out["custom_table_payloads"] = """select l_orderkey * 10 + l_linenumber as event_id, strftime(l_shipdate, '%Y-%m') as dt,
+        'part_' || cast(l_partkey as varchar) as user_unique_id,
+        '{"report_type":"poc_v1","order_id":' || cast(l_orderkey as varchar) || ',"line_no":' || cast(l_linenumber as varchar)
+          || ',"quantity":' || cast(cast(l_quantity as decimal(12,2)) as varchar)
+          || ',"price":' || cast(cast(l_extendedprice as decimal(12,2)) as varchar)
+          || ',"returned":' || case when l_returnflag = 'R' then 'true' else 'false' end
+          || case when l_linestatus = 'O' then '' else ',"ship_mode":"' || l_linestatus || '"' end || '}' as params
+      from lineitem"""
     names = ", ".join(f"({i}, '{n}')" for i, n in enumerate(TABLE_NAMES))
     out["stats_empty_date"] = with_views(f""", c as (
         select d.dt, t.table_name, t.i, count(p.table_name) as n

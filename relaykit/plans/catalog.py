@@ -19,15 +19,16 @@ from ..operators import status_log as sl
 from ..operators.delivery import failure_rate_window as _failure_rate_window
 from ..operators.delivery import partial_errors as _partial_errors
 from ..operators.ordinal import with_ordinal
-from ..registry import REGISTRY, parse_mode, validate_tables
+from ..registry import REGISTRY, Registry, TableSpec, parse_mode, validate_tables
 from ..session import ensure_conf, session_key
-from ..sources import logs
+from ..sources import footers, logs
 from ..sources.tables import (EVENT_TYPE_OF, date_range, driver_table, driver_tables, events_base,
-                              events_view, load, tables_from_events, tracked_rows,
+                              events_view, load, read_partitioned, tables_from_events, tracked_rows,
                               tracked_tables, with_row_key)
 from ..streaming import outcomes as stream_outcomes
 from ..streaming import runner
-from . import isolated, resend
+from ..streaming import status as stream_status
+from . import isolated, metrics, resend
 from .report_run import (DEFAULT_INGEST_MS, ReportRun, RunConfig, failed_records_file,
                          run_log)
 
@@ -815,3 +816,157 @@ def stream_record_outcomes(spark, sf_dir):
 QUERIES.update({
     "stream_record_outcomes": stream_record_outcomes,
 })
+
+
+# -- streams over several files ------------------------------------------------------
+
+
+def _appended(rows, path: str, parts) -> None:
+    """``rows`` as one file for each condition of ``parts``, one after the other."""
+    for part in parts:
+        rows.where(part).coalesce(1).write.mode("append").parquet(path)
+
+
+def _thirds():
+    return [F.col("event_id") % 3 == n for n in range(3)]
+
+
+def stream_epochs(spark, sf_dir):
+    """Requests and records of every epoch: a stream that ends after its first
+    file and goes on from its checkpoint when two more have come."""
+    ev = load(spark, sf_dir, "events")
+    src, out, ckpt = (runner.scratch_path(spark, n) for n in ("files-in", "files-out", "files-ckpt"))
+    first, *later = _thirds()
+    for parts in ([first], later):
+        _appended(ev, src, parts)
+        stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        runner.start_report_stream(stream, lambda b: tables_from_events(events_view(b)), out, ckpt,
+                                   RunConfig(ingest_ms=DEFAULT_INGEST_MS)).awaitTermination()
+    sent = spark.read.parquet(f"{out}/outbox")
+    return sent.groupBy("run_id", "table_name", "dt", "endpoint").agg(
+        F.count(F.lit(1)).alias("n_requests"), F.sum("n_records").cast("long").alias("n_records"))
+
+
+def stream_dedupe(spark, sf_dir):
+    """Delivery keys of a stream of three files in which every tenth event comes twice."""
+    rows = _replayed(spark, sf_dir).withColumn("day", F.col("dt").cast("timestamp"))
+    src, out = (runner.scratch_path(spark, n) for n in ("keys-in", "keys-out"))
+    _appended(rows, src, [F.col("event_id") % 2 == 1, F.col("event_id") % 4 == 0, F.col("event_id") % 4 == 2])
+    _appended(rows, src, [F.col("event_id") % 10 == 3])  # and once more, in an epoch of their own
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (runner.dedupe_stream(stream, "day", "1000 days").select("table_name", "dt", "delivery_key").writeStream.outputMode("append")
+         .option("checkpointLocation", runner.scratch_path(spark, "keys-ckpt")).trigger(availableNow=True).start(out, format="parquet"))
+    q.awaitTermination()
+    return spark.read.schema("table_name string, dt string, delivery_key string").parquet(out)
+
+
+def _status_stream(spark, log, parts, end: str) -> str:
+    """The status log streamed a file at a time; the folder of what it yields."""
+    src, out = (runner.scratch_path(spark, n) for n in ("status-in", "status-out"))
+    _appended(log, src, parts)
+    stream_status.end_changes(log, src, end)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    stream_status.start_status_stream(stream, out, runner.scratch_path(spark, "status-ckpt")).awaitTermination()
+    return out
+
+
+def stream_latest_status(spark, sf_dir):
+    """Latest status of every record of a pass, over four epochs."""
+    log = _g1_log(spark, sf_dir)
+    parts = [F.col("seq") == 1, (F.col("seq") == 2) & (F.col("status") == sl.SUCCESS), (F.col("seq") == 2) & (F.col("status") == sl.FAILED)]
+    out = _status_stream(spark, log, parts, "2024-02-01 00:30:00")
+    return stream_status.read_latest(spark, out).select("table_name", "id", "seq", "status", "error_msg")
+
+
+def stream_stale_processing(spark, sf_dir):
+    """Records stuck in process, found by their timers, over four epochs."""
+    rows = _tracked(spark, sf_dir)
+    log = rows.select("table_name", F.col("id").cast("long"), F.lit(1).cast("long").alias("seq"), F.col("report_status").cast("int").alias("status"),
+                      F.lit(None).cast("string").alias("error_msg"), F.col("updated_at").cast("timestamp").alias("updated_at"), F.lit(False).alias("bump_retry"))
+    year = F.year("updated_at")
+    out = _status_stream(spark, log, [year < 1994, year.between(1994, 1996), year > 1996], "2030-01-01 00:10:00")
+    return stream_status.read_stale(spark, out).select("table_name", "id")
+
+
+QUERIES.update({
+    "stream_epochs": stream_epochs,
+    "stream_dedupe": stream_dedupe,
+    "stream_latest_status": stream_latest_status,
+    "stream_stale_processing": stream_stale_processing,
+})
+
+
+# -- footers, observed metrics, variants, tables of one's own ------------------------
+
+
+def partition_count_footers(spark, sf_dir):
+    """Rows of every stored (table, date), from the files' footers."""
+    base = runner.scratch_path(spark, "stored")
+    paths = {}
+    for name, df in _tables(spark, sf_dir, "month").items():
+        paths[REGISTRY.get(name)] = f"{base}/{name}"
+        df.repartition("dt").write.partitionBy("dt").parquet(f"{base}/{name}")
+    return footers.partition_counts(spark, paths)
+
+
+def metrics_observed(spark, sf_dir):
+    """Metrics from the writes of a run; the wall time of its jobs only as found (1)."""
+    got = metrics.write_observed(_run(spark, sf_dir), runner.scratch_path(spark, "accounting"))
+    wall = F.col("metric") == "avg_query_ms"
+    return got.select("metric", F.when(wall, (F.col("value") > 0).cast("double")).otherwise(F.col("value")).alias("value"))
+
+
+def json_variant_parse(spark, sf_dir):
+    """Request bodies as VARIANT: nested, numeric and missing values."""
+    rows = _run(spark, sf_dir).payloads.select("table_name", "event_id", jsonfn.parse_variant(F.col("body")).alias("v"))
+    event = "$.events[0]"
+    rows = rows.withColumn("p", jsonfn.parse_variant(jsonfn.variant_field(F.col("v"), f"{event}.params")))
+    at = jsonfn.variant_field(F.col("v"), f"{event}.local_time_ms", "variant")
+    return rows.select(
+        "table_name", "event_id", jsonfn.variant_field(F.col("v"), f"{event}.event").alias("event"),
+        jsonfn.variant_field(F.col("v"), f"{event}.local_time_ms", "bigint").alias("local_time_ms"), jsonfn.variant_kind(at).alias("time_kind"),
+        jsonfn.variant_field(F.col("v"), "$.user.user_unique_id").alias("user_unique_id"),
+        jsonfn.variant_field(F.col("v"), "$.user.device_id").alias("device_id"),
+        jsonfn.variant_field(F.col("p"), "$.pay_amount", "decimal(10,2)").alias("pay_amount"),
+        jsonfn.variant_field(F.col("p"), "$.is_ai", "int").alias("is_ai"),
+        jsonfn.variant_field(F.col("p"), "$.page_id").alias("page_id"))
+
+
+def unknown_table_rows(spark, sf_dir):
+    """Dead letters of a run that was given a table outside the registry."""
+    views = events_base(spark, sf_dir).where(F.col("event_type") == "view")
+    tables = {"element_click": driver_table(spark, sf_dir, "element_click"),
+              "promo_view": views.select("event_id", "dt", "user_unique_id", "et", "k")}
+    run = ReportRun(spark, tables, RunConfig(ingest_ms=DEFAULT_INGEST_MS, reject_unknown=True))
+    return run.dead_letters.select("table_name", "dt", "user_masked", "reason")
+
+
+LINE_SOLD = TableSpec("line_sold", "line_sold", ("order_id", "line_no", "quantity", "price", "returned", "ship_mode"), has_et=False,
+                      field_types=(("order_id", "bigint"), ("line_no", "int"), ("quantity", "decimal(12,2)"), ("price", "decimal(12,2)"),
+                                   ("returned", "boolean")))
+
+
+def custom_table_payloads(spark, sf_dir):
+    """A table registered with typed fields, stored by month and read by its registry schema."""
+    ensure_conf(spark)
+    own = Registry()
+    own.register(LINE_SOLD)
+    lines = load(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("event_id"), F.concat(F.lit("part_"), F.col("l_partkey")).alias("user_unique_id"),
+        F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").cast("int").alias("line_no"),
+        F.col("l_quantity").cast("decimal(12,2)").alias("quantity"), F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
+        (F.col("l_returnflag") == "R").alias("returned"), F.nullif(F.col("l_linestatus"), F.lit("O")).alias("ship_mode"),
+        F.date_format("l_shipdate", "yyyy-MM").alias("dt"))
+    path = runner.scratch_path(spark, "line-sold")
+    lines.repartition("dt").write.partitionBy("dt").parquet(path)
+    stored = read_partitioned(spark, path, LINE_SOLD)
+    return transform.payloads_all({"line_sold": stored}, DEFAULT_INGEST_MS, own).select("event_id", "dt", "user_unique_id", "params")
+
+
+QUERIES.update({
+    "partition_count_footers": partition_count_footers,
+    "metrics_observed": metrics_observed,
+    "json_variant_parse": json_variant_parse,
+    "unknown_table_rows": unknown_table_rows,
+    "custom_table_payloads": custom_table_payloads,
+})

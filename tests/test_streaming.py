@@ -60,7 +60,7 @@ def test_stream_rerun_without_new_input_emits_nothing(spark):
 
 
 def test_dedupe_stream_drops_repeats(spark):
-    base = catalog._run(spark, SF).payloads.select("table_name", "dt", "user_unique_id", "local_time_ms",
+    base = catalog._run(spark, SF).payloads.select("table_name", "dt", "user_unique_id", "et", "local_time_ms",
                                                    "params").limit(50)
     path = runner.scratch_path(spark, "dup-src")
     base.unionByName(base).withColumn("ts", F.timestamp_millis("local_time_ms")).write.parquet(path)
