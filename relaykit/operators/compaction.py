@@ -31,6 +31,8 @@ from pyspark.sql import types as T
 from . import status_log as sl
 
 BLOCK_IDS = 1 << 20
+#: Rows of all tables that a block of :func:`block_for` holds, about.
+BLOCK_ROWS = 1 << 20
 PARTITION = ("table_name", "id_block")
 #: Touched partitions that are sent to every task; more are left to the optimiser.
 BROADCAST_PARTITIONS = 100_000
@@ -41,6 +43,16 @@ def id_block(block: int = BLOCK_IDS, col: str = "id") -> Column:
     return F.floor(F.col(col) / F.lit(block)).cast("long")
 
 
+def block_for(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> int:
+    """Ids per block for a table with these rows: as many blocks as ``block_rows``
+    asks for, so files grow in size before they grow in number. The ids' span is
+    taken without the outer twentieths, where a few far ids may lie."""
+    n, ends = rows.agg(F.count("id"), F.percentile_approx("id", [0.05, 0.95], F.lit(1000))).first()
+    if not n:
+        return BLOCK_IDS
+    return max(1, int((ends[1] - ends[0] + 1) / 0.9 / -(-n // block_rows)))
+
+
 class StatusTable:
     """A base table with its status log. ``schema``: the rows' columns, with
     table_name, id, report_status, retry_count, updated_at and error_msg."""

@@ -768,7 +768,7 @@ def status_compacted(spark, sf_dir):
     rows = _tracked(spark, sf_dir).withColumn("updated_at", F.col("updated_at").cast("timestamp")) \
         .withColumn("error_msg", F.lit(None).cast("string"))
     table = compaction.StatusTable(spark, runner.scratch_path(spark, "status"), runner.scratch_path(spark, "status-log"),
-                                   rows.schema, block=1000)
+                                   rows.schema, block=compaction.block_for(rows))
     table.create(rows)
     log = _g1_log(spark, sf_dir)
     for part in (log.where("seq = 1"), log.where("seq > 1")):

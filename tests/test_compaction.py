@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from relaykit.operators import compaction
 from relaykit.operators import status_log as sl
+from relaykit.plans import catalog
 
 T0 = "2024-02-01 00:00:00"
 
@@ -94,3 +95,19 @@ def test_empty_log_and_unfinished_batches(spark, tmp_path):
     n = t.append(change(spark, [3], 1, sl.SUCCESS))
     os.remove(f"{t.log}/batch={n}/_SUCCESS")  # still being written
     assert t.compact() == 0 and t.append(change(spark, [4], 1, sl.SUCCESS)) == n + 1
+
+
+def test_partitions_follow_the_rows_not_the_ids(spark, monkeypatch):
+    for step in (1, 1000, 10 ** 12):
+        ids = spark.range(0, 10_000 * step, step).unionByName(spark.createDataFrame([(-10 ** 17,), (10 ** 17,), (None,)], "id long"))
+        block = compaction.block_for(ids, 1000)
+        sizes = [r["count"] for r in ids.where("id is not null").groupBy(compaction.id_block(block)).count().collect()]
+        assert len(sizes) <= 15 and max(sizes) <= 1500
+    assert compaction.block_for(spark.range(0)) == compaction.BLOCK_IDS
+
+    # the query's table too: five tables, a block of ids each
+    paths, real = {}, catalog.runner.scratch_path
+    monkeypatch.setattr(catalog.runner, "scratch_path", lambda s, name: paths.setdefault(name, real(s, name)))
+    n = catalog.QUERIES["status_compacted"](spark, "/root/testdata/sf0.001").count()
+    found = [d for d, _, names in os.walk(f"{paths['status']}/rows") if any(f.endswith(".parquet") for f in names)]
+    assert n == 1500 and len(found) <= 10
