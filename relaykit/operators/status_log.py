@@ -121,13 +121,13 @@ def batches_of_ids(df: DataFrame, size: int = 20) -> DataFrame:
         F.greatest(F.coalesce(F.max("id"), F.lit(0)), F.lit(0)).cast("long").alias("max_record_id"))
 
 
-def latest_status(log: DataFrame) -> DataFrame:
+def latest_status(log: DataFrame, *within: Column) -> DataFrame:
     """Current state per (table, id): the change with the highest seq (of equal
     ones the latest), the last error recorded (a later change without one
     leaves it), the time of the first change and the number of retry-bumping
-    failures in the log."""
+    failures in the log. ``within``: further keys, such as a session of changes."""
     order = F.struct("seq", "updated_at", "status")
-    return log.groupBy("table_name", "id").agg(
+    return log.groupBy("table_name", "id", *within).agg(
         F.max(order).alias("_last"),
         F.max_by("error_msg", F.when(F.col("error_msg").isNotNull(), order)).alias("error_msg"),
         F.sum(F.when(F.col("bump_retry"), 1).otherwise(0)).cast("int").alias("retry_bumps"),

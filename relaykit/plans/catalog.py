@@ -785,30 +785,36 @@ QUERIES.update({
 # -- outcomes while a run is delivered ---------------------------------------------------
 
 
-def _in_parts(df: DataFrame, time_col: str, path: str, parts: int, delay: str = "0 seconds") -> None:
-    """``df`` as ``parts`` files in the order of time (and an end of the run),
-    as a live log would be written; ``delay`` moves the borders."""
+def _in_parts(df: DataFrame, time_col: str, path: str, parts: int, delay: str = "0 seconds"):
+    """Append ``df`` in ``parts`` parts in the order of time, as a live log would
+    be written; ``delay`` moves the borders. The caller runs between them."""
     t = F.unix_micros(F.col(time_col) - F.expr(f"interval {delay}"))
     low, high = df.agg(F.min(t), F.max(t)).first()
     number = F.least(F.floor((t - low) * parts / (high - low + 1)), F.lit(parts - 1))
     numbered = df.withColumn("_part", F.greatest(number, F.lit(0))).persist()
     for k in range(parts):
-        numbered.where(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(path)
+        numbered.where(F.col("_part") == k).drop("_part").write.mode("append").parquet(path)
+        yield k
     numbered.unpersist()
-    stream_outcomes.end_log(df, time_col, path, "2100-01-01 00:00:00")
 
 
 def stream_record_outcomes(spark, sf_dir):
-    """Record outcomes from members and attempts that arrive in several files each."""
+    """Record outcomes from members and attempts that arrive in three parts each."""
     run = _run(spark, sf_dir, reject_if=_short_id())
     start = F.timestamp_seconds(F.lit(delivery.RUN_START_EPOCH_S) + F.coalesce("request_no", F.lit(0)) * 3)
     members = run.members.withColumn("sent_at", start).select(*stream_outcomes.MEMBER)
     attempts = run.attempts.select(*delivery.REQ, *stream_outcomes.ATTEMPT)
     paths = [runner.scratch_path(spark, n) for n in ("members", "attempts", "outcomes", "outcomes-ckpt")]
-    _in_parts(members, "sent_at", paths[0], 3)
-    _in_parts(attempts, "started_at", paths[1], 3, "2 seconds")
-    streams = [spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(p) for df, p in zip((members, attempts), paths)]
-    stream_outcomes.start_outcome_stream(*streams, paths[2], paths[3], horizon="1 minute").awaitTermination()
+
+    def deliver() -> None:
+        streams = [spark.readStream.schema(df.schema).parquet(p) for df, p in zip((members, attempts), paths)]
+        stream_outcomes.start_outcome_stream(*streams, paths[2], paths[3], horizon="1 minute").awaitTermination()
+
+    for _ in zip(_in_parts(members, "sent_at", paths[0], 3), _in_parts(attempts, "started_at", paths[1], 3, "2 seconds"), strict=True):
+        deliver()
+    for df, col, path in ((members, "sent_at", paths[0]), (attempts, "started_at", paths[1])):
+        stream_outcomes.end_log(df, col, path, "2100-01-01 00:00:00")
+    deliver()
     got = stream_outcomes.read_outcomes(spark, paths[2], run.modes)
     return got.select("table_name", "dt", "event_id", "request_no", "status", "reason", "attempts_used")
 
@@ -821,10 +827,12 @@ QUERIES.update({
 # -- streams over several files ------------------------------------------------------
 
 
-def _appended(rows, path: str, parts) -> None:
-    """``rows`` as one file for each condition of ``parts``, one after the other."""
+def _arrivals(rows, path: str, parts):
+    """Append the rows of each condition of ``parts``, one after the other; the
+    caller runs its stream between them, which takes one arrival as one epoch."""
     for part in parts:
-        rows.where(part).coalesce(1).write.mode("append").parquet(path)
+        rows.where(part).write.mode("append").parquet(path)
+        yield part
 
 
 def _thirds():
@@ -832,14 +840,12 @@ def _thirds():
 
 
 def stream_epochs(spark, sf_dir):
-    """Requests and records of every epoch: a stream that ends after its first
-    file and goes on from its checkpoint when two more have come."""
+    """Requests and records of every epoch: a stream that ends after the first
+    third and goes on from its checkpoint when the next one has come."""
     ev = load(spark, sf_dir, "events")
     src, out, ckpt = (runner.scratch_path(spark, n) for n in ("files-in", "files-out", "files-ckpt"))
-    first, *later = _thirds()
-    for parts in ([first], later):
-        _appended(ev, src, parts)
-        stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    for _ in _arrivals(ev, src, _thirds()):
+        stream = spark.readStream.schema(ev.schema).parquet(src)
         runner.start_report_stream(stream, lambda b: tables_from_events(events_view(b)), out, ckpt,
                                    RunConfig(ingest_ms=DEFAULT_INGEST_MS)).awaitTermination()
     sent = spark.read.parquet(f"{out}/outbox")
@@ -848,25 +854,30 @@ def stream_epochs(spark, sf_dir):
 
 
 def stream_dedupe(spark, sf_dir):
-    """Delivery keys of a stream of three files in which every tenth event comes twice."""
+    """Delivery keys of a stream of three arrivals in which every tenth event comes twice."""
     rows = _replayed(spark, sf_dir).withColumn("day", F.col("dt").cast("timestamp"))
-    src, out = (runner.scratch_path(spark, n) for n in ("keys-in", "keys-out"))
-    _appended(rows, src, [F.col("event_id") % 2 == 1, F.col("event_id") % 4 == 0, F.col("event_id") % 4 == 2])
-    _appended(rows, src, [F.col("event_id") % 10 == 3])  # and once more, in an epoch of their own
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    q = (runner.dedupe_stream(stream, "day", "1000 days").select("table_name", "dt", "delivery_key").writeStream.outputMode("append")
-         .option("checkpointLocation", runner.scratch_path(spark, "keys-ckpt")).trigger(availableNow=True).start(out, format="parquet"))
-    q.awaitTermination()
+    src, out, ckpt = (runner.scratch_path(spark, n) for n in ("keys-in", "keys-out", "keys-ckpt"))
+    again = F.col("event_id") % 10 == 3  # once more, in an epoch of their own
+    for _ in _arrivals(rows, src, [F.col("event_id") % 2 == 1, F.col("event_id") % 4 == 0, F.col("event_id") % 4 == 2, again]):
+        stream = spark.readStream.schema(rows.schema).parquet(src)
+        with runner.state_on_disk(spark):
+            q = (runner.dedupe_stream(stream, "day", "1000 days").select("table_name", "dt", "delivery_key").writeStream.outputMode("append")
+                 .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out, format="parquet"))
+        q.awaitTermination()
     return spark.read.schema("table_name string, dt string, delivery_key string").parquet(out)
 
 
 def _status_stream(spark, log, parts, end: str) -> str:
-    """The status log streamed a file at a time; the folder of what it yields."""
-    src, out = (runner.scratch_path(spark, n) for n in ("status-in", "status-out"))
-    _appended(log, src, parts)
+    """The status log streamed an arrival at a time; the folder of what it yields."""
+    src, out, ckpt = (runner.scratch_path(spark, n) for n in ("status-in", "status-out", "status-ckpt"))
+
+    def run() -> None:
+        stream_status.start_status_stream(spark.readStream.schema(log.schema).parquet(src), out, ckpt).awaitTermination()
+
+    for _ in _arrivals(log, src, parts):
+        run()
     stream_status.end_changes(log, src, end)
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    stream_status.start_status_stream(stream, out, runner.scratch_path(spark, "status-ckpt")).awaitTermination()
+    run()
     return out
 
 

@@ -1,98 +1,53 @@
 """Latest status and stuck records of a streamed status log.
 
-Each record (table_name, id) has one keyed state: its latest change by the order
-of :func:`status_log.latest_status`, the last error recorded, the retry bumps and
-the time of the first change. A change yields the record as it stands then. While
-a record is in process, a timer stands at the time of its last change plus
-``older_than``; when the watermark passes it and nothing newer has come, the
-record leaves as stale.
+Each record (table_name, id) has two keyed states, both of Spark's own streaming
+aggregations. The first is the record as :func:`status_log.latest_status` gives
+it; an epoch yields the records that it changed. The second is its timer: a
+session of changes that ends ``older_than`` after the last one. When the
+watermark passes that end and no change has come, the session leaves the state;
+if its last change is in process, the record leaves as stale.
 
 An epoch writes what it yields, a replayed one replaces its own; :func:`read_latest`
-and :func:`read_stale` read the newest row of each record. Changes later than
-``watermark`` behind the newest are left out by Spark. A stream without new rows
-does not move its watermark, so a run ends with a row of its own
+and :func:`read_stale` read the newest row of each record. A change that comes
+when its session's end has been passed by the watermark (``watermark`` behind the
+newest change) starts no timer, but counts in the latest status. A stream
+without new rows does not move its watermark, so a run ends with a row of its own
 (:func:`end_changes`). The state is kept by the RocksDB store, on disk, since it
 holds a row for each record of the log.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import status_log as sl
+from .runner import PROVIDER, ROCKSDB, state_on_disk  # noqa: F401
 
 LATEST, STALE = "latest", "stale"
-#: Stands for a null seq, time or status, below all that are set.
-UNSET = -(1 << 31)
 #: table_name of the row that ends a run; no table has this name.
 END = "\u0003end"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-STATE = T.StructType([T.StructField(n, t) for n, t in (
-    ("seq", T.LongType()), ("at", T.LongType()), ("status", T.IntegerType()), ("error_seq", T.LongType()), ("error_at", T.LongType()),
-    ("error_status", T.IntegerType()), ("error_msg", T.StringType()), ("retry_bumps", T.IntegerType()), ("first_at", T.LongType()))])
 YIELDED = T.StructType([T.StructField(n, t) for n, t in (
-    ("table_name", T.StringType()), ("id", T.LongType()), ("kind", T.StringType()), ("seq", T.LongType()), ("at", T.LongType()),
-    ("status", T.IntegerType()), ("error_msg", T.StringType()), ("retry_bumps", T.IntegerType()), ("first_at", T.LongType()))])
-
-
-class LatestStatus(StatefulProcessor):
-    """State and timer of one record; times are microseconds since 1970."""
-
-    def __init__(self, older_than_us: int):
-        self.older_than_us = older_than_us
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("record", STATE)
-
-    def _row(self, key, kind: str, s) -> pd.DataFrame:
-        seq, at, status, *_, error, bumps, first = s
-        return pd.DataFrame([(*key, kind, seq, at, status, error, bumps, first)], columns=YIELDED.names).astype({"id": "Int64"})
-
-    def _due(self, at: int) -> int:
-        return (at + self.older_than_us) // 1000
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        old = self.state.get() if self.state.exists() else None
-        last, last_error, bumps, first = None, None, 0, None
-        if old is not None:
-            last, last_error = tuple(old[:3]), ((*old[3:6], old[6]) if old[6] is not None else None)
-            bumps, first = old[7], old[8]
-        was = last
-        for part in rows:
-            for seq, at, status, error, bump in zip(part["seq"].tolist(), part["at"].tolist(), part["status"].tolist(),
-                                                    part["error_msg"].tolist(), part["bump"].tolist()):
-                change = (seq, at, status)
-                last = change if last is None else max(last, change)
-                if isinstance(error, str) and (last_error is None or change >= last_error[:3]):
-                    last_error = (*change, error)
-                bumps += bump
-                if at != UNSET:
-                    first = at if first in (None, UNSET) else min(first, at)
-        new = (*last, *(last_error or (UNSET, UNSET, UNSET, None)), bumps, UNSET if first is None else first)
-        self.state.update(new)
-        if was is not None and was[2] == sl.PROCESSING and was[1] != UNSET and was != last:
-            self.handle.deleteTimer(self._due(was[1]))
-        if last[2] == sl.PROCESSING and last[1] != UNSET and was != last:
-            self.handle.registerTimer(self._due(last[1]))
-        yield self._row(key, LATEST, new)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        s = tuple(self.state.get())
-        if s[2] == sl.PROCESSING:
-            yield self._row(key, STALE, s)
-
-    def close(self) -> None:
-        pass
+    ("table_name", T.StringType()), ("id", T.LongType()), ("seq", T.LongType()), ("status", T.IntegerType()),
+    ("error_msg", T.StringType()), ("updated_at", T.TimestampType()), ("retry_bumps", T.IntegerType()), ("first_at", T.TimestampType()))])
+
+
+class StatusStream:
+    """The two running queries: latest rows and timers."""
+
+    def __init__(self, *queries: StreamingQuery):
+        self.queries = queries
+
+    def awaitTermination(self) -> None:
+        for q in self.queries:
+            q.awaitTermination()
+
+    def stop(self) -> None:
+        for q in self.queries:
+            q.stop()
 
 
 def end_changes(log: DataFrame, path: str, at: str) -> None:
@@ -102,45 +57,38 @@ def end_changes(log: DataFrame, path: str, at: str) -> None:
     row.write.mode("append").parquet(path)
 
 
-def latest_changes(log: DataFrame, older_than_s: int = 3600, watermark: str = "10 minutes") -> DataFrame:
-    """Rows of kind ``latest`` and ``stale`` (:data:`YIELDED`) of a stream of changes."""
-    unset = F.lit(UNSET).cast("long")
-    rows = log.withWatermark("updated_at", watermark).select(
-        "table_name", "id", "updated_at", F.coalesce("seq", unset).alias("seq"), F.coalesce(F.unix_micros("updated_at"), unset).alias("at"),
-        F.coalesce("status", F.lit(UNSET)).alias("status"), "error_msg", F.coalesce("bump_retry", F.lit(False)).cast("int").alias("bump"))
-    return rows.groupBy("table_name", "id").transformWithStateInPandas(
-        LatestStatus(older_than_s * 1_000_000), YIELDED, outputMode="Update", timeMode="EventTime")
+def latest_changes(log: DataFrame) -> DataFrame:
+    """Records that changed, as they stand then (:data:`YIELDED`), of a stream of changes."""
+    return sl.latest_status(log)
+
+
+def expired_timers(log: DataFrame, older_than_s: int = 3600, watermark: str = "10 minutes") -> DataFrame:
+    """Records (:data:`YIELDED`) in process whose last change the watermark has left behind by ``older_than_s``."""
+    session = F.session_window("updated_at", f"{older_than_s} seconds")
+    return sl.latest_status(log.withWatermark("updated_at", watermark), session).where(F.col("status") == sl.PROCESSING)
 
 
 def start_status_stream(log: DataFrame, out_path: str, checkpoint: str, older_than_s: int = 3600, watermark: str = "10 minutes",
-                        available_now: bool = True) -> StreamingQuery:
-    """Write :func:`latest_changes` under ``out_path`` by epoch."""
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        (batch.where(F.col("table_name").isNull() | (F.col("table_name") != END)).withColumn("epoch", F.lit(int(epoch_id)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(out_path))
-
-    spark = log.sparkSession
-    w = (latest_changes(log, older_than_s, watermark).writeStream.outputMode("update").foreachBatch(write)
-         .option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)  # a query keeps the store that it starts with
-    try:
-        return w.start()
-    finally:
-        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+                        available_now: bool = True) -> StatusStream:
+    """Write :func:`latest_changes` and :func:`expired_timers` under ``out_path`` by kind and epoch."""
+    def start(rows: DataFrame, kind: str, mode: str) -> StreamingQuery:
+        def write(batch: DataFrame, epoch_id: int) -> None:
+            (batch.where(F.col("table_name").isNull() | (F.col("table_name") != END)).withColumn("epoch", F.lit(int(epoch_id)))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(f"{out_path}/kind={kind}"))
 
+        w = rows.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{checkpoint}/{kind}")
+        return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")).start()
 
-def _newest(spark: SparkSession, out_path: str, kind: str) -> DataFrame:
-    got = spark.read.schema(T.StructType([*YIELDED, T.StructField("epoch", T.LongType())])).parquet(out_path).where(F.col("kind") == kind)
-    fields = [c for c in YIELDED.names if c not in ("table_name", "id", "kind")]
-    last = got.groupBy("table_name", "id").agg(F.max_by(F.struct(*fields), F.struct("seq", "at", "status", "epoch")).alias("_r"))
+    with state_on_disk(log.sparkSession):
+        return StatusStream(start(latest_changes(log), LATEST, "update"), start(expired_timers(log, older_than_s, watermark), STALE, "append"))
 
-    def known(name: str):
-        return F.when(F.col(f"_r.{name}") != UNSET, F.col(f"_r.{name}"))
-    return last.select("table_name", "id", known("seq").alias("seq"), known("status").alias("status"), F.col("_r.error_msg").alias("error_msg"),
-                       F.timestamp_micros(known("at")).alias("updated_at"), F.col("_r.retry_bumps").alias("retry_bumps"),
-                       F.timestamp_micros(known("first_at")).alias("first_at"))
+
+def _newest(spark: SparkSession, out_path: str, kind: str) -> DataFrame:
+    schema = T.StructType([*YIELDED, T.StructField("kind", T.StringType()), T.StructField("epoch", T.LongType())])
+    got = spark.read.schema(schema).parquet(out_path).where(F.col("kind") == kind)
+    fields = [c for c in YIELDED.names if c not in ("table_name", "id")]
+    last = got.groupBy("table_name", "id").agg(F.max_by(F.struct(*fields), F.struct("seq", "updated_at", "status", "epoch")).alias("_r"))
+    return last.select("table_name", "id", "_r.*")
 
 
 def read_latest(spark: SparkSession, out_path: str) -> DataFrame:
@@ -150,7 +98,8 @@ def read_latest(spark: SparkSession, out_path: str) -> DataFrame:
 
 def read_stale(spark: SparkSession, out_path: str) -> DataFrame:
     """Records whose timer ran out and that have no change since."""
-    stale, now = _newest(spark, out_path, STALE), read_latest(spark, out_path).select("table_name", "id", F.col("seq").alias("_seq"), F.col("status").alias("_now"))
-    same = F.col("_s.table_name").eqNullSafe(F.col("_n.table_name")) & F.col("_s.id").eqNullSafe(F.col("_n.id"))
-    met = stale.alias("_s").join(now.alias("_n"), same & F.col("_seq").eqNullSafe(F.col("seq")) & (F.col("_now") == sl.PROCESSING))
-    return met.select("_s.*")
+    ran_out, now = _newest(spark, out_path, STALE).alias("_s"), read_latest(spark, out_path).where(F.col("status") == sl.PROCESSING).alias("_n")
+    same = F.lit(True)
+    for c in ("table_name", "id", "seq", "updated_at"):
+        same = same & F.col(f"_n.{c}").eqNullSafe(F.col(f"_s.{c}"))
+    return now.join(ran_out, same, "left_semi")

@@ -63,3 +63,19 @@ def test_a_record_that_goes_on_is_no_longer_stale(spark):
     assert (1, "stale") in kinds                          # its timer ran out when the watermark passed
     assert st.read_stale(spark, out).collect() == []      # but it went on since
     assert spark.conf.get(st.PROVIDER) != st.ROCKSDB      # the caller's setting is back
+
+
+def test_timers_are_sessions_of_spark_and_rows_leave_no_python(spark, tmp_path):
+    log = spark.createDataFrame([], sl.STATUS_LOG_SCHEMA)
+    log.write.parquet(str(tmp_path / "log"))
+    stream = spark.readStream.schema(log.schema).parquet(str(tmp_path / "log"))
+    for df in (st.latest_changes(stream), st.expired_timers(stream)):
+        assert "InPandas" not in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_repeated_seq_starts_its_timer_anew(spark):
+    epochs = [[("a", 1, 1, 1, None, _at(0), False), ("a", 2, 1, 1, None, _at(0), False)],
+              [("a", 1, 1, 1, None, _at(200), False), ("b", 9, None, 2, None, _at(200), False)], [("a", 7, 1, 1, None, _at(201), False)]]
+    _, out = _stream(spark, epochs, "2024-02-01 03:30:00")
+    assert {r.id for r in st.read_stale(spark, out).collect()} == {2}  # the watermark ends at 03:20
+    assert {(r.id, r.updated_at) for r in st.read_latest(spark, out).collect()} >= {(1, _at(200)), (2, _at(0)), (7, _at(201))}
