@@ -1,3 +1,5 @@
+import os
+
 from pyspark.sql import functions as F
 
 from relaykit.plans import catalog
@@ -86,3 +88,32 @@ def test_stream_writes_dead_letters_and_results(spark):
     dl_schema = ("run_id string, table_name string, dt string, user_masked string, reason string, "
                  "record_json string, record_json_raw string, epoch int")
     assert spark.read.schema(dl_schema).parquet(f"{out}/dead_letters").count() == 0
+
+
+def _files(path):
+    return {f for f in os.listdir(path) if f.endswith(".parquet")}
+
+
+def test_an_arrival_is_written_by_every_task(spark, tmp_path):
+    rows, at = spark.range(0, 4000, 1, 4), str(tmp_path / "rows")
+    found = [_files(at) for _ in catalog._arrivals(rows, at, [F.col("id") % 2 == 0, F.col("id") % 2 == 1])]
+    assert [len(f) for f in found] == [4, 8]
+    assert sorted(r.id for r in spark.read.parquet(at).collect()) == list(range(4000))
+
+
+def test_parts_in_the_order_of_time_are_written_by_every_task(spark, tmp_path):
+    rows, at = spark.range(0, 3000, 1, 6).withColumn("at", F.timestamp_seconds("id")), str(tmp_path / "rows")
+    before, tops = set(), []
+    for _ in catalog._in_parts(rows, "at", at, 3):
+        new, before = _files(at) - before, _files(at)
+        assert len(new) >= 2
+        tops.append(spark.read.parquet(at).agg(F.max("id")).first()[0])
+    assert tops == [999, 1999, 2999] and spark.read.parquet(at).count() == 3000
+
+
+def test_a_stream_of_several_files_dedupes_by_arrival(spark, monkeypatch):
+    paths, real = {}, runner.scratch_path
+    monkeypatch.setattr(runner, "scratch_path", lambda s, name: paths.setdefault(name, real(s, name)))
+    got = catalog.QUERIES["stream_dedupe"](spark, SF)
+    assert got.count() == got.distinct().count() == 1000
+    assert len(_files(paths["keys-in"])) > 4  # four arrivals
