@@ -15,7 +15,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from relaykit.llm import (chat_format, jaccard_join, multi_index, packing, quality_model, quality_rules, queries,
+from relaykit.llm import (chat_format, jaccard_join, multi_index, packing, quality_model, quality_rules, queries, shared,
                           source_mix, suffix_dedup, url_filter, warc)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -90,6 +90,27 @@ def test_jaccard_join_null_id_and_empty(spark, docs):
     assert jaccard_join.jaccard_components(empty(docs)).collect() == []
 
 
+def test_components_steps_write_few_files(spark, monkeypatch):
+    real, files = shared.saved, []
+    monkeypatch.setattr(shared, "saved", lambda df: [out := real(df), files.append(out.rdd.getNumPartitions())][0])
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        edges = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(i, 1000 - i) for i in range(400, 450)], "a long, b long")
+        got = {r.node: r.root for r in shared.connected_components(edges).collect()}
+        assert max(files[1:]) <= shared.LEAST_FILES
+        monkeypatch.setattr(shared, "EDGES", 4)  # more edges, more files
+        files.clear()
+        again = {r.node: r.root for r in shared.connected_components(edges).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert files[1] == 20
+    assert got == again == {i: 0 for i in range(31)} | {i: min(i, 1000 - i) for i in [*range(400, 450), *range(551, 601)]}
+
+
 def test_divide_skip_equals_counting():
     rng = np.random.default_rng(1)
     for _ in range(50):
