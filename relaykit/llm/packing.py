@@ -39,6 +39,8 @@ SALTS = 64
 
 #: From here on, letters and case may differ between Unicode versions.
 _PLAIN = "\u0250"
+#: Marks that are words of their own after a letter; not ', which opens 's and 't.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -54,7 +56,8 @@ class _Ids(dict):
 
     The tokenizer's words never go over white space, so a text's ids are those
     of its words, one after the other. A word of plain lower-case letters is a
-    tokenizer's word as it stands and goes to its model at once."""
+    tokenizer's word as it stands and goes to its model at once; marks after a
+    letter are a word apart."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -75,10 +78,11 @@ class _Ids(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= WORDS:
             self.clear()
+        stem = word.rstrip(_MARKS)
         if not word:
             ids = b""
-        elif word[-1] in ".," and word[-2:-1].isalpha() and word[-2] < _PLAIN:
-            ids = self[word[:-1]] + self[word[-1]]
+        elif len(stem) < len(word) and stem[-1:].isalpha() and stem[-1] < _PLAIN:
+            ids = self[stem] + self[word[len(stem):]]
         elif word.isalpha() and max(word) < _PLAIN and word == word.lower():  # composed as it stands
             if not word.isascii():
                 word_ = word.encode().decode("latin-1").translate(self.letters)

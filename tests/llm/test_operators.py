@@ -280,6 +280,29 @@ def test_token_ids_equal_the_tokenizers(text):
     assert np.frombuffer(ids.text(text), "<u4").tolist() == Tokenizer.from_file(queries.TOKENIZER).encode(text, add_special_tokens=False).ids
 
 
+def test_token_ids_of_marks_after_letters():
+    from tokenizers import Tokenizer
+    encode = Tokenizer.from_file(queries.TOKENIZER).encode
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    ends = marks + [a + b for a in marks for b in marks if a + b != "<|"] + ["***", "...", "&&&", ".'s", "'s.", "',", ".\u0338", "<\u0338"]
+    for stem in ["en", "\u00e9t\u00e9", "x.y", "a1", "7", "e\u0301", "\u00aa", "\u03c3", "it's", "don't", ""]:
+        text = " ".join(stem + end for end in ends)
+        assert np.frombuffer(packing._Ids(queries.TOKENIZER).text(text), "<u4").tolist() == encode(text, add_special_tokens=False).ids, stem
+
+
+def test_marks_after_letters_are_looked_up_once():
+    ids, asked = packing._Ids(queries.TOKENIZER), []
+
+    class Asked:
+        def encode(self, text, **how):
+            asked.append(text)
+            return whole.encode(text, **how)
+
+    whole, ids.tokenizer = ids.tokenizer, Asked()
+    ids.text(" ".join(f"{word}{end}" for word in ("one", "two", "three") for end in ("***", "&&&", "...", "!")))
+    assert sorted(asked) == ["!", "&&&", "***", "..."]
+
+
 def test_plan_uses_every_piece_once():
     rng = random.Random(1)
     for _ in range(20):
