@@ -355,6 +355,22 @@ def test_quality_rules_buckets_grow_with_the_corpus(spark, docs, monkeypatch):
     assert parted == whole
 
 
+def test_quality_rules_count_in_few_tasks(spark, docs, monkeypatch):
+    """Each counting task sends a row per bucket, so small partitions are taken together."""
+    trust = spark.createDataFrame([(0,), (2,), (11,)], "doc_id long")
+    plans, kept = [], quality_rules.stored
+    monkeypatch.setattr(quality_rules, "stored", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or kept(df))
+    cores = spark.sparkContext.defaultParallelism
+    many = docs.repartition(8 * cores)
+    few = sorted(quality_rules.model_of(many, trust, 5000).collect())
+    assert f"Repartition {cores}, false" in plans[-1]
+    size = quality_rules.text_size(many)
+    monkeypatch.setattr(quality_rules, "TASK_TEXT", size // (3 * cores))  # as much text as three tasks a core take
+    assert sorted(quality_rules.model_of(many, trust, 5000).collect()) == few
+    assert f"Repartition {3 * cores}, false" in plans[-1]
+    assert quality_rules.text_size(empty(docs)) == 0
+
+
 def spark_hash(value, seed=42):
     """xxhash64 of a text or a long, as Spark computes it."""
     h = xxhash.xxh64_intdigest(value.encode() if isinstance(value, str) else struct.pack("<q", value), seed)
