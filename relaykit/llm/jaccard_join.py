@@ -18,6 +18,11 @@ guessed:
    has few of those, else its whole content is the key. A key that many nodes of
    a map task share folds to a few rows before the shuffle, and its nodes become
    candidates through the least of them, so a hot group emits no pairs.
+   Passages that many texts share chain texts which are not similar. A cluster
+   that would have to be cut is therefore looked at again, by prefixes: linked
+   sets share one of their rarest shingles, of which each set emits as many as it
+   may have more than its partner, plus one. Its candidates are the keys' nodes,
+   as above, and their components take the cluster's place.
 3. *T-occurrence search.* The sets of a candidate cluster meet by pairs of bins,
    in one task or, when they are many, in tasks for pairs of blocks of them. There the sets
    are indexed by shingle and each set is a query: its longest lists are set
@@ -46,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import connected_components, mix, saved, shingle_sets, slices, small, text_bytes
+from .shared import BROADCAST_ROWS, connected_components, mix, saved, shingle_sets, slices, small, text_bytes
 
 #: Weight of a probe against a merge step in the choice of long lists.
 MU = 0.0085
@@ -54,18 +59,23 @@ MU = 0.0085
 CLUSTER_SHINGLES = 2_000_000
 #: Most shingles that are left out of the blocks as frequent (8 bytes each).
 HOT_MOST = 200_000
+#: Most shingles that are put last in the order of a large cluster (12 bytes each).
+OFTEN_MOST = 2_000_000
 #: A shingle is frequent when a map task finds it in this share of its texts.
 HOT_SHARE, HOT_LEAST = 0.001, 8
 
 #: Nodes of one key that are paired to be held against their sketches; a key of
 #: more nodes links them all to the least, unchecked.
 FEW = 12
-#: Nodes with their seats that may be broadcast (about 100 bytes each).
+#: Nodes with their seats that may be broadcast (about 100 bytes each); of more
+#: nodes the ids are, so that only texts of candidates are shuffled.
 FEW_NODES = 200_000
 #: Most bits of a sketch. Any size keeps every link; more bits part more.
 SKETCH_BITS = 1 << 15
 
-_KEY = np.dtype([("low", "<u4"), ("high", "u1"), ("node", "<u4")])
+#: Of a part of up to SHORT nodes, and of a larger one.
+_KEYS = [np.dtype([("low", "<u4"), ("high", "u1"), ("node", kind)]) for kind in ("<u2", "<u4")]
+SHORT = 1 << 16
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -144,6 +154,22 @@ def block_keys(sets: np.ndarray, count: np.ndarray, hot: np.ndarray, num: int, d
     return np.concatenate(owners), np.concatenate(keys).view(np.int64)
 
 
+def prefix_keys(sets: np.ndarray, count: np.ndarray, often: np.ndarray, rank: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text index, key) of the first n - ceil(t * n) + 1 shingles of each set, in
+    an order of all shingles: those in ``often`` (ascending) are last, by their
+    ``rank``. Linked sets share t * n shingles of either, so one of these."""
+    doc = np.repeat(np.arange(len(count)), count)
+    key = mix(sets * _A + _B)
+    order = key >> np.uint64(13)
+    if len(often):
+        at = np.minimum(np.searchsorted(often, sets), len(often) - 1)
+        order = np.where(often[at] == sets, np.uint64(1 << 51) + rank[at].astype(np.uint64), order)
+    turn = np.argsort((doc.astype(np.uint64) << np.uint64(52)) | order, kind="stable")
+    place = np.arange(len(sets)) - np.repeat(np.cumsum(count) - count, count)
+    turn = turn[place < np.repeat(count + num * -count // den + 1, count)]
+    return doc[turn], key[turn].view(np.int64)
+
+
 def _runs(x: np.ndarray) -> np.ndarray:
     """Start of each run of equal values, and the end."""
     return np.concatenate(([0], np.flatnonzero(x[1:] != x[:-1]) + 1, [len(x)])) if len(x) else np.zeros(1, np.int64)
@@ -323,6 +349,55 @@ def search(sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray, upper:
     return np.array([top(i) for i in range(n)]), links
 
 
+def with_texts(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """The texts of ``nodes`` by their least id. Texts do not move while the nodes
+    are few; then only those of nodes do, or all of them once."""
+    rows = texts.withColumnRenamed("doc_id", "low")
+    if nodes.limit(FEW_NODES + 1).count() <= FEW_NODES:
+        return F.broadcast(nodes).join(rows, "low")
+    ids = nodes.select("low")
+    if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        rows = rows.join(F.broadcast(ids), "low", "left_semi")
+    return nodes.join(rows, "low")
+
+
+def parted(inner: DataFrame, texts: DataFrame, candidates, shingle: int, num: int, den: int, lower: bool) -> DataFrame:
+    """(node, root) of the components of candidates by prefixes among the nodes of
+    ``inner``; a node without candidates is not in it."""
+    mine = with_texts(inner.where(F.col("low").isNotNull()).select("node", "low"), texts).select("low", "text", "node")
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = []
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(1))
+            for i, j in slices(offsets):
+                seen.append(shingle_sets(data, offsets[i:j + 1], shingle, lower)[0])
+                if sum(map(len, seen)) > 2_000_000:
+                    value, times = np.unique(np.concatenate(seen), return_counts=True)
+                    yield _table(shingle=value.view(np.int64), n=times)
+                    seen = []
+        if seen:
+            value, times = np.unique(np.concatenate(seen), return_counts=True)
+            yield _table(shingle=value.view(np.int64), n=times)
+
+    # a bounded set, as any order keeps the links; the rarer a prefix, the fewer candidates
+    found = saved(mine.mapInArrow(tally, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") > FEW))
+    least, total = FEW + 1, 0
+    for r in found.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
+        total += r["count"]
+        if total > OFTEN_MOST:
+            least = r["n"] + 1
+            break
+    got = found.where(F.col("n") >= least).toArrow()
+    value, times = (got.column(k).to_numpy() for k in (0, 1))
+    value = value.view(np.uint64)
+    rank = np.empty(len(value), np.int32)
+    rank[np.lexsort((value, times))] = np.arange(len(value))
+    turn = np.argsort(value)
+    sent = inner.sparkSession.sparkContext.broadcast((value[turn], rank[turn]))
+    return connected_components(candidates(mine, lambda sets, count: prefix_keys(sets, count, *sent.value, num, den)))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                        num: int = 90, den: int = 100, lower: bool = True) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links, set_id) per row of ``docs``.
@@ -366,26 +441,34 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins, nodes, keys = block_counts(num, den), [], []
-        size = 0
-        for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            for i, j in slices(offsets):
-                sets, count = shingle_sets(data, offsets[i:j + 1], shingle, lower)
-                own, key = block_keys(sets, count, sent.value, num, den, bins)
-                nodes.append(set_keys(sets, count)[own])
-                keys.append(key)
-                size += len(key)
-                if size > 2_000_000:
-                    yield from fold(nodes, keys)
-                    nodes, keys, size = [], [], 0
-        if keys:
-            yield from fold(nodes, keys)
+    def keyed(keys_of):
+        """Folded keys of the texts in the second column; of texts with a third
+        column only those whose set is the node there."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            nodes, keys, size = [], [], 0
+            for batch in batches:
+                data, offsets = text_bytes(batch.column(1))
+                for i, j in slices(offsets):
+                    sets, count = shingle_sets(data, offsets[i:j + 1], shingle, lower)
+                    own, key = keys_of(sets, count)
+                    name = set_keys(sets, count)
+                    if batch.num_columns > 2:
+                        same = (name == batch.column(2).to_numpy()[i:j])[own]
+                        own, key = own[same], key[same]
+                    nodes.append(name[own])
+                    keys.append(key)
+                    size += len(key)
+                    if size > 2_000_000:
+                        yield from fold(nodes, keys)
+                        nodes, keys, size = [], [], 0
+            if size:
+                yield from fold(nodes, keys)
+
+        return run
 
     def fold(nodes, keys) -> Iterator[pa.RecordBatch]:
-        """A task's keys by bucket, in 9 bytes each: the key's low 40 bits and
-        the number of its node in the task's list. Keys that fall together only
+        """A task's keys by bucket, in 7 bytes each, 9 in a part of very many
+        nodes: the key's low 40 bits and the number of its node in the part's list. Keys that fall together only
         add candidates. Of a key of many nodes one more than ``FEW`` is sent, the
         rest is linked to the least here."""
         key, node, rank, _, least = _groups(np.concatenate(keys), np.concatenate(nodes))
@@ -400,7 +483,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         for k in np.flatnonzero(ends[1:] > ends[:-1]).tolist():
             part = slice(ends[k], ends[k + 1])
             mine, at = np.unique(number[part], return_inverse=True)
-            packed = np.empty(len(at), _KEY)
+            packed = np.empty(len(at), _KEYS[len(mine) > SHORT])
             packed["low"], packed["high"], packed["node"] = key[part], (key[part] >> 32) & 255, at
             yield pa.RecordBatch.from_pydict({"bucket": pa.array([k], pa.int32()), "nodes": [names[mine].tobytes()], "keys": [packed.tobytes()]})
         if len(star):  # links found within the task need no key any more
@@ -415,7 +498,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 if packed is None:
                     stars.append(got.reshape(-1, 2))
                     continue
-                packed = np.frombuffer(packed, _KEY)
+                packed = np.frombuffer(packed, _KEYS[len(got) > SHORT])
                 keys.append(packed["low"].astype(np.int64) | (packed["high"].astype(np.int64) << 32) | (bucket << 40))
                 nodes.append(got[packed["node"]])
         if keys:
@@ -430,35 +513,53 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            n_a, n_b = batch.column(2).to_numpy(), batch.column(4).to_numpy()
+            # a long sketch that is folded to a short one says little
+            batch = batch.filter(pa.array(np.minimum(n_a, n_b) * den >= np.maximum(n_a, n_b) * num))
             total = (batch.column(2).to_numpy() + batch.column(4).to_numpy()) * (den - num) // (den + num)
             on = [may_link(x.as_py(), y.as_py(), most) for x, y, most in zip(batch.column(3), batch.column(5), total.tolist(), strict=True)]
             yield batch.select([0, 1]).filter(pa.array(on, pa.bool_()))
 
-    met = saved(texts.mapInArrow(keyed, "bucket int, nodes binary, keys binary").repartition(buckets, "bucket")
-                .mapInArrow(meet, "a long, b long, sure boolean"))
     sketch = told.where("kind = 0 and n > 0").groupBy("set_id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     held = [sketch.select(F.col("set_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}")) for c in "ab"]
-    checked = (met.where("not sure").select("a", "b").distinct().join(held[0], "a").join(held[1], "b")
-               .select("a", "b", "n_a", "s_a", "n_b", "s_b").mapInArrow(near, "a long, b long"))
-    edges = checked.unionByName(met.where("sure").select("a", "b"))
+
+    def candidates(rows: DataFrame, keys_of) -> DataFrame:
+        met = saved(rows.mapInArrow(keyed(keys_of), "bucket int, nodes binary, keys binary").repartition(buckets, "bucket")
+                    .mapInArrow(meet, "a long, b long, sure boolean"))
+        checked = (met.where("not sure").select("a", "b").distinct().join(held[0], "a").join(held[1], "b")
+                   .select("a", "b", "n_a", "s_a", "n_b", "s_b").mapInArrow(near, "a long, b long"))
+        return checked.unionByName(met.where("sure").select("a", "b"))
+
+    bins = block_counts(num, den)
+    edges = candidates(texts, lambda sets, count: block_keys(sets, count, sent.value, num, den, bins))
     cluster = saved(connected_components(edges).join(classes, F.col("node") == F.col("set_id"))
                     .select("node", "root", "low", "copies", "n"))
 
     # a cluster is cut by pairs of size bins (a set sits in its own bin's group
     # and in that of the bin below), a large group in blocks; a pair of blocks is a task
-    lows = F.array(*[F.lit(int(x)) for x in block_counts(num, den)[0]])
+    lows = F.array(*[F.lit(int(x)) for x in bins[0]])
     home = F.size(F.filter(lows, lambda x: x <= F.col("n"))) - 1
-    seats = (cluster.where(F.col("low").isNotNull()).withColumn("home", home)
-             .select("*", F.explode(F.array("home", F.col("home") - 1)).alias("bin")).where("bin >= 0"))
     upper = F.col("home") != F.col("bin")
     parts = F.ceil(F.sum("n") * 2 / F.lit(CLUSTER_SHINGLES)).cast("int")
-    groups = (seats.groupBy("root", "bin").agg(F.when(parts <= 2, 1).otherwise(parts).alias("parts"), F.count(F.lit(1)).alias("sets"),
-                                               F.sum((~upper).cast("int")).alias("own")).where("sets >= 2 and own >= 1").drop("sets", "own"))
+
+    def seats_of(cluster: DataFrame) -> tuple[DataFrame, DataFrame]:
+        seats = (cluster.where(F.col("low").isNotNull()).withColumn("home", home)
+                 .select("*", F.explode(F.array("home", F.col("home") - 1)).alias("bin")).where("bin >= 0"))
+        return seats, seats.groupBy("root", "bin").agg(
+            F.when(parts <= 2, 1).otherwise(parts).alias("parts"), F.count(F.lit(1)).alias("sets"),
+            F.sum((~upper).cast("int")).alias("own")).where("sets >= 2 and own >= 1").drop("sets", "own")
+
+    large = seats_of(cluster)[1].where("parts > 1").select("root").distinct()
+    inner = cluster.join(small(large), "root")
+    if not inner.isEmpty():  # each set goes to as many tasks as its group has parts
+        now = parted(inner, texts, candidates, shingle, num, den, lower).select("node", F.col("root").alias("now"))
+        cluster = saved(cluster.join(small(large.withColumn("cut", F.lit(True))), "root", "left").join(now, "node", "left")
+                        .select("node", F.when(F.col("cut"), F.coalesce("now", "node")).otherwise(F.col("root")).alias("root"), "low", "copies", "n"))
+    seats, groups = seats_of(cluster)
     seated = seats.join(groups, ["root", "bin"]).select("node", "low", "copies", F.struct(
         "root", "bin", upper.alias("upper"), F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), "parts").alias("seat"))
     per_node = seated.groupBy("node", "low", "copies").agg(F.collect_list("seat").alias("seats"))  # two at most
-    # texts move once, or not at all while the nodes are few
-    texts_of = small(per_node, FEW_NODES).join(texts.withColumnRenamed("doc_id", "low"), "low").select("node", "copies", "seats", "text")
+    texts_of = with_texts(per_node, texts).select("node", "copies", "seats", "text")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -83,6 +83,40 @@ def test_jaccard_join(spark, docs, k, num, monkeypatch):
     assert sorted(tuple(r)[:4] for r in got.collect()) == components(rows, k, num)
 
 
+def test_jaccard_join_parts_what_only_shares_passages(spark, docs, monkeypatch):
+    """A cluster too large for one task is no longer dealt whole while only its
+    passages are shared; copies of different lengths do not hold it together."""
+    monkeypatch.setattr(jaccard_join, "CLUSTER_SHINGLES", 2_000)
+    monkeypatch.setattr(jaccard_join, "HOT_LEAST", 1_000)  # passages stay in the blocks
+    line = " ".join(f"line{j}" for j in range(20))
+    own = lambda i, n: " ".join(f"w{i}x{j}" for j in range(n))
+    rows = [(i, f"{line} {own(i, 20 + i % 3)}", "en", "s", 1) for i in range(150)]
+    rows += [(200 + i, rows[i][1] + " end", "en", "s", 1) for i in range(0, 150, 5)]
+    rows += [(400 + i, f"{line} {own(400 + i, 400)} {own(i, 20 + i % 3)}", "en", "s", 1) for i in range(6)]
+    dealt, real = [], jaccard_join.with_texts
+    monkeypatch.setattr(jaccard_join, "with_texts", lambda nodes, texts: [dealt.append(nodes), real(nodes, texts)][1])
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, docs.schema), shingle=5, num=80)
+    assert sorted(tuple(r)[:4] for r in got.collect()) == components(rows, 5, 80)
+    sent = dealt[-1].selectExpr("explode(seats) s").selectExpr("s.parts", "s.root").collect()
+    assert len(dealt) == 2 and {r.parts for r in sent} == {1} and len({r.root for r in sent}) == 30
+
+
+@pytest.mark.parametrize("num", [50, 80, 90])
+def test_linked_sets_share_a_prefix_key(num):
+    rng = np.random.default_rng(num)
+    base = np.sort(rng.choice(1 << 52, 60, replace=False).astype(np.uint64))
+    sets = [np.sort(rng.choice(base, rng.integers(20, 61), replace=False)) for _ in range(80)]
+    often = base[::3]
+    own, key = jaccard_join.prefix_keys(np.concatenate(sets), np.array([len(s) for s in sets]), often, rng.permutation(len(often)), num, 100)
+    keys = [set(key[own == i].tolist()) for i in range(len(sets))]
+    assert [len(k) for k in keys] == [len(s) - -(-num * len(s) // 100) + 1 for s in sets]
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * both >= num * (len(sets[i]) + len(sets[j]) - both):
+                assert keys[i] & keys[j]
+
+
 def test_jaccard_join_null_id_and_empty(spark, docs):
     rows = [(None, "a b c d", "", "", 1), (7, "a b c d", "", "", 1), (None, None, "", "", 1)]
     got = jaccard_join.jaccard_components(spark.createDataFrame(rows, docs.schema))
